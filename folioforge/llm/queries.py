@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import chat, mixing, secrets, sharding
+from folioforge.llm import chat, mixing, neardup, secrets, sharding
 from folioforge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), max_repetition=2.0)
 
 
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assign_shards(table(spark, sf_dir, "documents"), 16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -44,7 +48,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns_text, 256).alias("turns_sha256"), F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"), "formatted_chars")
 
 
-QUERIES: dict[str, Query] = {"op1_mixing": op1_mixing, "op3_sharding": op3_sharding, "op8_secrets": op8_secrets, "op9_chat": op9_chat}
+QUERIES: dict[str, Query] = {"op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_sharding": op3_sharding, "op8_secrets": op8_secrets, "op9_chat": op9_chat}
 
 OP9_SQL = r"""
 WITH turns AS (
