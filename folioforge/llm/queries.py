@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import chat, mixing, neardup, secrets, sharding
+from folioforge.llm import chat, classifier, mixing, neardup, quality_rules, secrets, sharding
 from folioforge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns_text, 256).alias("turns_sha256"), F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"), "formatted_chars")
 
 
-QUERIES: dict[str, Query] = {"op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_sharding": op3_sharding, "op8_secrets": op8_secrets, "op9_chat": op9_chat}
+def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {"op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_sharding": op3_sharding, "op4_quality": op4_quality, "op8_secrets": op8_secrets, "op9_chat": op9_chat, "op10_classifier": op10_classifier}
 
 OP9_SQL = r"""
 WITH turns AS (
