@@ -1,23 +1,76 @@
-"""A training-corpus pipeline: documents in, sharded mixture out."""
+"""A training-corpus pipeline: documents in, shards of a decontaminated mixture out.
+
+Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept and decides by doc_id; a decision is a
+narrow table, written to the shared folder, so that the planner broadcasts it while it is small and shuffles beyond.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioforge.llm import sharding
-from folioforge.llm.common import kept_table
+from folioforge.llm import classifier, decontaminate, mixing, neardup, sharding
+from folioforge.llm.common import kept_table, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """docs but for those whose doc_id is in rejected; a NULL id matches NULL."""
+    rejected = kept_table(rejected.select(F.col("doc_id").alias("rejected")).distinct())
+    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("rejected")), "left_anti").select(*COLUMNS)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier samples; rejected ones and those without text go."""
+    judged = classifier.classify(docs, table(spark, sf_dir, "labels"))
+    return without(docs, judged.where("NOT kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the one with the smallest id. Repeated rows of an id count once."""
+    groups = neardup.near_duplicates(docs)
+    kept = without(docs, groups.where("NOT kept"))
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.dropDuplicates(["doc_id"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return without(docs, decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mixture reads it: at least once, small sources up to twice."""
+    plan = mixing.mix(docs, max_repetition=2.0).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies <> 1")
+    plan = kept_table(plan.select(F.col("doc_id").alias("mixed"), "copies"))
+    mixed = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("mixed")), "left")
+    times = F.coalesce(F.col("copies"), F.lit(1)).cast("int")
+    return mixed.select(*COLUMNS, F.explode(F.array_repeat(F.lit(True), times)).alias("copy")).drop("copy")
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and slot of each row of the mixture."""
+    return sharding.assign_shards(docs, 16)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("near-duplicate removal", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("source mixing", source_mix),
+    ("sharding", shards),
+]
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import chat, classifier, decontaminate, licenses, mixing, neardup, quality_rules, secrets, sharding
+from folioforge.llm import chat, classifier, decontaminate, licenses, lmscore, mixing, neardup, quality_rules, secrets, sharding
 from folioforge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(table(spark, sf_dir, "documents"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -64,7 +68,7 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {"op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_sharding": op3_sharding, "op4_quality": op4_quality, "op6_licenses": op6_licenses, "op7_decontamination": op7_decontamination, "op8_secrets": op8_secrets, "op9_chat": op9_chat, "op10_classifier": op10_classifier}
+QUERIES: dict[str, Query] = {"op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_sharding": op3_sharding, "op4_quality": op4_quality, "op5_lmscore": op5_lmscore, "op6_licenses": op6_licenses, "op7_decontamination": op7_decontamination, "op8_secrets": op8_secrets, "op9_chat": op9_chat, "op10_classifier": op10_classifier}
 
 OP9_SQL = r"""
 WITH turns AS (
