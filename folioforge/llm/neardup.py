@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import components, kept_table
+from folioforge.llm.common import components, joined_labels, kept_table
 
 SHINGLE = 5
 #: Broadcast the ids of documents to re-read only up to this many (8 bytes each); beyond it the join shuffles.
@@ -51,13 +51,14 @@ def _constants(tables: int, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, tables: int, width: int) -> DataFrame:
-    """(doc_id, n, f1, f2, factors): set size, a 128-bit hash of the set, and 2 * tables factor values of width minhashes each."""
+    """(doc_id, n, f1, f2, factors, sketch): set size, a 128-bit hash of the set, 2 * tables factor values of width minhashes
+    each, and four bits of every minhash, 16 to a number."""
     odd, flip = _constants(tables, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.arange(2 * tables, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
-            n, f1, f2, factors = [], [], [], []
+            n, f1, f2, factors, sketch = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text)
                 n.append(len(s))
@@ -66,6 +67,7 @@ def signatures(docs: DataFrame, tables: int, width: int) -> DataFrame:
                     f2.append(int(_mix(s ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).astype(np.int64)))
                     if not len(s):
                         factors.append([])
+                        sketch.append([])
                         continue
                     least = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
                     for at in range(0, len(s), 2048):
@@ -74,10 +76,13 @@ def signatures(docs: DataFrame, tables: int, width: int) -> DataFrame:
                     key = slots.copy()
                     for k in range(width):
                         key = _mix(key ^ parts[:, k])
+                    nibbles = np.zeros(-(-len(least) // 16) * 16, np.uint64)
+                    nibbles[: len(least)] = parts.ravel() >> np.uint64(60)
+                    sketch.append((nibbles.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).astype(np.int64))
                 factors.append(key.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(factors, pa.list_(pa.int64()))], names=["doc_id", "n", "f1", "f2", "factors"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(factors, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], names=["doc_id", "n", "f1", "f2", "factors", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, factors array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, factors array<long>, sketch array<long>")
 
 
 def stored_sets(docs: DataFrame) -> DataFrame:
@@ -131,10 +136,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 14, width:
 
     1. Equal sets collapse into a class, named by its smallest id (aggregated before any shuffle).
     2. Factors that occur in one class only cannot be part of a shared key and are dropped before keys are formed.
-    3. Every class is verified against the smallest class in each of its buckets, then (if still apart) against a
-       random one in each, and finally every pair that shares a key and still lies in different components is
-       verified. No pair is skipped unless its ends are already joined or its set sizes rule it out, and no bucket is
-       expanded into all its pairs.
+    3. Every class is verified against the smallest class in each of its buckets, and then every pair that shares a
+       key and still lies in different components is verified. No pair is skipped unless its ends are already joined, its set sizes rule it out, or its minhashes
+       agree in five standard deviations fewer places than at the threshold; no bucket is expanded into all its pairs.
     4. Links are verified on full sets; components are found by alternating stars.
 
     NULL text is empty. NULL ids are kept as rows of their own with component_id NULL and kept false; repeated rows
@@ -143,8 +147,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 14, width:
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text")
     sigs = kept_table(signatures(docs, tables, width))
     same_set = ["f1", "f2", "n"]
-    classes = kept_table(sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.first("factors").alias("factors")))
-    links = linked_pairs(docs, classes.select("node", "n", "factors"), percent, tables)
+    classes = kept_table(sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.first("factors").alias("factors"), F.first("sketch").alias("sketch")))
+    links = linked_pairs(docs, classes.select("node", "n", "factors", "sketch"), percent, tables, width)
     named = components(links) if links is not None else None
     whole = sigs.select("doc_id", *same_set).join(classes.select("node", *same_set), same_set, "left")
     if named is not None:
@@ -155,49 +159,54 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 14, width:
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
-def linked_pairs(docs: DataFrame, classes: DataFrame, percent: int, tables: int) -> DataFrame | None:
-    """Verified links (a, b) between classes (node, n, factors) that are enough to give the exact components; None without candidates."""
-    factors = classes.select("node", "n", F.posexplode("factors").alias("slot", "value"))
+def sketches_agree(x: str, y: str, hashes: int, percent: int) -> Column:
+    """Whether so many of the 4-bit minhashes agree as a pair at the threshold has in all but about one case in a million."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    least = hashes * p - 5 * (hashes * p * (1 - p)) ** 0.5
+    ones = 0x1111111111111111
+    agree: Column = F.lit(hashes - -(-hashes // 16) * 16)  # the padding always agrees
+    for i in range(-(-hashes // 16)):
+        z = F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(ones))
+        agree = agree + 16 - F.bit_count(z)
+    return agree >= least
+
+
+def linked_pairs(docs: DataFrame, classes: DataFrame, percent: int, tables: int, width: int) -> DataFrame | None:
+    """Verified links (a, b) between classes (node, n, factors, sketch) that are enough to give the exact components; None without candidates."""
+    factors = classes.select("node", "n", "sketch", F.posexplode("factors").alias("slot", "value"))
     shared = factors.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
-    alive = factors.join(shared, "value", "left_semi").groupBy("node", "n").agg(F.collect_list(F.struct("slot", "value")).alias("fs"))
+    alive = factors.join(shared, "value", "left_semi").groupBy("node", "n", "sketch").agg(F.collect_list(F.struct("slot", "value")).alias("fs"))
 
     def side(first: bool) -> Column:
         return F.transform(F.filter("fs", lambda f: (f["slot"] < tables) == F.lit(first)), lambda f: f["value"])
 
-    alive = kept_table(alive.select("node", "n", side(True).alias("g"), side(False).alias("h")).where("size(g) > 0 AND size(h) > 0"))
-    keys = alive.select("node", "n", F.explode("g").alias("gv"), "h").select("node", "n", "gv", F.explode("h").alias("hv")).select(F.xxhash64("gv", "hv").alias("key"), "node", "n")
+    alive = kept_table(alive.select("node", "n", "sketch", side(True).alias("g"), side(False).alias("h")).where("size(g) > 0 AND size(h) > 0"))
+    keys = alive.select("node", F.explode("g").alias("gv"), "h").select("node", "gv", F.explode("h").alias("hv")).select(F.xxhash64("gv", "hv").alias("key"), "node")
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").select("key", "hub")
-    buckets = kept_table(keys.join(hubs, "key").select("key", "node", "n", "hub"))
+    buckets = kept_table(keys.join(hubs, "key").select("key", "node", "hub"))
     tried = kept_table(buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     if tried.isEmpty():
         return None
     wanted = kept_table(buckets.select("node").distinct())
     small = wanted.count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    # A repeated id keeps one set: the one whose hash named the class is not known here, so all rows of the id are read and the first is taken.
+    # Rows that repeat an id with another text give one set for the id.
     sets = kept_table(stored_sets(texts).groupBy("node").agg(F.max("set").alias("set")))
     links = kept_table(verified(tried, sets, percent))
 
-    def labelled(rows: DataFrame) -> DataFrame:
-        return rows.join(components(links), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-
-    rows = labelled(buckets.select("key", "node", "n"))
-    hubs = rows.groupBy("key").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("key", "node")).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    hubs = hubs.where("low < high").select("key", "hub")
-    again = rows.join(hubs, "key").where("comp <> hub.comp").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-    again = kept_table(again.join(tried, ["a", "b"], "left_anti"))
-    links = kept_table(links.unionByName(verified(again, sets, percent)))
-
+    labels = kept_table(joined_labels(links))
     # What is left: pairs that share a key and lie in different components. Matching on one factor of the first
     # collection (the first that both hold) with an overlap in the second gives each such pair once.
-    rows = kept_table(labelled(alive))
-    split = rows.select("node", "n", "comp", "g", "h", F.explode("g").alias("gv"))
+    split = alive.join(labels, "node", "left").select("node", "n", "sketch", F.coalesce("label", "node").alias("comp"), "g", "h", F.explode("g").alias("gv"))
     mixed = split.groupBy("gv").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gv")
     split = split.join(mixed, "gv", "left_semi")
     x, y = split.alias("x"), split.alias("y")
     apart = (F.col("x.gv") == F.col("y.gv")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
     sized = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
     once = F.element_at(F.array_intersect("x.g", "y.g"), 1) == F.col("x.gv")
-    rest = x.join(y, apart & sized & F.arrays_overlap("x.h", "y.h") & once).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    rest = kept_table(rest.join(tried.unionByName(again), ["a", "b"], "left_anti"))
-    return links.unionByName(kept_table(verified(rest, sets, percent)))
+    likely = sketches_agree("x.sketch", "y.sketch", 2 * tables * width, percent)
+    rest = x.join(y, apart & sized & likely & F.arrays_overlap("x.h", "y.h") & once).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    rest = rest.join(tried, ["a", "b"], "left_anti")
+    return links.unionByName(verified(rest, sets, percent))
