@@ -159,7 +159,7 @@ def value_fidelity(left: DataFrame, right: DataFrame, key: str, fields: list[str
 
 
 def sub_millisecond(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.count_if(F.unix_micros(column) % 1000 != 0).alias("sub_ms"), F.count(column).alias("n"))
+    return df.agg(F.count_if(F.unix_micros(F.col(column).cast("timestamp")) % 1000 != 0).alias("sub_ms"), F.count(column).alias("n"))
 
 
 # --- redaction -----------------------------------------------------------------------------------------------------

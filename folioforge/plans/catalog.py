@@ -1,6 +1,6 @@
 """All registered queries of the library; importing the modules fills the registry."""
 
-from folioforge.plans import gold_queries, mapping_queries, version_queries  # noqa: F401
+from folioforge.plans import gold_queries, mapping_queries, profile_queries, version_queries  # noqa: F401
 from folioforge.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
