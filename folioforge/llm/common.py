@@ -83,14 +83,3 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         raise RuntimeError("components did not settle")
     centres = stars.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return centres.unionByName(stars.select(F.col("b").alias("node"), F.col("a").alias("component")))
-
-
-def joined_labels(edges: DataFrame) -> DataFrame:
-    """(node, label) for the nodes of edges (a, b): equal labels mean connected; connected nodes may still differ.
-
-    Two steps towards the smallest neighbour: cheaper than components, for steps that only skip what is known.
-    """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    up = kept_table(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("up")))
-    above = up.select(F.col("node").alias("up"), F.col("up").alias("label"))
-    return up.join(above, "up", "left").select("node", F.coalesce("label", "up").alias("label"))

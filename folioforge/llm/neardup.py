@@ -10,11 +10,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import components, joined_labels, kept_table
+from folioforge.llm.common import components, kept_table
 
 SHINGLE = 5
 #: Broadcast the ids of documents to re-read only up to this many (8 bytes each); beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
+#: Bits of a set's parity map.
+PARITY = 1024
 _RNG = np.random.default_rng(20240229)
 _WEIGHTS = _RNG.integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 
@@ -52,7 +54,7 @@ def _constants(tables: int, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def signatures(docs: DataFrame, tables: int, width: int) -> DataFrame:
     """(doc_id, n, f1, f2, factors, sketch): set size, a 128-bit hash of the set, 2 * tables factor values of width minhashes
-    each, and four bits of every minhash, 16 to a number."""
+    each, and a sketch: the parity map, then four bits of every minhash, 16 to a number."""
     odd, flip = _constants(tables, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +80,9 @@ def signatures(docs: DataFrame, tables: int, width: int) -> DataFrame:
                         key = _mix(key ^ parts[:, k])
                     nibbles = np.zeros(-(-len(least) // 16) * 16, np.uint64)
                     nibbles[: len(least)] = parts.ravel() >> np.uint64(60)
-                    sketch.append((nibbles.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).astype(np.int64))
+                    parity = np.packbits((np.bincount((s >> np.uint64(40)).astype(np.int64) & (PARITY - 1), minlength=PARITY) & 1).astype(np.uint8)).view(np.int64)
+                    packed = (nibbles.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).astype(np.int64)
+                    sketch.append(np.concatenate([parity, packed]))
                 factors.append(key.astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(factors, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], names=["doc_id", "n", "f1", "f2", "factors", "sketch"])
 
@@ -137,8 +141,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 14, width:
     1. Equal sets collapse into a class, named by its smallest id (aggregated before any shuffle).
     2. Factors that occur in one class only cannot be part of a shared key and are dropped before keys are formed.
     3. Every class is verified against the smallest class in each of its buckets, and then every pair that shares a
-       key and still lies in different components is verified. No pair is skipped unless its ends are already joined, its set sizes rule it out, or its minhashes
-       agree in five standard deviations fewer places than at the threshold; no bucket is expanded into all its pairs.
+       key and still lies in different components is verified. No pair is skipped unless its ends are already joined, its set sizes or parity maps rule it out, or its
+       minhashes agree in five standard deviations fewer places than at the threshold; no bucket is expanded into all
+       its pairs.
     4. Links are verified on full sets; components are found by alternating stars.
 
     NULL text is empty. NULL ids are kept as rows of their own with component_id NULL and kept false; repeated rows
@@ -148,8 +153,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 14, width:
     sigs = kept_table(signatures(docs, tables, width))
     same_set = ["f1", "f2", "n"]
     classes = kept_table(sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.first("factors").alias("factors"), F.first("sketch").alias("sketch")))
-    links = linked_pairs(docs, classes.select("node", "n", "factors", "sketch"), percent, tables, width)
-    named = components(links) if links is not None else None
+    named = class_components(docs, classes.select("node", "n", "factors", "sketch"), percent, tables, width)
     whole = sigs.select("doc_id", *same_set).join(classes.select("node", *same_set), same_set, "left")
     if named is not None:
         whole = whole.join(named, "node", "left")
@@ -159,6 +163,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 14, width:
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
+def parities_allow(x: str, y: str, total: Column, percent: int) -> Column:
+    """Whether two sets of `total` members together can reach the threshold: each place where their parity maps differ needs a member of one alone."""
+    apart: Column = F.lit(0)
+    for i in range(PARITY // 64):
+        apart = apart + F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i))))
+    return apart * (100 + percent) <= total * (100 - percent)
+
+
 def sketches_agree(x: str, y: str, hashes: int, percent: int) -> Column:
     """Whether so many of the 4-bit minhashes agree as a pair at the threshold has in all but about one case in a million."""
     p = percent / 100 + (1 - percent / 100) / 16
@@ -166,15 +178,15 @@ def sketches_agree(x: str, y: str, hashes: int, percent: int) -> Column:
     ones = 0x1111111111111111
     agree: Column = F.lit(hashes - -(-hashes // 16) * 16)  # the padding always agrees
     for i in range(-(-hashes // 16)):
-        z = F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))
+        z = F.get(x, F.lit(PARITY // 64 + i)).bitwiseXOR(F.get(y, F.lit(PARITY // 64 + i)))
         z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
         z = z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(ones))
         agree = agree + 16 - F.bit_count(z)
     return agree >= least
 
 
-def linked_pairs(docs: DataFrame, classes: DataFrame, percent: int, tables: int, width: int) -> DataFrame | None:
-    """Verified links (a, b) between classes (node, n, factors, sketch) that are enough to give the exact components; None without candidates."""
+def class_components(docs: DataFrame, classes: DataFrame, percent: int, tables: int, width: int) -> DataFrame | None:
+    """(node, component) of the classes (node, n, factors, sketch) that have links; None without candidates."""
     factors = classes.select("node", "n", "sketch", F.posexplode("factors").alias("slot", "value"))
     shared = factors.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
     alive = factors.join(shared, "value", "left_semi").groupBy("node", "n", "sketch").agg(F.collect_list(F.struct("slot", "value")).alias("fs"))
@@ -196,7 +208,7 @@ def linked_pairs(docs: DataFrame, classes: DataFrame, percent: int, tables: int,
     sets = kept_table(stored_sets(texts).groupBy("node").agg(F.max("set").alias("set")))
     links = kept_table(verified(tried, sets, percent))
 
-    labels = kept_table(joined_labels(links))
+    labels = kept_table(components(links).withColumnRenamed("component", "label"))
     # What is left: pairs that share a key and lie in different components. Matching on one factor of the first
     # collection (the first that both hold) with an overlap in the second gives each such pair once.
     split = alive.join(labels, "node", "left").select("node", "n", "sketch", F.coalesce("label", "node").alias("comp"), "g", "h", F.explode("g").alias("gv"))
@@ -206,7 +218,19 @@ def linked_pairs(docs: DataFrame, classes: DataFrame, percent: int, tables: int,
     apart = (F.col("x.gv") == F.col("y.gv")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
     sized = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
     once = F.element_at(F.array_intersect("x.g", "y.g"), 1) == F.col("x.gv")
+    possible = parities_allow("x.sketch", "y.sketch", F.col("x.n") + F.col("y.n"), percent)
     likely = sketches_agree("x.sketch", "y.sketch", 2 * tables * width, percent)
-    rest = x.join(y, apart & sized & likely & F.arrays_overlap("x.h", "y.h") & once).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    rest = x.join(y, apart & sized & possible & likely & F.arrays_overlap("x.h", "y.h") & once).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     rest = rest.join(tried, ["a", "b"], "left_anti")
-    return links.unionByName(verified(rest, sets, percent))
+    late = kept_table(verified(rest, sets, percent))
+    if late.isEmpty():
+        return labels.withColumnRenamed("label", "component")
+    # The late links join components as wholes.
+    def component_of(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
+
+    joined = late.join(component_of("a"), "a", "left").join(component_of("b"), "b", "left")
+    joined = joined.select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+    wholes = kept_table(components(joined).select(F.col("node").alias("label"), "component"))
+    known = labels.unionByName(late.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti").withColumn("label", F.col("node")))
+    return known.join(wholes, "label", "left").select("node", F.coalesce("component", "label").alias("component"))

@@ -98,11 +98,13 @@ def base_failed(counts: list[int]) -> bool:
     return counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
 
 
-def references(docs: DataFrame, words: dict[str, list[str]], min_words: int, max_languages: int = 10_000) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Class and word histograms of each language, summed over all documents of at least min_words words.
+def references(docs: DataFrame, words: dict[str, list[str]], min_words: int, max_languages: int = 10_000) -> dict[str, tuple[int, np.ndarray, np.ndarray]]:
+    """Class and word histograms of each language: the mean shares over all documents of at least min_words words, each
+    document counting alike, however long; and the number of these documents.
 
-    Each task adds up what it reads; (language, bin) sums are what is shuffled and, being bounded by max_languages
-    times the bins, collected. More languages are an error.
+    Shares are added up in millionths, so the sums do not depend on the order. Each task adds up what it reads;
+    (language, bin) sums are what is shuffled and, being bounded by max_languages times the bins, collected. More
+    languages are an error.
     """
     longest = max(map(len, words.values()), default=0) + 1
     forms = {k: common_forms(v) for k, v in words.items()}
@@ -116,21 +118,23 @@ def references(docs: DataFrame, words: dict[str, list[str]], min_words: int, max
                 split = raw.split()
                 if len(split) >= min_words:
                     classes, bins = histograms(raw, Counter(split), len(split), forms.get(lang))
-                    total = sums.setdefault(lang, np.zeros(len(CLASSES) + longest, np.int64))
-                    total[: len(CLASSES)] += classes
-                    total[len(CLASSES) : len(CLASSES) + len(bins)] += bins
+                    total = sums.setdefault(lang, np.zeros(1 + len(CLASSES) + longest, np.int64))
+                    total[0] += 1
+                    for at, part in ((1, classes), (1 + len(CLASSES), bins)):
+                        total[at : at + len(part)] += np.rint(part * (1e6 / max(1, part.sum()))).astype(np.int64)
         rows = [(k, i, int(n)) for k, v in sums.items() for i, n in enumerate(v)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "bin", "n"])
 
     summed = docs.select("text", "lang").mapInArrow(run, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
-    most = max_languages * (len(CLASSES) + longest)
+    most = max_languages * (1 + len(CLASSES) + longest)
     rows = summed.limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"more than {max_languages} languages")
     out: dict[str, np.ndarray] = {}
     for r in rows:
-        out.setdefault(r["lang"], np.zeros(len(CLASSES) + longest, np.int64))[r["bin"]] = r["n"]
-    return {k: (v[: len(CLASSES)], v[len(CLASSES) : len(CLASSES) + len(words[k]) + 1] if k in words else v[:0]) for k, v in out.items()}
+        out.setdefault(r["lang"], np.zeros(1 + len(CLASSES) + longest, np.int64))[r["bin"]] = r["n"]
+    words_at = 1 + len(CLASSES)
+    return {k: (int(v[0]), v[1:words_at], v[words_at : words_at + len(words[k]) + 1] if k in words else v[:0]) for k, v in out.items()}
 
 
 def apply_rules(
@@ -139,16 +143,16 @@ def apply_rules(
     max_class_distance: float = 0.3,
     max_word_distance: float = 0.33,
     min_words: int = 80,
-    min_reference_words: int = 2_000,
+    min_reference_docs: int = 20,
     id_col: str = "doc_id",
 ) -> DataFrame:
     """One row for each document: (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept).
 
-    Two passes over whole texts. The first sums the character classes and the common words of each language over all
+    Two passes over whole texts. The first takes the mean character classes and common words of each language over all
     documents of min_words words; the second measures each document's Jensen-Shannon distance from the
     references of its language. A document is rejected by the base rules, or if it has min_words words and one
-    distance is above its limit. A word reference counts if it holds min_reference_words words, a language without a
-    list of common words is judged by its classes alone, and one without reference documents by the base rules alone.
+    distance is above its limit. A language without a list of common words is judged by its classes alone, and one of
+    fewer than min_reference_docs reference documents by the base rules alone.
 
     NULL text is empty (it fails the base rules); NULL language is one of its own; repeated rows are measured alike;
     an empty table gives no rows; other columns are ignored.
@@ -161,9 +165,10 @@ def apply_rules(
             for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 lang = lang or ""
                 counts, classes, bins = measure(text, forms.get(lang))
-                ref_classes, ref_words = known.get(lang, (np.zeros(0), np.zeros(0)))
-                by_class = divergence(classes, ref_classes) if len(ref_classes) else 0.0
-                by_word = divergence(bins, ref_words) if len(bins) and ref_words.sum() >= min_reference_words else 0.0
+                n_docs, ref_classes, ref_words = known.get(lang, (0, np.zeros(0), np.zeros(0)))
+                enough = n_docs >= min_reference_docs
+                by_class = divergence(classes, ref_classes) if enough else 0.0
+                by_word = divergence(bins, ref_words) if enough and len(bins) else 0.0
                 rows.append(counts)
                 failed.append(base_failed(counts))
                 apart.append((by_class, by_word))
