@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 #: The six ASCII white-space characters that separate words (fixed value).
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RE = r"[ \x09-\x0D]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Spark's setting by which shuffle files go when the query that made them ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,11 +49,17 @@ def shared_folder(spark: SparkSession) -> str:
 def kept_table(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, and its size is known to the planner.
 
-    The files outlive any executor. Large results belong here; small repeated steps of a loop use it as well.
+    The files outlive any executor. Large results belong here; small repeated steps of a loop use it as well. The
+    shuffle files of the write are removed when it ends, as nothing reads them any more.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -211,9 +211,10 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int, tables:
     labels = kept_table(components(links).withColumnRenamed("component", "label"))
     # What is left: pairs that share a key and lie in different components. Matching on one factor of the first
     # collection (the first that both hold) with an overlap in the second gives each such pair once.
-    split = alive.join(labels, "node", "left").select("node", "n", "sketch", F.coalesce("label", "node").alias("comp"), "g", "h", F.explode("g").alias("gv"))
-    mixed = split.groupBy("gv").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gv")
-    split = split.join(mixed, "gv", "left_semi")
+    narrow = alive.select("node", F.explode("g").alias("gv")).join(labels, "node", "left").select("node", "gv", F.coalesce("label", "node").alias("comp"))
+    mixed = narrow.groupBy("gv").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gv")
+    narrow = kept_table(narrow.join(mixed, "gv", "left_semi"))  # the wide columns only travel with what is left
+    split = narrow.join(alive.select("node", "n", "sketch", "g", "h"), "node")
     x, y = split.alias("x"), split.alias("y")
     apart = (F.col("x.gv") == F.col("y.gv")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
     sized = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
