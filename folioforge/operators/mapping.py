@@ -99,6 +99,11 @@ def split_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.where(F.size("errors") == 0).drop("errors"), marked.where(F.size("errors") > 0)
 
 
+def broken_rules(parsed: DataFrame) -> DataFrame:
+    """(error): one row for each rule that a record breaks; the rules are evaluated once for each record."""
+    return parsed.select(F.explode_outer(record_errors()).alias("error")).where("error IS NOT NULL")
+
+
 def works(p: DataFrame) -> DataFrame:
     source = F.col("r.primary_location.source")
     return p.select(

@@ -87,8 +87,7 @@ def _broken(t):
 
 @query("map14_mapping_errors", *RELATIONS)
 def map14(t):
-    rejects = mapping.split_errors(mapping.parse_works(_broken(t)))[1]
-    return rejects.select(F.explode("errors").alias("error")).groupBy("error").agg(F.count("*").alias("n"))
+    return mapping.broken_rules(mapping.parse_works(_broken(t))).groupBy("error").agg(F.count("*").alias("n"))
 
 
 @query("map15_mapping_compatibility", *RELATIONS)
