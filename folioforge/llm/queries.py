@@ -27,7 +27,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
 def op5_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,4 +86,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op9_chat": OP9_SQL}
+FORMS = ", ".join(f"('{lang}', {i}, '{(form + end)}')" for lang, words in quality_rules.COMMON_WORDS.items() for i, w in enumerate(words) for form in (w, w.capitalize()) for end in ("", ",", "."))
+OP4_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS lang, row_number() OVER () AS r FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT r, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
+k AS (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS c FROM g),
+rep AS (SELECT r, count(DISTINCT i + o) AS n_repeat_words FROM k, (SELECT unnest([0, 1, 2]) AS o) WHERE c > 1 GROUP BY r),
+base AS (SELECT w.r, doc_id, lang, ws, t, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+  length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN rep ON rep.r = w.r),
+pat AS (SELECT unnest([0, 1, 2, 3, 4, 5]) AS bin, unnest(['[a-z]', '[A-Z]', '[0-9]', '[\x20\x09-\x0D]', '[.,;:!?"''()-]', '[#$%&*+/<=>@\[\\\]^_`{{|}}~]']) AS p),
+c6 AS (SELECT r, bin, length(t) - length(regexp_replace(t, p, '', 'g')) AS n FROM base, pat),
+cls AS (SELECT r, 'c' AS h, bin, n FROM c6 UNION ALL SELECT base.r, 'c', 6, length(any_value(t)) - sum(n) FROM base JOIN c6 ON c6.r = base.r GROUP BY base.r),
+forms(lang, bin, form) AS (VALUES {FORMS}),
+bins AS (SELECT DISTINCT lang, bin FROM forms),
+hits AS (SELECT u.r, f.bin, count(*) AS n FROM (SELECT r, lang, unnest(ws) AS x FROM base) u JOIN forms f ON f.lang = u.lang AND f.form = u.x GROUP BY ALL),
+wrd AS (SELECT base.r, 'w' AS h, bins.bin, coalesce(hits.n, 0) AS n FROM base JOIN bins ON bins.lang = base.lang LEFT JOIN hits ON hits.r = base.r AND hits.bin = bins.bin),
+hist AS (SELECT * FROM cls UNION ALL SELECT * FROM wrd UNION ALL SELECT base.r, 'w', 999, any_value(n_words) - sum(n) FROM base JOIN wrd ON wrd.r = base.r GROUP BY base.r),
+share AS (SELECT r, h, bin, n / sum(n) OVER (PARTITION BY r, h) AS p, sum(n) OVER (PARTITION BY r, h) AS total FROM hist),
+refs AS (SELECT lang, h, bin, sum(round(coalesce(p, 0) * 1e6)) AS q, count(*) AS docs FROM share JOIN base ON base.r = share.r WHERE n_words >= 80 GROUP BY ALL),
+refq AS (SELECT lang, h, bin, q / sum(q) OVER (PARTITION BY lang, h) AS q FROM refs WHERE docs >= 20),
+js AS (SELECT base.r, share.h, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS far
+  FROM base JOIN share ON share.r = base.r JOIN refq ON refq.lang = base.lang AND refq.h = share.h AND refq.bin = share.bin WHERE total > 0 GROUP BY ALL),
+bad AS (SELECT DISTINCT r FROM js WHERE (h = 'c' AND far > 0.3) OR (h = 'w' AND far > 0.33))
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_words >= 80 AND base.r IN (SELECT r FROM bad)) AS kept FROM base
+"""
+
+ORACLES: dict[str, str] = {"op4_quality": OP4_SQL, "op9_chat": OP9_SQL}
