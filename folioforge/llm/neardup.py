@@ -187,14 +187,14 @@ def sketches_agree(x: str, y: str, hashes: int, percent: int) -> Column:
 
 def class_components(docs: DataFrame, classes: DataFrame, percent: int, tables: int, width: int) -> DataFrame | None:
     """(node, component) of the classes (node, n, factors, sketch) that have links; None without candidates."""
-    factors = classes.select("node", "n", "sketch", F.posexplode("factors").alias("slot", "value"))
+    factors = classes.select("node", F.posexplode("factors").alias("slot", "value"))
     shared = factors.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
-    alive = factors.join(shared, "value", "left_semi").groupBy("node", "n", "sketch").agg(F.collect_list(F.struct("slot", "value")).alias("fs"))
+    alive = factors.join(shared, "value", "left_semi").groupBy("node").agg(F.collect_list(F.struct("slot", "value")).alias("fs"))
 
     def side(first: bool) -> Column:
         return F.transform(F.filter("fs", lambda f: (f["slot"] < tables) == F.lit(first)), lambda f: f["value"])
 
-    alive = kept_table(alive.select("node", "n", "sketch", side(True).alias("g"), side(False).alias("h")).where("size(g) > 0 AND size(h) > 0"))
+    alive = kept_table(alive.select("node", side(True).alias("g"), side(False).alias("h")).where("size(g) > 0 AND size(h) > 0"))
     keys = alive.select("node", F.explode("g").alias("gv"), "h").select("node", "gv", F.explode("h").alias("hv")).select(F.xxhash64("gv", "hv").alias("key"), "node")
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").select("key", "hub")
     buckets = kept_table(keys.join(hubs, "key").select("key", "node", "hub"))
@@ -214,7 +214,7 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int, tables:
     narrow = alive.select("node", F.explode("g").alias("gv")).join(labels, "node", "left").select("node", "gv", F.coalesce("label", "node").alias("comp"))
     mixed = narrow.groupBy("gv").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gv")
     narrow = kept_table(narrow.join(mixed, "gv", "left_semi"))  # the wide columns only travel with what is left
-    split = narrow.join(alive.select("node", "n", "sketch", "g", "h"), "node")
+    split = narrow.join(alive, "node").join(classes.select("node", "n", "sketch"), "node")
     x, y = split.alias("x"), split.alias("y")
     apart = (F.col("x.gv") == F.col("y.gv")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
     sized = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
