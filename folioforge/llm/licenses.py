@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,6 +47,7 @@ class Templates:
     def __init__(self, templates: dict[str, str]):
         self.words = {k: [plain(w) for w in WORD.findall(v)] for k, v in templates.items()}
         self.bare = zstandard.ZstdCompressor(level=6, write_content_size=False, write_checksum=False)
+        self.counts = {k: Counter(v) for k, v in self.words.items()}
         self.packers = {}
         for k, v in templates.items():
             content = zstandard.ZstdCompressionDict(v.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -58,21 +59,39 @@ class Templates:
         size = len(self.bare.compress(raw))
         return sorted(((size - len(p.compress(raw)), k) for k, p in self.packers.items()), key=lambda x: (-x[0], x[1]))
 
-    def differences(self, name: str, words: list[str]) -> tuple[int, int, list[str]]:
-        """The span of words that holds the template best, and its exact wording differences (-missing, +extra)."""
-        want, have = self.words[name], [plain(w) for w in words]
-        matches = [m for m in difflib.SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks() if m.size]
-        if not matches:
-            return 0, 0, ["-" + w for w in want]
-        start, end = matches[0].b, matches[-1].b + matches[-1].size
-        out = []
-        for tag, a, b, c, d in difflib.SequenceMatcher(None, want, have[start:end], autojunk=False).get_opcodes():
-            if tag != "equal":
-                out += ["-" + w for w in want[a:b]] + ["+" + w for w in have[start + c : start + d]]
-        return start, end, out
-
-
-def scan_text(text: str | None, templates: Templates, tries: int, max_differences: float) -> list[tuple]:
+    def least(self, name: str, have: Counter[str]) -> int:
+        """At least so many words of the template are missing from a block of these words."""
+        return (self.counts[name] - have).total()
+
+    def differences(self, name: str, have: list[str], cue: int) -> tuple[int, int, list[str]]:
+        """The span of words, holding the one at cue, with the fewest wording differences from the template, and these (-missing, +extra).
+
+        Row i of the table has the differences of the template's first i words from a span that begins at or before the
+        cue's word and ends before word j.
+        """
+        want = self.words[name]
+        row = [max(0, j - cue) for j in range(len(have) + 1)]
+        table = [row]
+        for w in want:
+            above, row = row, [row[0] + 1]
+            for j, h in enumerate(have):
+                row.append(above[j] if w == h else 1 + min(above[j + 1], row[j]))
+            table.append(row)
+        end = j = min(range(cue + 1, len(have) + 1), key=row.__getitem__)
+        i, out = len(want), []
+        while i or j > cue:
+            if i and j and want[i - 1] == have[j - 1]:
+                i, j = i - 1, j - 1
+            elif j and (table[i][j - 1] + 1 == table[i][j]):
+                out.append("+" + have[j - 1])
+                j -= 1
+            elif i:
+                out.append("-" + want[i - 1])
+                i -= 1
+        return j, end, out[::-1]
+
+
+def scan_text(text: str | None, templates: Templates, max_differences: float) -> list[tuple]:
     """Candidate blocks of a whole text: (start, end, license, saved, differences, confirmed), in order."""
     text = text or ""
     cues = [m.start() for m in CUE.finditer(text)]
@@ -82,7 +101,7 @@ def scan_text(text: str | None, templates: Templates, tries: int, max_difference
     for cue in cues:
         if cue < done:
             continue
-        before = [m.span() for m in WORD.finditer(text, max(0, cue - 40 * BEFORE), cue)][-BEFORE:]
+        before = [m.span() for m in WORD.finditer(text, max(done, cue - 40 * BEFORE), cue)][-BEFORE:]
         if before and before[-1][1] == cue and not text[cue - 1].isspace():
             before, at = before[:-1], before[-1][0]  # the cue lies inside a word
         else:
@@ -93,29 +112,37 @@ def scan_text(text: str | None, templates: Templates, tries: int, max_difference
             if len(after) > AFTER:
                 break
         spans = before + after
-        words = [text[a:b] for a, b in spans]
-        block = text[spans[0][0] : spans[-1][1]]
-        ranked = templates.ranked(block)
+        words = [plain(text[a:b]) for a, b in spans]
+        ranked = templates.ranked(text[spans[0][0] : spans[-1][1]])
+        have, sizes = Counter(words), {k: len(v) for k, v in templates.words.items()}
+        bounds = [(templates.least(name, have) / max(1, sizes[name]), -saved, name) for saved, name in ranked]
+        # What saves no bytes is only compared if it may be confirmed, or if nothing saves any.
+        tried = [x for x in bounds if x[1] < 0 or x[0] <= max_differences] or bounds
         best = None
-        for saved, name in ranked[:tries]:
-            start, end, differs = templates.differences(name, words)
-            ok = len(differs) <= max_differences * len(templates.words[name])
-            found = (spans[start][0] if end else spans[0][0], spans[end - 1][1] if end else spans[-1][1], name, saved, differs, ok)
-            if best is None or (ok, -len(differs)) > (best[5], -len(best[4])):
-                best = found
-        out.append((*best[:4], " ".join(best[4]), best[5]))
-        done = best[1] if best[5] else spans[-1][1] if len(after) <= 1 else cue + 1
+        for bound in sorted(tried):
+            if best is not None and bound >= best[0]:
+                break  # the bounds that follow are no smaller
+            start, end, differs = templates.differences(bound[2], words, len(before))
+            found = (len(differs) / max(1, sizes[bound[2]]), *bound[1:])
+            if best is None or found < best[0]:
+                best = found, start, end, differs
+        (share, saved, name), start, end, differs = best
+        ok = share <= max_differences
+        out.append((spans[start][0], spans[end - 1][1], name, -saved, " ".join(differs), ok))
+        done = out[-1][1] if ok else spans[-1][1] if len(after) <= 1 else cue + 1
     return out
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, tries: int = 6, max_differences: float = 0.1, id_col: str = "doc_id") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, max_differences: float = 0.1, id_col: str = "doc_id") -> DataFrame:
     """One row for each candidate block: (doc_id, block, start, end, license, bytes_saved, differences, n_differences, confirmed).
 
     A block is the words around a cue (a few before, up to 48 after), so its size is bounded however long the text is;
     every cue of the whole text is looked at, but for cues inside a notice already confirmed. Each block is compressed
-    alone and with every template as raw zstandard dictionary; the templates that save most bytes are compared word by
-    word (case and surrounding punctuation apart), and the one with the fewest differences wins. It is confirmed if
-    the differences, missing words (-) and extra ones inside (+), are at most max_differences of the template's words.
+    alone and with every template as raw zstandard dictionary. Every template that saves bytes, or that has enough of
+    its words in the block to be confirmed, is compared word by word (case and surrounding punctuation apart) with the
+    span around the cue that fits it best; a notice elsewhere in the block does not answer for the cue. The template with
+    the fewest differences for its length wins, at ties the one that saves most bytes. It is confirmed if the
+    differences, missing words (-) and extra ones inside (+), are at most max_differences of the template's words.
     start and end are code points. NULL and empty texts and texts without a cue give no rows; NULL ids are kept;
     repeated rows give repeated rows; an empty table gives none; other columns are ignored.
     """
@@ -127,7 +154,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, tries:
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for i, (a, b, name, saved, differs, ok) in enumerate(scan_text(text, known, tries, max_differences)):
+                for i, (a, b, name, saved, differs, ok) in enumerate(scan_text(text, known, max_differences)):
                     rows.append((doc, i, a, b, name, saved, differs, len(differs.split()), ok))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 

@@ -158,6 +158,17 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs(spark, [])).count() == 0
 
 
+def test_a_later_notice_does_not_hide_an_earlier_one():
+    known, t = licenses.Templates(licenses.TEMPLATES), licenses.TEMPLATES
+    short = ["Proprietary", "Apache-2.0", "CC-BY-NC-4.0", "GPL-3.0", "GPL-2.0", "MIT", "CC0-1.0", "Proprietary", "AGPL-3.0", "LGPL-3.0"]
+    for names in (["Proprietary", "Apache-2.0"], ["CC-BY-NC-4.0", "GPL-3.0"], ["MIT", "MIT"], short, short[::-1]):
+        text = " ".join(t[k] for k in names)
+        found = licenses.scan_text(text, known, 0.1)
+        assert [(text[a:b], k, d, ok) for a, b, k, _, d, ok in found] == [(t[k], k, "", True) for k in names]
+    _, _, name, _, differs, ok = licenses.scan_text("of the of " + t["BSD-3-Clause"].replace("source and ", "source or ").replace("Redistribution", "The redistribution"), known, 0.1)[0]
+    assert (name, differs, ok) == ("BSD-3-Clause", "-and +or", True)
+
+
 def brute_leaks(texts, items, percent=75):
     owners = Counter(s for t in dict(items).values() for s in shingles(t) if len((t or "").split()) >= 5)
     found = set()
