@@ -34,7 +34,6 @@ TEMPLATES = {
 }
 CUE = re.compile(r"licen[cs]|permission is hereby|redistribution and use|public domain|all rights reserved", re.IGNORECASE)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-BEFORE, AFTER = 8, 48
 
 
 def plain(word: str) -> str:
@@ -48,6 +47,7 @@ class Templates:
         self.words = {k: [plain(w) for w in WORD.findall(v)] for k, v in templates.items()}
         self.bare = zstandard.ZstdCompressor(level=6, write_content_size=False, write_checksum=False)
         self.counts = {k: Counter(v) for k, v in self.words.items()}
+        self.longest = max(map(len, self.words.values()), default=0)
         self.packers = {}
         for k, v in templates.items():
             content = zstandard.ZstdCompressionDict(v.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -97,11 +97,13 @@ def scan_text(text: str | None, templates: Templates, max_differences: float) ->
     cues = [m.start() for m in CUE.finditer(text)]
     if not cues:
         return []
+    # A notice that may be confirmed, extra words and all, lies within this many words of any of its cues.
+    reach = int(templates.longest * (1 + max_differences)) + 1
     out, done = [], 0
     for cue in cues:
         if cue < done:
             continue
-        before = [m.span() for m in WORD.finditer(text, max(done, cue - 40 * BEFORE), cue)][-BEFORE:]
+        before = [m.span() for m in WORD.finditer(text, max(done, cue - 40 * reach), cue)][-reach:]
         if before and before[-1][1] == cue and not text[cue - 1].isspace():
             before, at = before[:-1], before[-1][0]  # the cue lies inside a word
         else:
@@ -109,7 +111,7 @@ def scan_text(text: str | None, templates: Templates, max_differences: float) ->
         after = []
         for m in WORD.finditer(text, at):
             after.append(m.span())
-            if len(after) > AFTER:
+            if len(after) > reach:
                 break
         spans = before + after
         words = [plain(text[a:b]) for a, b in spans]
@@ -136,7 +138,8 @@ def scan_text(text: str | None, templates: Templates, max_differences: float) ->
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, max_differences: float = 0.1, id_col: str = "doc_id") -> DataFrame:
     """One row for each candidate block: (doc_id, block, start, end, license, bytes_saved, differences, n_differences, confirmed).
 
-    A block is the words around a cue (a few before, up to 48 after), so its size is bounded however long the text is;
+    A block is the words around a cue, to each side as many as the longest notice that may be confirmed has, so its size
+    is bounded however long the text is, and a notice is found from any of its cues;
     every cue of the whole text is looked at, but for cues inside a notice already confirmed. Each block is compressed
     alone and with every template as raw zstandard dictionary. Every template that saves bytes, or that has enough of
     its words in the block to be confirmed, is compared word by word (case and surrounding punctuation apart) with the

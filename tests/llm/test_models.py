@@ -169,6 +169,14 @@ def test_a_later_notice_does_not_hide_an_earlier_one():
     assert (name, differs, ok) == ("BSD-3-Clause", "-and +or", True)
 
 
+def test_every_license_template_is_confirmed():
+    known = licenses.Templates(licenses.TEMPLATES)
+    for name, notice in licenses.TEMPLATES.items():
+        text = "some words before it " * 20 + notice + " and others after it" * 20
+        found = [(text[a:b], k) for a, b, k, _, _, ok in licenses.scan_text(text, known, 0.1) if ok]
+        assert found == [(notice, name)]
+
+
 def brute_leaks(texts, items, percent=75):
     owners = Counter(s for t in dict(items).values() for s in shingles(t) if len((t or "").split()) >= 5)
     found = set()
