@@ -32,20 +32,21 @@ def simhash(words: str) -> Column:
 
 
 def hamming_blocks(fingerprint: str, flips: int) -> Column:
-    """(block, value) rows of a fingerprint's 8 blocks of 8 bits, with every value that differs in at most flips (0 or 1) bits."""
-    masks = [0] + ([1 << k for k in range(BITS)] if flips else [])
-    one = lambda j, m: F.struct(F.lit(j).alias("block"), (F.shiftrightunsigned(fingerprint, j * BITS).bitwiseAND(F.lit(2**BITS - 1)).bitwiseXOR(F.lit(m))).cast("int").alias("value"))
-    return F.array(*[one(j, m) for j in range(BLOCKS) for m in masks])
+    """(block, value) rows of a fingerprint's 8 blocks of 8 bits, with every value that differs in at most flips (0 to 2) bits."""
+    masks = [m for m in range(2**BITS) if m.bit_count() <= flips]
+    # Loops of the plan, as hundreds of written-out structs are more than a generated method holds.
+    value = f"CAST((shiftrightunsigned({fingerprint}, j * {BITS}) & {2**BITS - 1}) ^ m AS INT)"
+    return F.expr(f"flatten(transform(sequence(0, {BLOCKS - 1}), j -> transform(array({', '.join(map(str, masks))}), m -> struct(j AS block, {value} AS value))))")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius: int = 15, id_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius: int = 23, id_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:
     """One row for each document and benchmark item that it contains: (doc_id, item_id, start_word, end_word, distance, similarity).
 
     Whole texts, words folded to lower case. A window has as many words as an item. Only a window that shares a
     five-word shingle with the item can reach the similarity asked for, so windows are laid where a shingle of the
     document is one of an item's, aligned with its place there, and every such place counts. Each window gets a 64-bit
-    SimHash of its words. Items stand in a multi-index: 8 blocks of 8 bits, each with all values at one flipped bit, so
-    that any two fingerprints within distance 15 meet in a block (radius at most 15). Candidates within radius are
+    SimHash of its words. Items stand in a multi-index: 8 blocks of 8 bits, each with all values at up to two flipped
+    bits, so that any two fingerprints within distance 23 meet in a block (radius at most 23). Candidates within radius are
     verified by the weighted Jaccard similarity of their shingle sets: 100 * common weight >= percent * total weight,
     where an item's shingle weighs one over the number of items that have it, any other 1. The best window of each
     (document, item) is returned.
@@ -55,8 +56,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius:
     once. Item tables are written to the shared folder first, so that the planner broadcasts them only while their
     size is under its threshold. Empty tables give no rows; other columns are ignored.
     """
-    if not 0 <= radius <= 15:
-        raise ValueError("radius must be 0 to 15")
+    if not 0 <= radius <= 23:
+        raise ValueError("radius must be 0 to 23")
     items = benchmark.where(f"`{item_col}` IS NOT NULL").select(F.col(item_col).alias("item_id"), word_hashes(F.col("text")).alias("iw")).where(F.size("iw") >= SHINGLE).distinct()
     items = items.select("item_id", F.size("iw").alias("n"), "iw", shingles("iw").alias("is"), simhash("iw").alias("ifp"))
     places = items.select("item_id", "n", F.posexplode("iw").alias("at", "h"), "iw").where(F.col("at") <= F.col("n") - SHINGLE)
@@ -75,7 +76,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius:
     cut = again.select("d.doc_id", "v.start", "v.n", F.expr("slice(d.w, v.start + 1, v.n)").alias("ww"))
     cut = kept_table(cut.select("doc_id", "start", F.least("n", F.size("ww")).alias("n"), simhash("ww").alias("fp"), shingles("ww").alias("ws")))
     met = cut.select("doc_id", "start", "n", "fp", "ws", F.explode(hamming_blocks("fp", 0)).alias("b"))
-    index = kept_table(items.select("item_id", "ifp", F.explode(hamming_blocks("ifp", 1)).alias("b")).select("item_id", "ifp", "b.block", "b.value"))
+    index = kept_table(items.select("item_id", "ifp", F.explode(hamming_blocks("ifp", radius // BLOCKS)).alias("b")).select("item_id", "ifp", "b.block", "b.value"))
     met = met.join(index, (F.col("b.block") == F.col("block")) & (F.col("b.value") == F.col("value")))
     near = met.withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp")))).where(F.col("distance") <= radius)
     near = near.select("doc_id", "item_id", "start", "n", "distance", "ws").distinct().join(items.select("item_id", "weights"), "item_id")

@@ -235,6 +235,15 @@ def test_hamming_blocks_guarantee(spark):
     assert x.join(y, ["k", "m"]).select("k").distinct().count() == 300
 
 
+def test_leaks_near_the_threshold_are_found(spark):
+    rng = random.Random(12)
+    items = [(i, words(rng, 59, 10**6)) for i in range(60)]
+    texts = [(i, k, words(rng, 9, 10**6) + w[7 * (k % 2) : 52 + 7 * (k % 2)] + words(rng, 9, 10**6)) for i, w in items for k in range(4)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    out = decontaminate.find_leaks(docs(spark, [" ".join(t) for _, _, t in texts]), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in out} == {(d, i) for d, (i, _, _) in enumerate(texts)}  # 48 of 62 shingles are common
+
+
 @pytest.mark.parametrize("block_bytes", [3_000, 1 << 24])
 def test_base_scores_against_counts(spark, block_bytes):
     rng = random.Random(10)
