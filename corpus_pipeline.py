@@ -1,7 +1,7 @@
 """A training-corpus pipeline: documents in, shards of a decontaminated mixture out.
 
-Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept and decides by doc_id; a decision is a
-narrow table, written to the shared folder, so that the planner broadcasts it while it is small and shuffles beyond.
+Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept and decides by row_key (id and text); a decision
+is a narrow table, written to the shared folder, so that the planner broadcasts it while it is small and shuffles beyond.
 """
 
 from __future__ import annotations
@@ -18,37 +18,51 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with row_key, 64 hashed bits of id and text: rows without an id, or that share one, are told apart by their texts."""
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    return docs.select(*COLUMNS, key.alias("row_key"))
+
+
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """docs but for those whose doc_id is in rejected; a NULL id matches NULL."""
-    rejected = kept_table(rejected.select(F.col("doc_id").alias("rejected")).distinct())
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("rejected")), "left_anti").select(*COLUMNS)
+    """docs but for those whose row_key is in rejected."""
+    rejected = kept_table(rejected.select("row_key").distinct())
+    return keyed(docs).join(rejected, "row_key", "left_anti").select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier samples; rejected ones and those without text go."""
-    judged = classifier.classify(docs, table(spark, sf_dir, "labels"))
+    judged = classifier.classify(keyed(docs), table(spark, sf_dir, "labels"), key_col="row_key")
     return without(docs, judged.where("NOT kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id. Repeated rows of an id count once."""
-    groups = neardup.near_duplicates(docs)
-    kept = without(docs, groups.where("NOT kept"))
-    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+    """One document of each near-duplicate group: the one with the smallest id, one without an id only where none has any.
+
+    Rows that share an id are documents of their own, unless they have the same text: these count once.
+    """
+    rows = keyed(docs)
+    groups = neardup.near_duplicates(rows, id_col="row_key").select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    members = kept_table(groups.join(rows.select("row_key", "doc_id").distinct(), "row_key"))
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
+    kept = without(docs, members.join(first, "component_id").where("row_key <> first.row_key"))
+    if rows.groupBy("row_key").count().where("count > 1").isEmpty():
         return kept
-    return kept.dropDuplicates(["doc_id"])
+    return keyed(kept).dropDuplicates(["row_key"]).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return without(docs, decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")))
+    leaks = decontaminate.find_leaks(keyed(docs), table(spark, sf_dir, "benchmark"), id_col="row_key")
+    return without(docs, leaks.withColumnRenamed("doc_id", "row_key"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mixture reads it: at least once, small sources up to twice."""
-    plan = mixing.mix(docs, max_repetition=2.0).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies <> 1")
-    plan = kept_table(plan.select(F.col("doc_id").alias("mixed"), "copies"))
-    mixed = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("mixed")), "left")
+    rows = keyed(docs)
+    plan = mixing.mix(rows, max_repetition=2.0, id_col="row_key").groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies <> 1")
+    plan = kept_table(plan.select(F.col("doc_id").alias("row_key"), "copies"))
+    mixed = rows.join(plan, "row_key", "left")
     times = F.coalesce(F.col("copies"), F.lit(1)).cast("int")
     return mixed.select(*COLUMNS, F.explode(F.array_repeat(F.lit(True), times)).alias("copy")).drop("copy")
 

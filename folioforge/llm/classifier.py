@@ -104,8 +104,9 @@ def classify(
     labelled_rows: int = LABELLED_ROWS,
     seed: int = 3,
     id_col: str = "doc_id",
+    key_col: str | None = None,
 ) -> DataFrame:
-    """One row for each document: (doc_id, n_grams, log_weight, gumbel_key, kept).
+    """One row for each document: (doc_id, n_grams, log_weight, gumbel_key, kept), and key_col (a long) if it is given.
 
     Two bag-of-n-grams models over hashed byte n-grams of whole texts: target (good labelled documents, at most
     labelled_rows labels) and raw (all documents). log_weight is the log likelihood ratio for one n-gram, so that
@@ -120,7 +121,8 @@ def classify(
     texts have weight 0 n-grams, log_weight NULL, and are never sampled. Without any good labelled document all
     documents with text are kept. Repeated rows each count. An empty table gives no rows; other columns are ignored.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text")
+    key = [] if key_col is None else [key_col]
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text", *key)
     sample = labelled_sample(labels, labelled_rows)
     ratio = fit(docs, sample, sizes, bits, smoothing) if any(sample.values()) else np.zeros(2**bits, np.float32)
 
@@ -132,10 +134,10 @@ def classify(
                 n.append(len(at))
                 weight.append(float(ratio[at].sum(dtype=np.float64) / (len(at) + prior)) if len(at) else None)
                 label.append(sample.get(doc))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(weight, pa.float64()), pa.array(label, pa.int32()), batch.column(2)], names=["doc_id", "n_grams", "log_weight", "label", "noise"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(weight, pa.float64()), pa.array(label, pa.int32()), *batch.columns[2:]], names=["doc_id", "n_grams", "log_weight", "label", "noise", *key])
 
     noise = F.xxhash64("doc_id", F.crc32(F.coalesce("text", F.lit(""))), F.lit(seed))
-    scores = docs.select("doc_id", "text", noise.alias("noise")).mapInArrow(run, "doc_id long, n_grams long, log_weight double, label int, noise long")
+    scores = docs.select("doc_id", "text", noise.alias("noise"), *key).mapInArrow(run, "doc_id long, n_grams long, log_weight double, label int, noise long" + "".join(f", {k} long" for k in key))
     scores = kept_table(scores.withColumn("gumbel_key", F.lit(strength) * F.col("log_weight") - F.log(-F.log(_uniform(F.col("noise"))))))
     judged = scores.where("log_weight IS NOT NULL")
     n_all = judged.count()
@@ -146,12 +148,12 @@ def classify(
     else:
         k = n_all
     if not 0 < k < n_all:
-        return scores.select("doc_id", "n_grams", "log_weight", "gumbel_key", (F.col("log_weight").isNotNull() & F.lit(k > 0)).alias("kept"))
+        return scores.select("doc_id", "n_grams", "log_weight", "gumbel_key", (F.col("log_weight").isNotNull() & F.lit(k > 0)).alias("kept"), *key)
     edge, ties = top_k_threshold(judged, "gumbel_key", k)
     last = judged.where(F.col("gumbel_key") == edge).select(F.struct(F.coalesce("doc_id", F.lit(-(2**63))), "noise").alias("t")).orderBy("t").limit(ties).agg(F.max("t").alias("t")).first()["t"]
     order = F.struct(F.coalesce("doc_id", F.lit(-(2**63))), F.col("noise"))
     kept = (F.col("gumbel_key") > edge) | ((F.col("gumbel_key") == edge) & (order <= F.struct(F.lit(last[0]).cast("long"), F.lit(last[1]).cast("long"))))
-    return scores.select("doc_id", "n_grams", "log_weight", "gumbel_key", F.coalesce(kept, F.lit(False)).alias("kept"))
+    return scores.select("doc_id", "n_grams", "log_weight", "gumbel_key", F.coalesce(kept, F.lit(False)).alias("kept"), *key)
 
 
 def _uniform(noise: Column) -> Column:

@@ -41,6 +41,30 @@ def test_decontamination_stage(spark, tmp_path):
     assert sorted(r["doc_id"] for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()) == [1, 3]
 
 
+def test_stages_tell_rows_without_an_id_apart(spark, tmp_path):
+    clean = [f"the river and the hill of the town number {i} was by the sea for a while " + " ".join(f"u{i}x{k}" for k in range(80)) for i in range(34)]
+    leak = " ".join(f"b{k}" for k in range(20))
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(15)] + [(99, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    junk = "### $$$ %%% !!! " * 60
+
+    def left(stage, rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        return sorted([(r["doc_id"], r["text"]) for r in stage(spark, docs, str(tmp_path)).collect()], key=str)
+
+    def want(rows):
+        return sorted(rows, key=str)
+
+    good = [(None, clean[0] + " and more"), (40, clean[1] + " and more")]
+    got = left(corpus_pipeline.quality, [*enumerate(clean[:30]), *good, (99, junk), (None, junk), (None, ""), (40, junk)])
+    assert [x for x in got if x[0] in (None, 40, 99)] == want(good)
+    good = [(5, clean[0]), (5, clean[1]), (None, clean[2]), (None, clean[3]), (6, clean[4])]
+    assert left(corpus_pipeline.near_dedup, [*good, (5, clean[0]), (None, clean[3]), (None, clean[4] + " tail"), (8, clean[1])]) == want(good)
+    good = [(5, clean[0]), (None, clean[1])]
+    assert left(corpus_pipeline.decontamination, [*good, (5, f"x {leak}"), (None, f"{leak} y")]) == want(good)
+    assert left(corpus_pipeline.source_mix, good) == want(good)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_match_sql(spark, name):
     got = QUERIES[name](spark, SF).toPandas()
