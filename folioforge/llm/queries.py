@@ -14,7 +14,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"), max_repetition=2.0)
+    out = mixing.mix(table(spark, sf_dir, "documents"), max_repetition=2.0)
+    return out.withColumns({c: F.round(c, 9) for c in ("alpha", "weight", "mix_key")})
 
 
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +71,28 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {"op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_sharding": op3_sharding, "op4_quality": op4_quality, "op5_lmscore": op5_lmscore, "op6_licenses": op6_licenses, "op7_decontamination": op7_decontamination, "op8_secrets": op8_secrets, "op9_chat": op9_chat, "op10_classifier": op10_classifier}
 
+# The exponent at which the largest source is read half as often as the smallest has a closed form.
+OP1_SQL = r"""
+WITH n AS (SELECT greatest(256, count(*) // 4096) AS blocks FROM documents),
+t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+d AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n_tokens,
+  ('0x' || substr(md5(concat_ws(':', '17', doc_id, md5(text))), 1, 15))::BIGINT % (SELECT blocks FROM n) AS block,
+  ('0x' || substr(md5(concat_ws(':', '18', doc_id, md5(text))), 1, 15))::BIGINT AS place FROM t),
+s AS (SELECT source, CAST(sum(n_tokens) AS DOUBLE) AS x FROM d GROUP BY source),
+e AS (SELECT CASE WHEN count(*) < 2 THEN 1 WHEN max(x) <= 2 * min(x) THEN 0 ELSE 1 - ln(2) / ln(max(x) / min(x)) END AS alpha FROM s WHERE x > 0),
+w AS (SELECT source, x, CASE WHEN x > 0 THEN x ** alpha / sum(CASE WHEN x > 0 THEN x ** alpha END) OVER () ELSE 0 END AS weight, alpha FROM s, e),
+q AS (SELECT *, round(weight * coalesce(max(x / nullif(weight, 0)) OVER (), 0)) AS quota FROM w),
+p AS (SELECT source, alpha, weight, x, CASE WHEN x > 0 THEN floor(quota / x) ELSE 1 END AS epochs, CASE WHEN x > 0 THEN quota - x * floor(quota / x) ELSE 0 END AS rest FROM q),
+b AS (SELECT source, block, sum(n_tokens) AS tokens FROM d GROUP BY source, block),
+f AS (SELECT source, block, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY ('0x' || substr(md5(concat_ws(':', '19', block)), 1, 15))::BIGINT, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM b),
+r AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source, block ORDER BY place, doc_id NULLS FIRST, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM d),
+c AS (SELECT r.doc_id, r.source, n_tokens, r.block, alpha, weight, first + ahead AS start, epochs, rest, x,
+  CASE WHEN n_tokens = 0 THEN greatest(epochs, 1) WHEN first + ahead < rest THEN epochs + 1 ELSE epochs END AS copies
+  FROM r JOIN f ON r.source IS NOT DISTINCT FROM f.source AND r.block = f.block JOIN p ON r.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(block AS INT) AS block, round(alpha, 9) AS alpha, round(weight, 9) AS weight, CAST(copies AS BIGINT) AS copies,
+  CASE WHEN copies > 0 THEN round(start / greatest(epochs * x + rest, 1), 9) END AS mix_key FROM c
+"""
+
 OP9_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -114,4 +137,4 @@ SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_d
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_words >= 80 AND base.r IN (SELECT r FROM bad)) AS kept FROM base
 """
 
-ORACLES: dict[str, str] = {"op4_quality": OP4_SQL, "op9_chat": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_quality": OP4_SQL, "op9_chat": OP9_SQL}
