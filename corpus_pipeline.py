@@ -58,13 +58,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mixture reads it: at least once, small sources up to twice."""
-    rows = keyed(docs)
-    plan = mixing.mix(rows, max_repetition=2.0, id_col="row_key").groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies <> 1")
-    plan = kept_table(plan.select(F.col("doc_id").alias("row_key"), "copies"))
-    mixed = rows.join(plan, "row_key", "left")
-    times = F.coalesce(F.col("copies"), F.lit(1)).cast("int")
-    return mixed.select(*COLUMNS, F.explode(F.array_repeat(F.lit(True), times)).alias("copy")).drop("copy")
+    """Every document as often as the mixture reads it: at least once, small sources up to twice.
+
+    Rows are told apart by id and text; repeated rows are each read; an empty table gives none.
+    """
+    return mixing.repeated(keyed(docs), COLUMNS, max_repetition=2.0, id_col="row_key")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
