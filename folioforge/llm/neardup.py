@@ -46,6 +46,12 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(_mix(sums))
 
 
+def set_hash(s: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit hashes of a set, the same for any order."""
+    with np.errstate(over="ignore"):
+        return tuple(int(_mix(s ^ np.uint64(salt)).sum(dtype=np.uint64).astype(np.int64)) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
+
+
 def _constants(tables: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240301)
     n = 2 * tables * width
@@ -53,23 +59,23 @@ def _constants(tables: int, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, tables: int, width: int) -> DataFrame:
-    """(doc_id, n, f1, f2, factors, sketch): set size, a 128-bit hash of the set, 2 * tables factor values of width minhashes
-    each, and a sketch: the parity map, then four bits of every minhash, 16 to a number."""
+    """(doc_id, n, f1, f2, factors, parity): set size, a 128-bit hash of the set, 2 * tables factor values of width minhashes
+    each, and the set's parity map."""
     odd, flip = _constants(tables, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.arange(2 * tables, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
-            n, f1, f2, factors, sketch = [], [], [], [], []
+            n, f1, f2, factors, parities = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text)
                 n.append(len(s))
                 with np.errstate(over="ignore"):
-                    f1.append(int(_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
-                    f2.append(int(_mix(s ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).astype(np.int64)))
+                    for out, half in zip((f1, f2), set_hash(s), strict=True):
+                        out.append(half)
                     if not len(s):
                         factors.append([])
-                        sketch.append([])
+                        parities.append([])
                         continue
                     least = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
                     for at in range(0, len(s), 2048):
@@ -78,32 +84,29 @@ def signatures(docs: DataFrame, tables: int, width: int) -> DataFrame:
                     key = slots.copy()
                     for k in range(width):
                         key = _mix(key ^ parts[:, k])
-                    nibbles = np.zeros(-(-len(least) // 16) * 16, np.uint64)
-                    nibbles[: len(least)] = parts.ravel() >> np.uint64(60)
                     parity = np.packbits((np.bincount((s >> np.uint64(40)).astype(np.int64) & (PARITY - 1), minlength=PARITY) & 1).astype(np.uint8)).view(np.int64)
-                    packed = (nibbles.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).astype(np.int64)
-                    sketch.append(np.concatenate([parity, packed]))
+                    parities.append(parity)
                 factors.append(key.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(factors, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], names=["doc_id", "n", "f1", "f2", "factors", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(factors, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64()))], names=["doc_id", "n", "f1", "f2", "factors", "parity"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, factors array<long>, sketch array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, factors array<long>, parity array<long>")
 
 
-def stored_sets(docs: DataFrame) -> DataFrame:
-    """(node, set): the full shingle set, as the sorted leading 40 bits of each hash, packed."""
+def own_sets(texts: DataFrame) -> DataFrame:
+    """(node, set), once for each class, of (node, f1, f2, text): texts of the class's id, of which those with another set are passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [(shingle_set(t) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "node long, set binary")
-
+            nodes, sets = [], []
+            for node, f1, f2, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                s = shingle_set(text)
+                if set_hash(s) == (f1, f2):
+                    nodes.append(node)
+                    sets.append(s.astype("<u8").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
 
-def _unpack(packed: bytes) -> np.ndarray:
-    wide = np.zeros((len(packed) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
-    return wide.view("<u8").ravel()
+    found = texts.select("node", "f1", "f2", "text").mapInArrow(run, "node long, set binary")
+    return found.groupBy("node").agg(F.first("set").alias("set"))
 
 
 def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -116,10 +119,10 @@ def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = _unpack(x.as_py()), _unpack(y.as_py())
+                x, y = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
                 merged = np.concatenate([x, y])
-                merged.sort()
-                common = int((merged[1:] == merged[:-1]).sum())
+                merged.sort(kind="stable")
+                common = int((merged[1:] == merged[:-1]).sum())  # neither set repeats a hash
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -138,28 +141,37 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 14, width:
     2 * tables * width minhash functions. A pair of similarity s shares a key with probability
     (1 - (1 - s**width)**tables)**2: over 0.99998 at 0.75 with the defaults.
 
-    1. Equal sets collapse into a class, named by its smallest id (aggregated before any shuffle).
+    1. Equal sets collapse into a class (aggregated before any shuffle), named by its smallest id; if several classes
+       have the same smallest id, as rows of one id may differ in text, all but one of them get numbers of their own.
     2. Factors that occur in one class only cannot be part of a shared key and are dropped before keys are formed.
     3. Every class is verified against the smallest class in each of its buckets, and then every pair that shares a
-       key and still lies in different components is verified. No pair is skipped unless its ends are already joined, its set sizes or parity maps rule it out, or its
-       minhashes agree in five standard deviations fewer places than at the threshold; no bucket is expanded into all
-       its pairs.
+       key and still lies in different components is verified. No pair is skipped unless its ends are already joined or
+       its set sizes or parity maps rule it out, which are exact bounds. In a bucket only what lies outside its largest
+       component is paired, so a group of near copies is not compared with itself.
     4. Links are verified on full sets; components are found by alternating stars.
 
-    NULL text is empty. NULL ids are kept as rows of their own with component_id NULL and kept false; repeated rows
-    are equal sets. An empty table gives no rows; other columns are ignored.
+    NULL text is empty. NULL ids are kept as rows of their own with component_id NULL and kept false. Rows that share an
+    id are documents of their own, each with the component of its text; repeated rows are equal sets. An empty table
+    gives no rows; other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text")
     sigs = kept_table(signatures(docs, tables, width))
     same_set = ["f1", "f2", "n"]
-    classes = kept_table(sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.first("factors").alias("factors"), F.first("sketch").alias("sketch")))
-    named = class_components(docs, classes.select("node", "n", "factors", "sketch"), percent, tables, width)
-    whole = sigs.select("doc_id", *same_set).join(classes.select("node", *same_set), same_set, "left")
+    classes = sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same_set).agg(F.min("doc_id").alias("least"), F.first("factors").alias("factors"), F.first("parity").alias("parity"))
+    classes = kept_table(classes.withColumn("node", F.col("least")))
+    doubled = kept_table(classes.groupBy("node").agg(F.count("*").alias("c"), F.min("f1").alias("kept")).where("c > 1").select("node", "kept"))
+    if not doubled.isEmpty():
+        own = F.bitwise_not(F.shiftrightunsigned(F.xxhash64(*same_set), 1))
+        other = F.col("f1") != F.col("kept")
+        classes = kept_table(classes.join(doubled, "node", "left").withColumn("node", F.when(other, own).otherwise(F.col("node"))).drop("kept"))
+    named = class_components(docs, classes, percent, tables, width)
+    whole = sigs.select("doc_id", *same_set).join(classes.select("node", "least", *same_set), same_set, "left")
     if named is not None:
-        whole = whole.join(named, "node", "left")
+        least = named.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
+        whole = whole.join(named.join(least, "component").select("node", "component_id"), "node", "left")
     else:
-        whole = whole.withColumn("component", F.lit(None).cast("long"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
+        whole = whole.withColumn("component_id", F.lit(None).cast("long"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "least", "doc_id"))
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
@@ -171,22 +183,8 @@ def parities_allow(x: str, y: str, total: Column, percent: int) -> Column:
     return apart * (100 + percent) <= total * (100 - percent)
 
 
-def sketches_agree(x: str, y: str, hashes: int, percent: int) -> Column:
-    """Whether so many of the 4-bit minhashes agree as a pair at the threshold has in all but about one case in a million."""
-    p = percent / 100 + (1 - percent / 100) / 16
-    least = hashes * p - 5 * (hashes * p * (1 - p)) ** 0.5
-    ones = 0x1111111111111111
-    agree: Column = F.lit(hashes - -(-hashes // 16) * 16)  # the padding always agrees
-    for i in range(-(-hashes // 16)):
-        z = F.get(x, F.lit(PARITY // 64 + i)).bitwiseXOR(F.get(y, F.lit(PARITY // 64 + i)))
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(ones))
-        agree = agree + 16 - F.bit_count(z)
-    return agree >= least
-
-
 def class_components(docs: DataFrame, classes: DataFrame, percent: int, tables: int, width: int) -> DataFrame | None:
-    """(node, component) of the classes (node, n, factors, sketch) that have links; None without candidates."""
+    """(node, component) of the classes (node, least, n, f1, f2, factors, parity) that have links; None without candidates."""
     factors = classes.select("node", F.posexplode("factors").alias("slot", "value"))
     shared = factors.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
     alive = factors.join(shared, "value", "left_semi").groupBy("node").agg(F.collect_list(F.struct("slot", "value")).alias("fs"))
@@ -201,27 +199,27 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int, tables:
     tried = kept_table(buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     if tried.isEmpty():
         return None
-    wanted = kept_table(buckets.select("node").distinct())
+    # One text of each class in a bucket: rows that share an id are told apart by their sets.
+    wanted = kept_table(classes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "least", "f1", "f2"))
     small = wanted.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    # Rows that repeat an id with another text give one set for the id.
-    sets = kept_table(stored_sets(texts).groupBy("node").agg(F.max("set").alias("set")))
+    texts = docs.join(F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("least"))
+    sets = kept_table(own_sets(texts))
     links = kept_table(verified(tried, sets, percent))
 
     labels = kept_table(components(links).withColumnRenamed("component", "label"))
     # What is left: pairs that share a key and lie in different components. Matching on one factor of the first
-    # collection (the first that both hold) with an overlap in the second gives each such pair once.
-    narrow = alive.select("node", F.explode("g").alias("gv")).join(labels, "node", "left").select("node", "gv", F.coalesce("label", "node").alias("comp"))
-    mixed = narrow.groupBy("gv").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gv")
-    narrow = kept_table(narrow.join(mixed, "gv", "left_semi"))  # the wide columns only travel with what is left
-    split = narrow.join(alive, "node").join(classes.select("node", "n", "sketch"), "node")
-    x, y = split.alias("x"), split.alias("y")
-    apart = (F.col("x.gv") == F.col("y.gv")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
+    # collection (the least that both hold) with an overlap in the second gives each such pair once.
+    narrow = kept_table(alive.select("node", F.explode("g").alias("gv")).join(labels, "node", "left").select("node", "gv", F.coalesce("label", "node").alias("comp")))
+    sizes = narrow.groupBy("gv", "comp").agg(F.count("*").alias("c"))
+    mixed = kept_table(sizes.groupBy("gv").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1").select("gv", "main"))
+    narrow = kept_table(narrow.join(mixed, "gv"))  # the wide columns only travel with what is left
+    split = narrow.join(alive, "node").join(classes.select("node", "n", "parity"), "node")
+    x, y = split.where("comp <> main").alias("x"), split.alias("y")
+    apart = (F.col("x.gv") == F.col("y.gv")) & (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
     sized = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    once = F.element_at(F.array_intersect("x.g", "y.g"), 1) == F.col("x.gv")
-    possible = parities_allow("x.sketch", "y.sketch", F.col("x.n") + F.col("y.n"), percent)
-    likely = sketches_agree("x.sketch", "y.sketch", 2 * tables * width, percent)
-    rest = x.join(y, apart & sized & possible & likely & F.arrays_overlap("x.h", "y.h") & once).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    once = F.array_min(F.array_intersect("x.g", "y.g")) == F.col("x.gv")
+    possible = parities_allow("x.parity", "y.parity", F.col("x.n") + F.col("y.n"), percent)
+    rest = x.join(y, apart & sized & possible & F.arrays_overlap("x.h", "y.h") & once).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     rest = rest.join(tried, ["a", "b"], "left_anti")
     late = kept_table(verified(rest, sets, percent))
     if late.isEmpty():
