@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.llm.common import kept_table, word_array
@@ -42,14 +42,16 @@ def hamming_blocks(fingerprint: str, flips: int) -> Column:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius: int = 23, id_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:
     """One row for each document and benchmark item that it contains: (doc_id, item_id, start_word, end_word, distance, similarity).
 
-    Whole texts, words folded to lower case. A window has as many words as an item. Only a window that shares a
-    five-word shingle with the item can reach the similarity asked for, so windows are laid where a shingle of the
-    document is one of an item's, aligned with its place there, and every such place counts. Each window gets a 64-bit
+    Whole texts, words folded to lower case. A window has as many words as its item (a shorter text is one window). Only a
+    window that shares a five-word shingle with the item can reach the similarity asked for, so an item's windows are laid
+    where a shingle of the document is one of the item's, aligned with its place there, and at every start between two such
+    places that one window can hold, as words may be added or missing inside a passage. Each window gets a 64-bit
     SimHash of its words. Items stand in a multi-index: 8 blocks of 8 bits, each with all values at up to two flipped
-    bits, so that any two fingerprints within distance 23 meet in a block (radius at most 23). Candidates within radius are
-    verified by the weighted Jaccard similarity of their shingle sets: 100 * common weight >= percent * total weight,
-    where an item's shingle weighs one over the number of items that have it, any other 1. The best window of each
-    (document, item) is returned.
+    bits, so that any two fingerprints within distance 23 meet in a block (radius at most 23). A window is looked up
+    among the entries of the items that it was laid for, so it never meets the rest of a large benchmark by chance.
+    Candidates within radius are verified by the weighted Jaccard similarity of their shingle sets: 100 * common weight >=
+    percent * total weight, where an item's shingle weighs one over the number of items that have it, any other 1. The
+    best window of each (document, item) is returned.
 
     Items of under five words cannot be told from chance and are left out; equal items are each reported. NULL and
     empty texts give no rows. A NULL doc_id is reported as NULL; rows that share an id are searched apart and reported
@@ -70,16 +72,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius:
     spots = words.select("doc_id", "text_key", F.size("w").alias("nw"), F.posexplode("w").alias("at", "h"), "w").where(F.col("at") <= F.col("nw") - SHINGLE)
     spots = spots.select("doc_id", "text_key", "nw", "at", shingle_at("w", F.col("at")).alias("shingle"))
     start = F.greatest(F.least(F.col("at") - F.col("item_at"), F.col("nw") - F.col("n")), F.lit(0))
-    windows = kept_table(spots.join(places, "shingle").select("doc_id", "text_key", start.alias("start"), "n").distinct())
-
-    again = words.alias("d").join(windows.alias("v"), F.col("d.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("d.text_key") == F.col("v.text_key")))
-    cut = again.select("d.doc_id", "v.start", "v.n", F.expr("slice(d.w, v.start + 1, v.n)").alias("ww"))
-    cut = kept_table(cut.select("doc_id", "start", F.least("n", F.size("ww")).alias("n"), simhash("ww").alias("fp"), shingles("ww").alias("ws")))
-    met = cut.select("doc_id", "start", "n", "fp", "ws", F.explode(hamming_blocks("fp", 0)).alias("b"))
+    laid = kept_table(spots.join(places, "shingle").select("doc_id", "text_key", "item_id", "n", start.alias("start")).distinct())
+    laid = laid.withColumn("next", F.lead("start").over(Window.partitionBy("doc_id", "text_key", "item_id").orderBy("start")))
+    last = F.when(F.col("next") - F.col("start") < F.col("n"), F.col("next") - 1).otherwise(F.col("start"))
+    laid = kept_table(laid.select("doc_id", "text_key", "item_id", "n", F.explode(F.sequence("start", last)).alias("start")))
+
+    same = F.col("d.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("d.text_key") == F.col("v.text_key"))
+    again = words.alias("d").join(laid.select("doc_id", "text_key", "start", "n").distinct().alias("v"), same)
+    cut = again.select("d.doc_id", "d.text_key", "v.start", "v.n", F.expr("slice(d.w, v.start + 1, v.n)").alias("ww")).distinct()
+    cut = kept_table(cut.select("doc_id", "text_key", "start", "n", F.size("ww").alias("long"), simhash("ww").alias("fp"), shingles("ww").alias("ws")))
+    owned = cut.alias("d").join(laid.alias("v"), same & (F.col("d.start") == F.col("v.start")) & (F.col("d.n") == F.col("v.n"))).select("d.*", "v.item_id")
+    met = owned.select("doc_id", "item_id", "start", "long", "fp", "ws", F.explode(hamming_blocks("fp", 0)).alias("b"))
+    met = met.select("doc_id", "item_id", "start", "long", "fp", "ws", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
     index = kept_table(items.select("item_id", "ifp", F.explode(hamming_blocks("ifp", radius // BLOCKS)).alias("b")).select("item_id", "ifp", "b.block", "b.value"))
-    met = met.join(index, (F.col("b.block") == F.col("block")) & (F.col("b.value") == F.col("value")))
-    near = met.withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp")))).where(F.col("distance") <= radius)
-    near = near.select("doc_id", "item_id", "start", "n", "distance", "ws").distinct().join(items.select("item_id", "weights"), "item_id")
+    near = met.join(index, ["item_id", "block", "value"]).withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp")))).where(F.col("distance") <= radius)
+    near = near.select("doc_id", "item_id", "start", F.col("long").alias("n"), "distance", "ws").distinct().join(items.select("item_id", "weights"), "item_id")
     common = F.aggregate(F.array_intersect("ws", F.map_keys("weights")), F.lit(0.0), lambda a, x: a + F.element_at(F.col("weights"), x))
     total = F.aggregate(F.map_values("weights"), F.lit(0.0), lambda a, x: a + x) + F.size(F.array_except("ws", F.map_keys("weights")))
     near = near.withColumn("common", common).withColumn("total", total).where(100 * F.col("common") >= percent * F.col("total") - 1e-9)

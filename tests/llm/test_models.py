@@ -75,6 +75,35 @@ def test_near_duplicates_edges(spark):
     assert sorted((r["doc_id"] is None, r["component_id"], r["kept"]) for r in out) == [(False, 5, True), (False, 5, True), (True, None, False)]
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    rng = random.Random(14)
+    bases = [words(rng, 40, 10**6) for _ in range(4)]
+    near = lambda b, k: " ".join([*b[:-1], f"tail{k}"])
+    # id 5 has three texts; two of them have partners with larger ids, one has a partner with a smaller id
+    rows = [(5, near(bases[0], 0)), (5, near(bases[1], 0)), (5, near(bases[2], 0)), (9, near(bases[0], 1)), (8, near(bases[1], 1)), (2, near(bases[2], 1)), (7, near(bases[3], 0)), (7, near(bases[3], 0)), (6, near(bases[3], 1))]
+    out = neardup.near_duplicates(docs(spark, [t for _, t in rows], ids=[i for i, _ in rows])).collect()
+    assert Counter((r["doc_id"], r["component_id"]) for r in out) == Counter({(5, 5): 2, (5, 2): 1, (9, 5): 1, (8, 5): 1, (2, 2): 1, (7, 6): 2, (6, 6): 1})
+
+
+def test_near_duplicates_around_the_threshold(spark):
+    rng = random.Random(15)
+    texts = [" ".join(words(rng, 20_000, 10**6)), ""]
+    long = texts[0].split()
+    for cut in (2400, 2800, 3200):  # a long text with a part replaced
+        texts.append(" ".join(long[cut:] + words(rng, cut, 10**6)))
+    for _ in range(40):
+        base = words(rng, rng.randint(40, 400), 10**6)
+        for share in (0.12, 0.14, 0.16, 0.18):
+            n = round(len(base) * share)
+            texts.append(" ".join(base[n:] + words(rng, n, 10**6)))
+    # one factor's hot group: many near copies, and texts near the line to them
+    hot = words(rng, 60, 10**6)
+    texts += [" ".join(hot[:-1] + [f"h{k}"]) for k in range(150)] + [" ".join(hot[k:] + words(rng, k, 10**6)) for k in range(5, 14)]
+    sets, roots = brute_components(texts)
+    out = {r["doc_id"]: r for r in neardup.near_duplicates(docs(spark, texts)).collect()}
+    assert [(out[i]["n_shingles"], out[i]["component_id"]) for i in range(len(texts))] == [(len(sets[i]), roots[i]) for i in range(len(texts))]
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     extra = spark.createDataFrame([(900, 901), (901, 900), (902, 902)], "a long, b long")
@@ -219,6 +248,29 @@ def test_decontamination_against_all_windows(spark):
     assert decontaminate.find_leaks(docs(spark, texts), benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_with_insertions_and_shared_openings(spark):
+    rng = random.Random(21)
+    opening, close = words(rng, 12, 10**6), words(rng, 4, 10**6)
+    items = [(i, opening[: 12 * (i % 2)] + words(rng, rng.randint(14, 40), 10**6) + close[: 4 * (i % 3 == 0)]) for i in range(24)]
+    items += [(90, items[0][1] + words(rng, 10, 10**6)), (91, items[1][1][:-9])]  # one item inside another
+    texts = []
+    for k in range(240):
+        leak = list(items[k % len(items)][1])
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(leak))
+            kind = rng.randrange(3)
+            leak[at : at + (kind > 0) * rng.randint(1, 3)] = words(rng, rng.randint(1, 3) if kind < 2 else 0, 10**6)
+        texts.append(" ".join(words(rng, rng.randint(0, 12), 10**6) + leak + (opening if k % 5 == 0 else []) + words(rng, rng.randint(0, 12), 10**6)))
+    texts += texts[:3]
+    items = [(i, " ".join(w)) for i, w in items]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = docs(spark, [*texts, texts[5]], ids=[*range(len(texts)), None])
+    out = decontaminate.find_leaks(rows, benchmark).collect()
+    want = brute_leaks(texts, items)
+    assert {(r["doc_id"], r["item_id"]) for r in out} == want | {(None, i) for d, i in want if d == 5}
+    assert len(out) > 50
+
+
 def test_hamming_blocks_guarantee(spark):
     rng = random.Random(9)
     rows = []
