@@ -46,12 +46,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan(table(spark, sf_dir, "documents"))
 
-
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    written = secrets.written(F.col("spans"))
-    return out.select("doc_id", *[count(r.kind) for r in secrets.RULES], F.sha2(written, 256).alias("base_sha256"), written.alias("spans"))
+    base = secrets.written(F.col("spans"), secrets.BASE)
+    return out.select("doc_id", *[count(r.kind) for r in secrets.BASE], F.sha2(base, 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"))
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +92,24 @@ SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(block AS INT)
   CASE WHEN copies > 0 THEN round(start / greatest(epochs * x + rest, 1), 9) END AS mix_key FROM c
 """
 
+_ALL = " UNION ALL ".join(
+    f"SELECT r, {i} AS rank, '{rule.kind}' AS kind, {rule.least} AS least, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}', 0) AS hits, regexp_extract_all(t, '{p}', {rule.value}) AS vals FROM d"
+    for i, rule in enumerate(secrets.RULES)
+    for p in [rule.regex.replace("'", "''")]
+)
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+m AS ({_ALL}),
+u AS (SELECT r, rank, kind, least, unnest(range(1, len(hits) + 1)) AS i, gaps, hits, vals FROM m),
+p AS (SELECT r, rank, kind, least, i, length(gaps[i]) AS gap, length(hits[i]) AS size, length(vals[i]) AS val FROM u),
+q AS (SELECT *, sum(gap + size) OVER (PARTITION BY r, rank ORDER BY i) - size AS first FROM p),
+f AS (SELECT r, rank, kind, CAST(first AS BIGINT) AS first, kind || ':' || CAST(first AS BIGINT) || ':' || CAST(first + size AS BIGINT) AS span FROM q WHERE val >= least),
+g AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(span, ',' ORDER BY first, rank) FILTER (rank < {len(secrets.BASE)}) AS base, string_agg(span, ',' ORDER BY first, rank) AS spans FROM f GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON g.r = d.r
+"""
+
 OP9_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -137,4 +154,4 @@ SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_d
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_words >= 80 AND base.r IN (SELECT r FROM bad)) AS kept FROM base
 """
 
-ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_quality": OP4_SQL, "op9_chat": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_quality": OP4_SQL, "op8_secrets": OP8_SQL, "op9_chat": OP9_SQL}

@@ -50,13 +50,13 @@ def test_reply_trees(spark):
 
 
 def brute_secrets(text):
-    rules = (("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16))
+    rules = (("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16), ("forge", re.compile("gh[pousr]_[A-Za-z0-9]+"), 0, 40), ("cloud", re.compile("AIza[0-9A-Za-z_-]+"), 0, 39), ("chat", re.compile("xox[abp]-[0-9A-Za-z-]+"), 0, 20), ("private", re.compile("-----BEGIN (RSA |EC |OPENSSH )?PRIVATE KEY-----"), 0, 0))
     found = [(m.start(), i, f"{k}:{m.start()}:{m.end()}") for i, (k, r, g, n) in enumerate(rules) for m in r.finditer(text or "") if len(m.group(g)) >= n]
     return ",".join(x[2] for x in sorted(found))
 
 
 def test_secrets_against_regex(spark):
-    pieces = ["token", "SECRET", "api_key", "APIKEY", "password", ":", "= ", '"', "'", "abcdef0123456789", "AKIA", "ABCDEFGHIJ0123456789", "short", " ", "é€😀", "passwd=", "\n", "deadbeef"]
+    pieces = ["token", "SECRET", "api_key", "APIKEY", "password", ":", "= ", '"', "'", "abcdef0123456789", "AKIA", "ABCDEFGHIJ0123456789", "short", " ", "é€😀", "passwd=", "\n", "deadbeef", "ghp_", "A1b2" * 9, "AIza", "xoxb-", "-----BEGIN ", "EC ", "PRIVATE KEY-----"]
     rng = random.Random(3)
     texts = [None, "", "token=secret=abcdefghijklmnop", "token: secret: abcdefghijklmnop", "AKIAAKIA" + "A" * 30, "x" * 200_000 + " token=abcdefghijklmnop"]
     texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 14))) for _ in range(300)]
@@ -66,11 +66,21 @@ def test_secrets_against_regex(spark):
 
 
 def test_trigram_queries():
-    grams = {r.kind: r.trigram_query() for r in secrets.RULES}
-    assert grams["hex"] == [] and grams["access"] == [frozenset({"aki", "kia"})]
-    assert frozenset({"tok", "oke", "ken"}) in grams["assign"] and frozenset({"api", "pi_", "i_k", "_ke", "key"}) in grams["assign"]
-    short = secrets.Rule("s", (("ab", "abcd"), "x"), True, 0, 1)
-    assert short.trigram_query() == []  # an alternative without trigrams promises nothing
+    asked = {r.kind: r.trigram_query() for r in secrets.RULES}
+    sets = lambda *texts: frozenset(frozenset(t.split()) for t in texts)
+    assert asked["hex"] == frozenset() and asked["access"] == sets("aki kia")
+    assert asked["assign"] == sets("ass pas wor", "ass pas swd", "cre ecr sec", "ken oke tok", "api ike pik", "_ke i_k pi_")
+    assert asked["forge"] == sets("ghp hp_", "gho ho_", "ghu hu_", "ghs hs_", "ghr hr_")
+    need = secrets.required
+    assert need("a+b") == need("ab?c?") == need("abc|x") == need("(abc)*") == need(".*") == need("ab[0-9]c") == need("(?=abc)") == frozenset()
+    assert need("(abc)+") == need("x?abc") == need("abc|xabc") == sets("abc") and need("abc.*(def|ghi)") == sets("abc def", "abc ghi")
+    assert need("ab(c|d)$") == sets("abc", "abd") and need("abc[0-9]{3}xyz") == sets("abc xyz") and need("(?i:ABC)") == sets("abc")
+
+
+def test_a_text_full_of_matches(spark):
+    text = "deadbeefdeadbeef " * 3000
+    out = secrets.scan(docs(spark, [text])).select(secrets.written(F.col("spans")).alias("s")).first()["s"]
+    assert out == brute_secrets(text)
 
 
 def test_sharding_laws(spark):
