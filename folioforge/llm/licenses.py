@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import ahocorasick
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -31,8 +32,24 @@ TEMPLATES = {
     "CC-BY (prose)": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0.",
     "Proprietary": "All rights reserved.",
+    "CC-BY-SA-4.0 (prose)": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-SA-4.0 (short)": "available under Creative Commons Attribution-ShareAlike 4.0",
+    "GPL-3.0-or-later": "This is free software under the GPL v3 or later.",
+    "GPL-3.0 (German)": "Dieses Programm ist freie Software. Sie können es unter den Bedingungen der GNU General Public License, wie von der Free Software Foundation veröffentlicht, weitergeben und/oder modifizieren, entweder gemäß Version 3 der Lizenz oder (nach Ihrer Option) jeder späteren Version.",
+    "GPL-3.0 (French)": "Ce programme est un logiciel libre ; vous pouvez le redistribuer ou le modifier suivant les termes de la GNU General Public License telle que publiée par la Free Software Foundation ; soit la version 3 de la licence, soit (à votre gré) toute version ultérieure.",
+    "GPL-3.0 (Spanish)": "Este programa es software libre: usted puede redistribuirlo y/o modificarlo bajo los términos de la Licencia Pública General GNU publicada por la Fundación para el Software Libre, ya sea la versión 3 de la Licencia, o (a su elección) cualquier versión posterior.",
+    "MIT (text)": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "ISC (text)": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-Clause (text)": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Apache-2.0 (text)": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "Zlib (text)": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
 }
-CUE = re.compile(r"licen[cs]|permission is hereby|redistribution and use|public domain|all rights reserved", re.IGNORECASE)
+# Identifiers that stand in a one-line tag.
+TAGGED = "0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 BSD-2-Clause BSD-3-Clause CC-BY-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-or-later LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib".split()
+TEMPLATES |= {f"{k} (tag)": f"SPDX-License-Identifier: {k}" for k in TAGGED}
+#: Differences, as a share of a template's words, up to which an unconfirmed block is reported.
+REPORTED = 0.5
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -40,19 +57,61 @@ def plain(word: str) -> str:
     return word.lower().strip(".,;:!?\"'()")
 
 
+def intact_run(n_words: int, max_differences: float) -> int:
+    """Words in a row of a template that any notice shows that may be confirmed: so many differences cut it into one piece more.
+
+    A template that allows none is looked for by three words, so that altered ones are reported as well.
+    """
+    cuts = int(n_words * max_differences + 1e-9)
+    return -(-(n_words - cuts) // (cuts + 1)) if cuts else min(3, n_words)
+
+
 class Templates:
-    """Templates with their raw-content compressors, built once for each task."""
+    """Templates with their raw-content compressors, their runs of words, and the cues: words of which every run has one."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], max_differences: float):
+        self.most = max_differences
         self.words = {k: [plain(w) for w in WORD.findall(v)] for k, v in templates.items()}
         self.bare = zstandard.ZstdCompressor(level=6, write_content_size=False, write_checksum=False)
         self.counts = {k: Counter(v) for k, v in self.words.items()}
-        self.longest = max(map(len, self.words.values()), default=0)
+        self.runs: dict[tuple[str, ...], set[str]] = {}
+        for name, words in self.words.items():
+            n = intact_run(len(words), max_differences)
+            for i in range(len(words) - n + 1) if n else ():
+                self.runs.setdefault(tuple(words[i : i + n]), set()).add(name)
+        self.lengths = sorted({len(r) for r in self.runs})
+        # Rare words first: those of few templates, and long ones.
+        used = Counter(w for words in self.words.values() for w in set(words))
+        cues: set[str] = set()
+        for run in sorted(self.runs, key=lambda r: (len(r), r)):
+            if not cues.intersection(run):
+                cues.add(min(run, key=lambda w: (-len(w), used[w], w)))
+        self.cues = sorted(cues)
+        self.finder = re.compile("|".join(map(re.escape, sorted(cues, key=lambda w: (-len(w), w)))) or "(?!)", re.IGNORECASE)
+        self.automaton = ahocorasick.Automaton()
+        for cue in self.cues:
+            self.automaton.add_word(cue, cue)
+        self.automaton.make_automaton()
         self.packers = {}
         for k, v in templates.items():
             content = zstandard.ZstdCompressionDict(v.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.packers[k] = zstandard.ZstdCompressor(level=6, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False)
 
+    def may_hold(self, text: str) -> bool:
+        return bool(self.cues) and next(self.automaton.iter(text.lower()), None) is not None
+
+    def met(self, words: list[str], at: int) -> set[str]:
+        """Templates of which a run stands in words around the one at `at`."""
+        found: set[str] = set()
+        for n in self.lengths:
+            for i in range(max(0, at - n + 1), at + 1):
+                found |= self.runs.get(tuple(words[i : i + n]), set())
+        return found
+
+    def reach(self, name: str) -> int:
+        """Words to each side of any of its words that hold the notice, extra words and all, if it may be confirmed."""
+        return int(len(self.words[name]) * (1 + self.most)) + 1
+
     def ranked(self, block: str) -> list[tuple[int, str]]:
         """(bytes saved, template), the largest saving first, ties by name."""
         raw = block.encode("utf-8", "surrogatepass")
@@ -91,73 +150,95 @@ class Templates:
         return j, end, out[::-1]
 
 
-def scan_text(text: str | None, templates: Templates, max_differences: float) -> list[tuple]:
+def words_around(text: str, at: int, first: int, n: int) -> tuple[list[tuple[int, int]], int]:
+    """Places of up to n words to each side of the one that holds position `at`, none beginning before `first`, and that word's index."""
+    begin = at
+    while begin > first and not text[begin - 1].isspace():
+        begin -= 1
+    room, before = 40 * n, []
+    while True:  # a wider look where words are long
+        low = max(first, begin - room)
+        before = [m.span() for m in WORD.finditer(text, low, begin)]
+        if low > first and before and before[0][0] == low:
+            before = before[1:]  # may be the end of a longer word
+        if len(before) >= n or low == first:
+            break
+        room *= 4
+    before, after = before[-n:], []
+    for m in WORD.finditer(text, begin):
+        after.append(m.span())
+        if len(after) > n:
+            break
+    return before + after, len(before)
+
+
+def scan_text(text: str | None, known: Templates) -> list[tuple]:
     """Candidate blocks of a whole text: (start, end, license, saved, differences, confirmed), in order."""
     text = text or ""
-    cues = [m.start() for m in CUE.finditer(text)]
-    if not cues:
+    if not known.may_hold(text):
         return []
-    # A notice that may be confirmed, extra words and all, lies within this many words of any of its cues.
-    reach = int(templates.longest * (1 + max_differences)) + 1
-    out, done = [], 0
-    for cue in cues:
-        if cue < done:
+    out, done, doubtful = [], 0, 0
+    longest = max(known.lengths)
+    for cue in known.finder.finditer(text):
+        if cue.start() < done:
             continue
-        before = [m.span() for m in WORD.finditer(text, max(done, cue - 40 * reach), cue)][-reach:]
-        if before and before[-1][1] == cue and not text[cue - 1].isspace():
-            before, at = before[:-1], before[-1][0]  # the cue lies inside a word
-        else:
-            at = cue
-        after = []
-        for m in WORD.finditer(text, at):
-            after.append(m.span())
-            if len(after) > reach:
-                break
-        spans = before + after
+        spans, at = words_around(text, cue.start(), done, longest)
+        names = known.met([plain(text[a:b]) for a, b in spans], at)
+        if not names:
+            continue
+        spans, at = words_around(text, cue.start(), done, max(map(known.reach, names)))
         words = [plain(text[a:b]) for a, b in spans]
-        ranked = templates.ranked(text[spans[0][0] : spans[-1][1]])
-        have, sizes = Counter(words), {k: len(v) for k, v in templates.words.items()}
-        bounds = [(templates.least(name, have) / max(1, sizes[name]), -saved, name) for saved, name in ranked]
-        # What saves no bytes is only compared if it may be confirmed, or if nothing saves any.
-        tried = [x for x in bounds if x[1] < 0 or x[0] <= max_differences] or bounds
+        saved = dict((k, n) for n, k in known.ranked(text[spans[0][0] : spans[-1][1]]))
         best = None
-        for bound in sorted(tried):
-            if best is not None and bound >= best[0]:
+        bounds = []
+        for name in names:
+            low, high = max(0, at - known.reach(name)), at + known.reach(name) + 1
+            bounds.append((known.least(name, Counter(words[low:high])) / len(known.words[name]), -saved[name], name, low, high))
+        for bound in sorted(bounds):
+            if best is not None and bound[:3] >= best[0]:
                 break  # the bounds that follow are no smaller
-            start, end, differs = templates.differences(bound[2], words, len(before))
-            found = (len(differs) / max(1, sizes[bound[2]]), *bound[1:])
+            _, less, name, low, high = bound
+            start, end, differs = known.differences(name, words[low:high], at - low)
+            found = (len(differs) / len(known.words[name]), less, name)
             if best is None or found < best[0]:
-                best = found, start, end, differs
-        (share, saved, name), start, end, differs = best
-        ok = share <= max_differences
-        out.append((spans[start][0], spans[end - 1][1], name, -saved, " ".join(differs), ok))
-        done = out[-1][1] if ok else spans[-1][1] if len(after) <= 1 else cue + 1
+                best = found, start + low, end + low, differs
+        (share, less, name), start, end, differs = best
+        ok = share <= known.most
+        if ok:
+            done = spans[end - 1][1]
+        elif share > REPORTED or spans[start][0] < doubtful:
+            continue
+        else:
+            doubtful = spans[end - 1][1]
+        out.append((spans[start][0], spans[end - 1][1], name, -less, " ".join(differs), ok))
     return out
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, max_differences: float = 0.1, id_col: str = "doc_id") -> DataFrame:
     """One row for each candidate block: (doc_id, block, start, end, license, bytes_saved, differences, n_differences, confirmed).
 
-    A block is the words around a cue, to each side as many as the longest notice that may be confirmed has, so its size
-    is bounded however long the text is, and a notice is found from any of its cues;
-    every cue of the whole text is looked at, but for cues inside a notice already confirmed. Each block is compressed
-    alone and with every template as raw zstandard dictionary. Every template that saves bytes, or that has enough of
-    its words in the block to be confirmed, is compared word by word (case and surrounding punctuation apart) with the
-    span around the cue that fits it best; a notice elsewhere in the block does not answer for the cue. The template with
+    A notice within max_differences shows a run of words of its template (intact_run), in whatever language that is. Each
+    run holds a cue word; at each cue of the whole text the words around it are looked up among all runs of all templates,
+    so no notice that may be confirmed is passed over, but for cues inside a notice already confirmed. A block reaches to
+    each side as far as the longest template met there may, so its size is bounded however long the text is. It is
+    compressed alone and with every template as raw zstandard dictionary, which ranks them by bytes saved; the templates met are
+    compared word by word (case and surrounding punctuation apart) with the
+    span around the cue that fits each best; a notice elsewhere in the block does not answer for the cue. The template with
     the fewest differences for its length wins, at ties the one that saves most bytes. It is confirmed if the
-    differences, missing words (-) and extra ones inside (+), are at most max_differences of the template's words.
+    differences, missing words (-) and extra ones inside (+), are at most max_differences of the template's words. Otherwise it
+    is reported, once for overlapping spans, if they are at most half of them.
     start and end are code points. NULL and empty texts and texts without a cue give no rows; NULL ids are kept;
     repeated rows give repeated rows; an empty table gives none; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Templates(templates)
+        known = Templates(templates, max_differences)
         names = ["doc_id", "block", "start", "end", "license", "bytes_saved", "differences", "n_differences", "confirmed"]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.bool_()]
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for i, (a, b, name, saved, differs, ok) in enumerate(scan_text(text, known, max_differences)):
+                for i, (a, b, name, saved, differs, ok) in enumerate(scan_text(text, known)):
                     rows.append((doc, i, a, b, name, saved, differs, len(differs.split()), ok))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 

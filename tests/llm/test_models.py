@@ -187,23 +187,61 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs(spark, [])).count() == 0
 
 
+def known_templates(most=0.1):
+    return licenses.Templates(licenses.TEMPLATES, most)
+
+
 def test_a_later_notice_does_not_hide_an_earlier_one():
-    known, t = licenses.Templates(licenses.TEMPLATES), licenses.TEMPLATES
+    known, t = known_templates(), licenses.TEMPLATES
     short = ["Proprietary", "Apache-2.0", "CC-BY-NC-4.0", "GPL-3.0", "GPL-2.0", "MIT", "CC0-1.0", "Proprietary", "AGPL-3.0", "LGPL-3.0"]
     for names in (["Proprietary", "Apache-2.0"], ["CC-BY-NC-4.0", "GPL-3.0"], ["MIT", "MIT"], short, short[::-1]):
         text = " ".join(t[k] for k in names)
-        found = licenses.scan_text(text, known, 0.1)
+        found = licenses.scan_text(text, known)
         assert [(text[a:b], k, d, ok) for a, b, k, _, d, ok in found] == [(t[k], k, "", True) for k in names]
-    _, _, name, _, differs, ok = licenses.scan_text("of the of " + t["BSD-3-Clause"].replace("source and ", "source or ").replace("Redistribution", "The redistribution"), known, 0.1)[0]
+    _, _, name, _, differs, ok = licenses.scan_text("of the of " + t["BSD-3-Clause"].replace("source and ", "source or ").replace("Redistribution", "The redistribution"), known)[0]
     assert (name, differs, ok) == ("BSD-3-Clause", "-and +or", True)
 
 
 def test_every_license_template_is_confirmed():
-    known = licenses.Templates(licenses.TEMPLATES)
+    known = known_templates()
     for name, notice in licenses.TEMPLATES.items():
-        text = "some words before it " * 20 + notice + " and others after it" * 20
-        found = [(text[a:b], k) for a, b, k, _, _, ok in licenses.scan_text(text, known, 0.1) if ok]
-        assert found == [(notice, name)]
+        for text in (notice, "some words before it " * 60 + notice + " and others after it" * 60, "x" * 5000 + " " + notice.replace(" ", "\n ") + " " + "y" * 5000):
+            found = [(" ".join(text[a:b].split()), k) for a, b, k, _, _, ok in licenses.scan_text(text, known) if ok]
+            assert found == [(" ".join(notice.split()), name)], name
+
+
+def fewest_differences(want, have):
+    """Fewest missing and extra words of any span of have against want, with insertions at the span's ends free."""
+    row = [0] * (len(have) + 1)
+    for w in want:
+        above, row = row, [row[0] + 1]
+        for j, h in enumerate(have):
+            row.append(above[j] if w == h else 1 + min(above[j + 1], row[j]))
+    return min(row)
+
+
+def test_altered_notices_against_all_templates_and_places():
+    rng, known = random.Random(31), known_templates()
+    filler = words(rng, 300, 10**6)
+    for name, notice in [(k, v) for k, v in licenses.TEMPLATES.items() for _ in range(3)]:
+        w = notice.split()
+        for _ in range(rng.randint(0, len(w) // 8)):
+            at, kind = rng.randrange(len(w) + 1), rng.randrange(3)
+            w[at : at + (kind > 0)] = words(rng, int(kind < 2), 10**6)
+        text = " ".join(filler[: rng.randint(0, 50)] + w + filler[60 : rng.randint(60, 120)])
+        have = [licenses.plain(x) for x in text.split()]
+        possible = {k for k, v in known.words.items() if fewest_differences(v, have) <= 0.1 * len(v)}
+        confirmed = {k for _, _, k, _, _, ok in licenses.scan_text(text, known) if ok}
+        assert confirmed <= possible and bool(confirmed) == bool(possible), (name, text)
+
+
+def test_notices_in_other_words_and_languages():
+    known, t = known_templates(), licenses.TEMPLATES
+    found = lambda text: [(k, ok) for _, _, k, _, _, ok in licenses.scan_text(text, known)]
+    assert found("It is available under Creative Commons Attribution-ShareAlike 4.0 for all.") == [("CC-BY-SA-4.0 (short)", True)]
+    assert found("// SPDX-License-Identifier: MIT") == [("MIT (tag)", True)]
+    assert found("Hinweis: " + t["GPL-3.0 (German)"].replace("Programm", "Werk")) == [("GPL-3.0 (German)", True)]
+    assert found("the driving office sends its permission slips in the following weeks") == [] == found(None) == found("")
 
 
 def brute_leaks(texts, items, percent=75):
