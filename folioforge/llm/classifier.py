@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,11 @@ def ngram_buckets(text: str | None, sizes: tuple[int, ...], bits: int) -> np.nda
     return np.concatenate(out) if out else np.empty(0, np.uint32)
 
 
+def for_cut(doc: int) -> bool:
+    """Whether a labelled document is held out of the fit, to find the cut: a third, by its id."""
+    return zlib.crc32(str(doc).encode()) % 3 == 0
+
+
 def labelled_sample(labels: DataFrame, rows: int) -> dict[int, int]:
     """doc_id -> quality for at most `rows` labelled documents, the same for any order of the rows; NULLs are left out, a document with both labels is bad."""
     picked = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -95,8 +101,7 @@ def classify(
     docs: DataFrame,
     labels: DataFrame,
     keep: float | None = None,
-    strength: float = 1000.0,
-    prior: float = 1000.0,
+    temper: float = 1.0,
     good_cost: float = 20.0,
     sizes: tuple[int, ...] = (2, 3, 4),
     bits: int = 16,
@@ -109,13 +114,12 @@ def classify(
     """One row for each document: (doc_id, n_grams, log_weight, gumbel_key, kept), and key_col (a long) if it is given.
 
     Two bag-of-n-grams models over hashed byte n-grams of whole texts: target (good labelled documents, at most
-    labelled_rows labels) and raw (all documents). log_weight is the log likelihood ratio for one n-gram, so that
-    length does not decide, with `prior` neutral n-grams added, so that short texts stay near 0; `strength` times it is
-    the logarithm of the document's importance weight. Adding Gumbel noise, drawn from a
-    hash of the id and the text, and taking the k largest keys samples k documents without replacement in proportion
-    to their weights. k is keep times the number of documents; by default keep comes from the labelled documents: as
-    many are sampled as score above the cut that separates good from bad ones best, where losing a good one costs as
-    much as keeping good_cost bad ones.
+    labelled_rows labels, but for a third held out by id) and raw (all documents). log_weight is the logarithm of the
+    likelihood ratio of the text under the two, which is its importance weight (raised to `temper`). Adding Gumbel noise,
+    drawn from a hash of the id and the text, and taking the k largest keys samples k documents without replacement in
+    proportion to these weights. k is keep times the number of documents; by default keep comes from the held-out labelled
+    documents: as many are sampled as score above the cut that separates their good from their bad ones best, where losing
+    a good one costs as much as keeping good_cost bad ones. (Where none are held out, the cut is read on all labelled ones.)
 
     The k-th key is found by counting in ranges, never by a global sort. Ties at it go by (id, hash). NULL and empty
     texts have weight 0 n-grams, log_weight NULL, and are never sampled. Without any good labelled document all
@@ -124,7 +128,10 @@ def classify(
     key = [] if key_col is None else [key_col]
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text", *key)
     sample = labelled_sample(labels, labelled_rows)
-    ratio = fit(docs, sample, sizes, bits, smoothing) if any(sample.values()) else np.zeros(2**bits, np.float32)
+    fitted = {d: q for d, q in sample.items() if not for_cut(d)}
+    fitted = fitted if any(fitted.values()) else sample
+    cut_on = {d: q for d, q in sample.items() if d not in fitted} or sample
+    ratio = fit(docs, fitted, sizes, bits, smoothing) if any(sample.values()) else np.zeros(2**bits, np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,13 +139,13 @@ def classify(
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 at = ngram_buckets(text, sizes, bits)
                 n.append(len(at))
-                weight.append(float(ratio[at].sum(dtype=np.float64) / (len(at) + prior)) if len(at) else None)
-                label.append(sample.get(doc))
+                weight.append(float(ratio[at].sum(dtype=np.float64)) if len(at) else None)
+                label.append(cut_on.get(doc))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(weight, pa.float64()), pa.array(label, pa.int32()), *batch.columns[2:]], names=["doc_id", "n_grams", "log_weight", "label", "noise", *key])
 
     noise = F.xxhash64("doc_id", F.crc32(F.coalesce("text", F.lit(""))), F.lit(seed))
     scores = docs.select("doc_id", "text", noise.alias("noise"), *key).mapInArrow(run, "doc_id long, n_grams long, log_weight double, label int, noise long" + "".join(f", {k} long" for k in key))
-    scores = kept_table(scores.withColumn("gumbel_key", F.lit(strength) * F.col("log_weight") - F.log(-F.log(_uniform(F.col("noise"))))))
+    scores = kept_table(scores.withColumn("gumbel_key", F.lit(temper) * F.col("log_weight") - F.log(-F.log(_uniform(F.col("noise"))))))
     judged = scores.where("log_weight IS NOT NULL")
     n_all = judged.count()
     if keep is not None:
@@ -164,16 +171,17 @@ def _uniform(noise: Column) -> Column:
 def best_cut(judged: DataFrame, good_cost: float, ways: int = 4096) -> float:
     """The cut on log_weight with the least cost of labelled documents on the wrong side; the middle of the gap where several are equal.
 
-    Labelled scores are counted in `ways` ranges, so what reaches the driver is bounded.
+    Labelled scores are counted in `ways` ranges of equal width on the scale of asinh, fine around 0, so what reaches the
+    driver is bounded.
     """
-    known = judged.where("label IS NOT NULL")
-    low, high = known.agg(F.min("log_weight"), F.max("log_weight")).first()
+    known = judged.where("label IS NOT NULL").withColumn("scaled", F.asinh("log_weight"))
+    low, high = known.agg(F.min("scaled"), F.max("scaled")).first()
     if low is None or low == high:
         return -np.inf
-    part = F.least(F.floor((F.col("log_weight") - F.lit(low)) / F.lit((high - low) / ways)), F.lit(ways - 1)).cast("int")
+    part = F.least(F.floor((F.col("scaled") - F.lit(low)) / F.lit((high - low) / ways)), F.lit(ways - 1)).cast("int")
     good, bad = np.zeros(ways), np.zeros(ways)
     for r in known.groupBy(part.alias("p")).agg(F.sum((F.col("label") == 1).cast("long")).alias("g"), F.count("*").alias("n")).collect():
         good[r["p"]], bad[r["p"]] = r["g"], r["n"] - r["g"]
     wrong = np.concatenate([[0], good_cost * np.cumsum(good)]) + np.concatenate([np.cumsum(bad[::-1])[::-1], [0]])
     best = np.flatnonzero(wrong == wrong.min())
-    return float(low + (high - low) * (best[0] + best[-1]) / 2 / ways)
+    return float(np.sinh(low + (high - low) * (best[0] + best[-1]) / 2 / ways))

@@ -163,6 +163,41 @@ def test_classifier(spark):
     assert classifier.classify(docs(spark, texts), labels.limit(0)).where("kept").count() == len(texts) - 2
 
 
+def slow_bucket(gram, bits):
+    key = len(gram)
+    for b in gram:
+        key = ((key ^ b) * 0x9E3779B1) % 2**32
+        key ^= key >> 15
+    return key >> (32 - bits)
+
+
+def test_classifier_against_plain_python(spark):
+    rng, bits = random.Random(16), 10
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma"] if rng.random() < 0.8 else ["###", "zz9", "é"]) for _ in range(rng.randint(1, 40))) for _ in range(120)] + ["", None, "x", "tie tie", "tie tie"]
+    ids = [*range(len(texts) - 3), None, 500, 500]
+    labels = {i: int(texts[i].count("#") + texts[i].count("9") < 3) for i in range(0, 120, 2)}
+    frame = spark.createDataFrame([(i, q, 0) for i, q in labels.items()], "doc_id long, quality int, toxic int")
+    out = classifier.classify(docs(spark, texts, ids=ids), frame, bits=bits, temper=0.5).collect()
+    buckets = [[slow_bucket(raw[i : i + n], bits) for n in (2, 3, 4) for i in range(len(raw) - n + 1)] for raw in ((t or "").encode() for t in texts)]
+    fitted = {i for i in labels if zlib.crc32(str(i).encode()) % 3}
+    raw = Counter(b for bs in buckets for b in bs)
+    target = Counter(b for i, bs in zip(ids, buckets, strict=True) if i in fitted and labels[i] for b in bs)
+    p, n = [raw[b] + 1 for b in range(2**bits)], sum(raw.values())
+    q = [target[b] + (sum(target.values()) + 1) / (n + 1) for b in range(2**bits)]
+    want = sorted((str(i), len(bs), round(sum(math.log(q[b] / sum(q)) - math.log(p[b] / sum(p)) for b in bs), 3) if bs else None) for i, bs in zip(ids, buckets, strict=True))
+    got = sorted((str(r["doc_id"]), r["n_grams"], None if r["log_weight"] is None else round(r["log_weight"], 3)) for r in out)
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert all(a[2] is b[2] is None or math.isclose(a[2], b[2], abs_tol=0.01) for a, b in zip(got, want, strict=True))
+    judged = [r for r in out if r["log_weight"] is not None]
+    held = [(r["log_weight"], labels[r["doc_id"]]) for r in judged if r["doc_id"] in labels and r["doc_id"] not in fitted]
+    cost = lambda cut: sum(20 * g if w < cut else 1 - g for w, g in held)
+    k = sum(r["kept"] for r in out)
+    ordered = sorted(judged, key=lambda r: -r["gumbel_key"])
+    assert {id(r) for r in judged if r["kept"]} <= {id(r) for r in ordered if r["gumbel_key"] >= ordered[k - 1]["gumbel_key"]} and k < len(judged)
+    cuts = sorted(r["log_weight"] for r in judged)
+    assert cost(cuts[len(judged) - k]) == min(map(cost, [*cuts, cuts[-1] + 1]))
+
+
 def test_top_k_is_exact(spark):
     rng = random.Random(7)
     values = [rng.choice([0.0, 1.0, rng.random(), rng.gauss(0, 1e6)]) for _ in range(3000)]
