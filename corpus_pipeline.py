@@ -31,7 +31,11 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier samples; rejected ones and those without text go."""
+    """Documents that the quality classifier samples; rejected ones and those without text go.
+
+    Rows are told apart by id and text, NULL ids included; repeated rows are judged alike. Without good labels all
+    documents with text stay; an empty table gives none.
+    """
     judged = classifier.classify(keyed(docs), table(spark, sf_dir, "labels"), key_col="row_key")
     return without(docs, judged.where("NOT kept"))
 
@@ -39,12 +43,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id, one without an id only where none has any.
 
-    Rows that share an id are documents of their own, unless they have the same text: these count once.
+    Rows that share an id, or have none, are documents of their own, unless they have the same text: these count once. At
+    ties the smaller row_key stays. Documents without words stay as they are. An empty table gives none.
     """
     rows = keyed(docs)
     groups = neardup.near_duplicates(rows, id_col="row_key").select(F.col("doc_id").alias("row_key"), "component_id").distinct()
     members = kept_table(groups.join(rows.select("row_key", "doc_id").distinct(), "row_key"))
-    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
+    first = kept_table(members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")))
     kept = without(docs, members.join(first, "component_id").where("row_key <> first.row_key"))
     if rows.groupBy("row_key").count().where("count > 1").isEmpty():
         return kept
@@ -52,7 +57,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark. Rows are told apart by id and text; repeated rows go or stay together; empty tables take nothing away."""
     leaks = decontaminate.find_leaks(keyed(docs), table(spark, sf_dir, "benchmark"), id_col="row_key")
     return without(docs, leaks.withColumnRenamed("doc_id", "row_key"))
 
@@ -66,7 +71,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of each row of the mixture."""
+    """Shard and slot of each row of the mixture: repeated rows and NULL ids have a slot each; an empty table gives none."""
     return sharding.assign_shards(docs, 16)
 
 
