@@ -167,7 +167,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 14, width:
     named = class_components(docs, classes, percent, tables, width)
     whole = sigs.select("doc_id", *same_set).join(classes.select("node", "least", *same_set), same_set, "left")
     if named is not None:
-        least = named.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
+        named = kept_table(named)
+        least = kept_table(named.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id")))
         whole = whole.join(named.join(least, "component").select("node", "component_id"), "node", "left")
     else:
         whole = whole.withColumn("component_id", F.lit(None).cast("long"))
