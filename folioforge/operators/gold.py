@@ -91,10 +91,18 @@ def open_access_trends(t: Tables) -> DataFrame:
 def citation_edges(t: Tables) -> DataFrame:
     """References of active works with the state of their target: ACTIVE, DELETED, or NULL where it is not known."""
     target = t["works"].select(F.col("work_id").alias("referenced_work_id"), F.col("activity_state").alias("target_activity_state"))
-    edges = t["work_references"].join(_active_ids(t), "work_id", "left_semi").join(target, "referenced_work_id", "left")
+    edges = with_target(t["work_references"].join(_active_ids(t), "work_id", "left_semi"), target)
     return edges.select(F.col("work_id").alias("source_work_id"), "reference_index", "referenced_work_id", "reference_status", "target_activity_state")
 
 
+def with_target(references: DataFrame, target: DataFrame) -> DataFrame:
+    """References left-joined with (referenced_work_id, ...). Those that name no work are not shuffled: they would all meet in one task."""
+    added = [c for c in target.columns if c != "referenced_work_id"]
+    resolved = references.where("referenced_work_id IS NOT NULL").join(target, "referenced_work_id", "left")
+    rest = references.where("referenced_work_id IS NULL").select("*", *[F.lit(None).cast(dict(target.dtypes)[c]).alias(c) for c in added])
+    return resolved.unionByName(rest)
+
+
 MARTS: dict[str, Callable[[Tables], DataFrame]] = {
     f.__name__: f
     for f in (research_discovery, journal_author_stats, publisher_author_stats, publisher_topic_year_stats, publisher_topic_license_year_stats, institution_topic_stats, publication_trends, open_access_trends, citation_edges)
@@ -134,8 +142,7 @@ def staged_citation_edges(t: Tables) -> DataFrame:
 
 
 def build_all(t: Tables) -> dict[str, DataFrame]:
-    """All marts over one cached table of works."""
-    t = {**t, "works": t["works"].cache()}
+    """All marts over the same tables, which should be stored ones, as each mart reads them."""
     return {name: mart(t) for name, mart in MARTS.items()}
 
 

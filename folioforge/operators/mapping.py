@@ -22,14 +22,16 @@ mesh array<struct<descriptor_ui:string,descriptor_name:string,qualifier_ui:strin
 referenced_works array<string>, grants array<struct<funder:string,funder_display_name:string,award_id:string>>"""
 ARRAYS = ("authorships", "topics", "keywords", "mesh", "referenced_works", "locations", "grants")
 INTEGERS = ("publication_year", "cited_by_count", "referenced_works_count")
+#: Columns that parsing adds or needs; tables do not carry them.
+PARSED = ("raw", "r", "v", "keys")
 DATES = ("publication_date", "created_date", "updated_date")
 TEXTS = ("title", "display_name", "type", "language")
 
 
 def parse_works(raw: DataFrame) -> DataFrame:
-    """Add r (typed record) and v (variant, for type tests) to rows (raw, ...); work_id is NULL where it is malformed."""
+    """Add r (typed record), v (variant, for type tests) and keys (of the record) to rows (raw, ...); work_id is NULL where it is malformed."""
     record = F.from_json(F.col("raw"), RECORD)
-    return raw.withColumns({"r": record, "v": F.try_parse_json("raw")}).withColumn("work_id", S.normalize_id(F.col("r.id"), "W"))
+    return raw.withColumns({"r": record, "v": F.try_parse_json("raw"), "keys": F.json_object_keys("raw")}).withColumn("work_id", S.normalize_id(F.col("r.id"), "W"))
 
 
 def kind(path: str) -> Column:
@@ -39,7 +41,7 @@ def kind(path: str) -> Column:
 
 def presence(key: str) -> Column:
     """MISSING, NULL, EMPTY or PRESENT; NULL for a value that is no array."""
-    here = F.array_contains(F.json_object_keys("raw"), key)
+    here = F.array_contains("keys", key)
     k = kind(key)
     return (
         F.when(~here, "MISSING").when(k == "VOID", "NULL").when(~F.startswith(k, F.lit("ARRAY")), F.lit(None)).when(F.size(F.try_variant_get("v", f"$.{key}", "array<variant>")) == 0, "EMPTY").otherwise("PRESENT")
@@ -47,7 +49,7 @@ def presence(key: str) -> Column:
 
 
 def _items(p: DataFrame, array: str, at: str) -> DataFrame:
-    return p.select(*[c for c in p.columns if c not in ("raw", "r", "v")], F.posexplode(f"r.{array}").alias(at, "x"))
+    return p.select(*[c for c in p.columns if c not in PARSED], F.posexplode(f"r.{array}").alias(at, "x"))
 
 
 def _first(df: DataFrame, keys: list[str], at: str, columns: list[str]) -> DataFrame:
@@ -129,7 +131,7 @@ def works(p: DataFrame) -> DataFrame:
 
 
 def _carried(p: DataFrame) -> list[str]:
-    return [c for c in p.columns if c not in ("raw", "r", "v", "work_id")]
+    return [c for c in p.columns if c not in (*PARSED, "work_id")]
 
 
 def work_authors(p: DataFrame) -> DataFrame:

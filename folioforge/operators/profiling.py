@@ -77,12 +77,14 @@ def parquet_field_profile(df: DataFrame) -> DataFrame:
 
 
 def line_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: records, blank lines, and whether the last line lacks its end."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("asset"), F.decode("content", "utf-8").alias("text"))
-    lines = F.split("text", "\n", -1)
-    ended = F.col("text").endswith("\n") | (F.col("text") == "")
-    body = F.when(ended, F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0)))).otherwise(lines)
-    return files.select("asset", F.size(F.filter(body, lambda x: F.trim(x) != "")).alias("records"), F.size(F.filter(body, lambda x: F.trim(x) == "")).alias("blank"), (~ended).alias("unterminated"))
+    """Per file: records, blank lines, and whether the last line lacks its end (NULL for a packed file, whose bytes are not its text's).
+
+    Lines are read as lines, so a large file is split and a packed one decoded. Files without any line are not listed.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("asset"), F.col("_metadata.file_size").alias("size"))
+    counts = lines.groupBy("asset", "size").agg(F.count_if(F.trim("value") != "").alias("records"), F.count_if(F.trim("value") == "").alias("blank"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+    packed = F.col("asset").rlike(r"\.(gz|bz2|zst|lz4|snappy|deflate)$")
+    return counts.select("asset", "records", "blank", F.when(~packed, F.col("bytes") == F.col("size") + 1).alias("unterminated"))
 
 
 def record_count_reconcile(declared: DataFrame, observed: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from folioforge.operators import gold
 from folioforge.operators.aggregates import content_fingerprint
 from folioforge.operators.gold import Tables
+from folioforge.sources.scratch import kept
 
 IDENTITY = ("source", "entity", "source_uri", "snapshot_date", "updated_date", "content_format")
 
@@ -80,7 +81,7 @@ def commit_assets(rows: DataFrame, errors: Column) -> DataFrame:
     return rows.join(bad, "asset", "left_anti")
 
 
-# --- versions of a published directory ---------------------------------------------------------------------------
+# --- versions of a published directory: one writer at a time is the condition ------------------------------------
 
 
 def _pointer(spark: SparkSession, root: str) -> DataFrame | None:
@@ -129,6 +130,13 @@ def restore(spark: SparkSession, root: str) -> None:
     activate(spark, root, now["previous"], content_fingerprint(old))
 
 
+def restore_if_any(spark: SparkSession, root: str) -> None:
+    """Point back where there is an earlier version; a first version stays, as nothing was served before it."""
+    now = active_version(spark, root)
+    if now and now["previous"] is not None:
+        restore(spark, root)
+
+
 def read_active(spark: SparkSession, root: str) -> DataFrame:
     now = active_version(spark, root)
     if now is None:
@@ -204,5 +212,13 @@ def refresh_mart(mart_rows: DataFrame, new: Tables, scope: DataFrame, mart: str)
 
 
 def frozen_decision_order(df: DataFrame) -> DataFrame:
-    """Row numbers of assets in their order of processing."""
-    return df.withColumn("seq", F.row_number().over(Window.orderBy("processed_at", "asset_id")))
+    """Numbers of assets in their order of processing, from 1.
+
+    Rows are sorted into ranges, numbered inside each, and moved by the rows of the ranges before; no task sees them all.
+    """
+    ranged = df.repartitionByRange("processed_at", "asset_id").withColumn("_part", F.spark_partition_id())
+    numbered = kept(ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy("processed_at", "asset_id"))))
+    sizes = numbered.groupBy("_part").agg(F.count("*").alias("c"))
+    ahead = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    before = sizes.select("_part", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("before"))
+    return numbered.join(F.broadcast(before), "_part").withColumn("seq", (F.col("before") + F.col("_n")).cast("long")).drop("_part", "_n", "before")

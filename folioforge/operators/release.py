@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from folioforge.operators.aggregates import content_fingerprint, fingerprint
 from folioforge.operators.entities import reconcile_entities
-from folioforge.operators.versions import enrichment_rows, fold_assets, winning_relationships
+from folioforge.operators.versions import enrichment_rows, fold_assets, outcomes_of, winning_relationships
 from folioforge.plans import schemas
+from folioforge.sources.scratch import kept
 from folioforge.sources.writers import append_log
 
 
@@ -16,16 +17,30 @@ def replay(observations: DataFrame, relationships: dict[str, DataFrame], describ
     """Rebuild state from nothing: works, barriers, relationships of winning observations and reconciled entities.
 
     relationships: rows of (work_id, seq, pos, ...). described: entity table -> (rows of (key, fields, date, work_id,
-    seq, pos), fields). Returns the tables and the assets that were left out as a record of theirs aborts.
+    seq, pos), fields). An asset is left out as a whole if one of its works aborts, or if one of its descriptions of an
+    entity clashes with an earlier one without a date to order them; the first such asset goes, and the rest is built
+    again. Returns the tables and the assets left out.
     """
-    folded, dropped = fold_assets(observations)
-    fed = enrichment_rows(observations, folded).select("work_id", "seq", "pos")
+    lost: list[int] = []
+    while True:
+        live = observations.where(~F.col("seq").isin(lost)) if lost else observations
+        folded, dropped = fold_assets(live)
+        fed = kept(enrichment_rows(live, folded).select("work_id", "seq", "pos"))
+        entities, first = {}, None
+        for name, (rows, fields) in described.items():
+            entities[name] = kept(reconcile_entities(rows.join(fed, ["work_id", "seq", "pos"], "left_semi"), schemas.ENTITIES[name], fields))
+            clash = entities[name].where("conflicts > 0").agg(F.min(F.array_min("conflict_seqs"))).first()[0]
+            first = clash if first is None else first if clash is None else min(first, clash)
+        if first is None:
+            break
+        lost.append(first)
     out = {"works": folded.where("state IS NOT NULL").drop("outcomes"), "barriers": folded.where("barrier IS NOT NULL").select("work_id", F.col("barrier").alias("deleted_date"))}
     for name, rows in relationships.items():
         out[name] = winning_relationships(rows, folded)
-    for name, (rows, fields) in described.items():
-        out[name] = reconcile_entities(rows.join(fed, ["work_id", "seq", "pos"], "left_semi"), schemas.ENTITIES[name], fields)
-    return out, dropped
+    for name, df in entities.items():
+        out[name] = df.drop("conflicts", "conflict_seqs")
+    out["outcomes"] = outcomes_of(folded)
+    return out, sorted({*lost, *dropped})
 
 
 def render_release(tables: dict[str, DataFrame], folder: str, rows_per_part: int) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.sources.scratch import kept
+
 STATES = ("ACTIVE", "DELETED")
 ACCEPTED = ("INSERT", "APPLY_UPDATE")
 REJECTED = ("RESTORE_REQUIRED", "CONFLICT", "STALE")
@@ -209,19 +213,32 @@ def outcomes_of(folded: DataFrame) -> DataFrame:
     return folded.select("work_id", F.explode("outcomes").alias("o")).select("work_id", "o.seq", "o.pos", "o.kind", "o.outcome")
 
 
-def fold_assets(observations: DataFrame, state: DataFrame | None = None) -> tuple[DataFrame, list[int]]:
+ABORTS = ("CONFLICT", "RESTORE_REQUIRED")
+
+
+def fold_assets(observations: DataFrame, state: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = kept) -> tuple[DataFrame, list[int]]:
     """fold_observations with whole assets (seq) left out if any of their records aborts; returns the fold and the assets left out.
 
-    An asset left out must not influence later ones, so the first aborting asset is dropped and the rest folded anew,
-    until none aborts; with no abort this is a single fold.
+    An asset left out must not influence later ones. All works are folded once. Then, in rounds, those assets are dropped
+    whose abort is certain, as no other asset in question touches the work before them (the first one always is), and
+    only the works that they touch are folded again. A round's results are kept by `keep`; what reaches the driver are
+    the numbers of dropped assets.
     """
     dropped: list[int] = []
+    folded = keep(fold_observations(observations, state))
     while True:
-        folded = fold_observations(observations.where(~F.col("seq").isin(dropped)) if dropped else observations, state)
-        first = outcomes_of(folded).where("outcome IN ('CONFLICT', 'RESTORE_REQUIRED')").agg(F.min("seq")).first()[0]
-        if first is None:
-            return folded, dropped
-        dropped.append(first)
+        aborts = keep(outcomes_of(folded).where(F.col("outcome").isin(*ABORTS)).select("work_id", "seq").distinct())
+        if aborts.isEmpty():
+            return folded, sorted(dropped)
+        live = observations.where(~F.col("seq").isin(dropped)) if dropped else observations
+        doubtful = live.join(aborts.select("seq").distinct(), "seq", "left_semi").select("work_id", F.col("seq").alias("before"))
+        unsure = aborts.join(doubtful, "work_id").where("before < seq").select("work_id", "seq").distinct()
+        certain = [r["seq"] for r in aborts.join(unsure, ["work_id", "seq"], "left_anti").select("seq").distinct().collect()]  # at most one row for each asset
+        touched = keep(live.where(F.col("seq").isin(certain)).select("work_id").distinct())
+        dropped += certain
+        again = observations.where(~F.col("seq").isin(dropped)).join(touched, "work_id", "left_semi")
+        start = state.join(touched, "work_id", "left_semi") if state is not None else None
+        folded = keep(folded.join(touched, "work_id", "left_anti").unionByName(fold_observations(again, start)))
 
 
 def enrichment_rows(observations: DataFrame, folded: DataFrame) -> DataFrame:
