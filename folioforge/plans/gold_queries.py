@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioforge.operators import aggregates, gold, lookups
-from folioforge.plans.registry import query
+from folioforge.plans.registry import ORACLES, QUERIES, query
 
 ALL = ("works", "work_authors", "work_topics", "work_author_institutions", "work_locations", "work_references")
 LIST = lambda c: F.array_join(c, "|").alias(c)
@@ -65,6 +65,10 @@ def g13(t):
     return gold.row_counts(gold.build_all(t))
 
 
+_MART_QUERIES = {name.partition("_")[2]: name for name in list(QUERIES) if name.partition("_")[2] in gold.MARTS}
+ORACLES["g13_build_all_counts"] = " UNION ALL ".join(f"SELECT '{mart}' AS mart_id, count(*) AS row_count FROM ({ORACLES[name]})" for mart, name in _MART_QUERIES.items())
+
+
 # --- query patterns ----------------------------------------------------------------------------------------------
 
 Q12 = "work_id, work_id_url, doi, title, publication_year, CAST(publication_date AS VARCHAR) AS publication_date, work_type, language, cited_by_count, is_oa, oa_status, primary_source_id, primary_publisher_id, activity_state, source_checksum_sha256, CAST(lineage_source_updated_date AS VARCHAR) AS lineage_source_updated_date"
@@ -192,8 +196,15 @@ RELATIONS = ("authors", "funders", "institutions", "publishers", "sources", "top
 query("agg15_table_counts", *RELATIONS, sql=" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in RELATIONS))(aggregates.table_counts)
 query("agg17_topic_work_counts", "works", "work_topics", sql="SELECT topic_id, count(DISTINCT t.work_id) AS work_count FROM work_topics t JOIN works w ON w.work_id=t.work_id WHERE activity_state='ACTIVE' GROUP BY 1")(aggregates.topic_work_counts)
 query("agg18_work_author_topic_counts", *ALL, sql="SELECT w.work_id, count(DISTINCT author_id) AS author_count, count(DISTINCT topic_id) AS topic_count FROM works w LEFT JOIN work_authors a ON a.work_id=w.work_id LEFT JOIN work_topics t ON t.work_id=w.work_id WHERE activity_state='ACTIVE' GROUP BY 1")(aggregates.work_author_topic_counts)
-query("agg12_content_fingerprint", "works")(lambda t: aggregates.fingerprint(t["works"]))
-query("agg19_table_fingerprint", "work_topics")(lambda t: aggregates.fingerprint(t["work_topics"]))
+def _fingerprint_sql(table: str, columns: list[str]) -> str:
+    told = ", ".join(f"{c} := {c}" for c in sorted(columns))
+    digest = f"('0x' || substr(md5(CAST(to_json(struct_pack({told})) AS VARCHAR)), 1, 15))::BIGINT"
+    return f"SELECT count(*) AS row_count, coalesce(bit_xor(h), 0) AS hash_xor, CAST(coalesce(sum(CAST(h AS HUGEINT)), 0) AS VARCHAR) AS hash_sum FROM (SELECT {digest} AS h FROM {table})"
+
+
+WORK_FIELDS = ["work_id", "work_id_url", "doi", "title", "publication_year", "publication_date", "work_type", "language", "cited_by_count", "is_oa", "oa_status", "primary_source_id", "primary_publisher_id", "source_checksum_sha256", "lineage_source_updated_date", "activity_state"]
+query("agg12_content_fingerprint", "works", sql=_fingerprint_sql("works", WORK_FIELDS))(lambda t: aggregates.fingerprint(t["works"]))
+query("agg19_table_fingerprint", "work_topics", sql=_fingerprint_sql("work_topics", ["work_id", "topic_id"]))(lambda t: aggregates.fingerprint(t["work_topics"]))
 query("ord2_nulls_last_page", "works", sql="SELECT work_id, publication_year FROM works WHERE publication_year IS NULL AND work_id>'W2' ORDER BY work_id LIMIT 101")(lambda t: lookups.keyset_page(t["works"].select("work_id", "publication_year"), ["publication_year", "work_id"], (None, "W2"), 100))
 query("ord3_keyset_page", "works", sql="SELECT work_id, title FROM works WHERE work_id>'W3' ORDER BY work_id LIMIT 51")(lambda t: lookups.keyset_page(t["works"].select("work_id", "title"), ["work_id"], ("W3",)))
 query("set2_id_difference", "works", "work_references", sql="SELECT DISTINCT referenced_work_id FROM work_references WHERE referenced_work_id IS NOT NULL EXCEPT SELECT work_id FROM works")(lambda t: t["work_references"].where("referenced_work_id IS NOT NULL").select("referenced_work_id").distinct().join(t["works"].select(F.col("work_id").alias("referenced_work_id")), "referenced_work_id", "left_anti"))

@@ -9,7 +9,7 @@ from folioforge.plans import jobs, schemas
 from folioforge.plans.gold_queries import ALL, _plain
 from folioforge.plans.mapping_queries import RELATIONS, raw_works
 from folioforge.plans.registry import base_query, query
-from folioforge.plans.version_queries import FOLD, MERGED, TARGET_DECISIONS, observations
+from folioforge.plans.version_queries import MERGED, STATE, TARGET_DECISIONS, observations
 from folioforge.sources import readers, writers
 from folioforge.sources.scratch import new_folder
 from folioforge.streaming import ingest
@@ -161,10 +161,6 @@ def rel7(t):
 
 # --- streams -----------------------------------------------------------------------------------------------------
 
-#: State of works after the target's works and the ledger's deletions.
-STATE = FOLD[: FOLD.index(",\n s AS")] + " SELECT work_id, CASE WHEN NOT known THEN NULL WHEN o2='DELETED' THEN 'DELETED' ELSE 'ACTIVE' END AS state FROM b"
-
-
 def observation_files(t, *seqs):
     """A folder that gets one delivery of observations for each asset, in order."""
     folder = new_folder(t["target"].sparkSession, "observations")
@@ -187,17 +183,17 @@ def str1(t):
     return run_stream(t, 1, 2).outcomes().groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query("str2_stateful_upsert", "target", "ledger", "staging", sql=STATE)
+@query("str2_stateful_upsert", "target", "ledger", "staging", sql=STATE + " SELECT * FROM st")
 def str2(t):
     return run_stream(t, 1, 2).read().select("work_id", "state")
 
 
-@query("str4_duplicate_delivery", "target", "ledger", "staging", sql=STATE)
+@query("str4_duplicate_delivery", "target", "ledger", "staging", sql=STATE + " SELECT * FROM st")
 def str4(t):
     return run_stream(t, 1, 2, 2).read().select("work_id", "state")
 
 
-@query("str5_incremental_gold_refresh", "target", "ledger", "staging", "works", sql=STATE.replace("WITH a AS", "WITH a AS", 1).replace(" SELECT work_id, CASE", ", st AS (SELECT work_id, CASE", 1) + ") SELECT publication_year, count(*) AS work_count FROM works w JOIN st ON st.work_id=w.work_id WHERE st.state='ACTIVE' GROUP BY 1")
+@query("str5_incremental_gold_refresh", "target", "ledger", "staging", "works", sql=STATE + " SELECT publication_year, count(*) AS work_count FROM works w JOIN st ON st.work_id=w.work_id WHERE st.state='ACTIVE' GROUP BY 1")
 def str5(t):
     spark, stored = t["works"].sparkSession, {}
     start = {"works": t["works"].withColumn("activity_state", F.lit("ACTIVE"))}

@@ -33,8 +33,9 @@ def raw_works(t):
         F.col("work_id_url").alias("id"), F.concat(F.lit("https://doi.org/"), "doi").alias("doi"), "title", F.concat(F.lit(" "), "work_id", F.lit(" ")).alias("display_name"), F.col("work_type").alias("type"), "language", "publication_year",
         F.col("publication_date").cast("string").alias("publication_date"), "cited_by_count", F.struct("is_oa", "oa_status").alias("open_access"), primary.alias("primary_location"), "authorships", "topics", "keywords", "mesh", "referenced_works", "locations", "grants",
     )
-    text = F.when(F.xxhash64("work_id") % 2 == 0, F.to_json(record, {"ignoreNullFields": "true"})).otherwise(F.to_json(record, {"ignoreNullFields": "false"}))
-    return w.select(text.alias("raw"), F.lit("a1").alias("asset"), F.xxhash64("work_id").alias("pos"))
+    w = w.withColumn("number", F.substring("work_id", 2, 20).cast("long"))
+    text = F.when(F.col("number") % 2 == 0, F.to_json(record, {"ignoreNullFields": "true"})).otherwise(F.to_json(record, {"ignoreNullFields": "false"}))
+    return w.select(text.alias("raw"), F.lit("a1").alias("asset"), F.col("number").alias("pos"))
 
 
 def parsed(t):
@@ -72,7 +73,10 @@ def map4(t):
     return mapping.work_author_institutions(mapping.parse_works(raw)).select("work_id", "authorship_index", "institution_index", "institution_id")
 
 
-@query("map13_array_presence", *RELATIONS)
+_STATE = "CASE WHEN work_id IN (SELECT work_id FROM {t}) THEN 'PRESENT' WHEN CAST(substr(work_id,2) AS BIGINT)%2=0 THEN 'MISSING' ELSE 'NULL' END AS {n}"
+
+
+@query("map13_array_presence", *RELATIONS, sql="SELECT mesh_presence, keywords_presence, grants_presence, count(*) AS n FROM (SELECT " + ", ".join(_STATE.format(t=f"work_{x}", n=f"{x}_presence") for x in ("mesh", "keywords", "grants")) + " FROM works) GROUP BY ALL")
 def map13(t):
     rows = mapping.works(parsed(t))
     return rows.groupBy("mesh_presence", "keywords_presence", "grants_presence").agg(F.count("*").alias("n"))
@@ -85,17 +89,26 @@ def _broken(t):
     return raw.withColumn("raw", F.when(k == 0, F.regexp_replace("raw", '"publication_year":([0-9]+)', '"publication_year":true')).when(k == 1, F.replace("raw", F.lit('"id":"https://openalex.org/W'), F.lit('"id":"https://openalex.org/X'))).when(k == 2, F.regexp_replace("raw", '"publication_date":"([0-9-]+)"', '"publication_date":"$1T00:00:00"')).when(k == 3, F.lit("[1]")).otherwise(F.col("raw")))
 
 
-@query("map14_mapping_errors", *RELATIONS)
+# What _broken does to a record, by its number: k = 0 a flag for the year, 1 an id of another kind, 2 a time in the date, 3 no object.
+BROKEN = "WITH b AS (SELECT *, CAST(substr(work_id,2) AS BIGINT)%11 AS k FROM works)"
+MAP14_SQL = BROKEN + """ SELECT error, count(*) AS n FROM (SELECT CASE WHEN k=0 AND publication_year IS NOT NULL THEN 'publication_year' WHEN k=1 THEN 'id' WHEN k=2 AND publication_date IS NOT NULL THEN 'publication_date' END AS error FROM b
+UNION ALL SELECT unnest(['record', 'id']) FROM b WHERE k=3) WHERE error IS NOT NULL GROUP BY 1"""
+
+
+@query("map14_mapping_errors", *RELATIONS, sql=MAP14_SQL)
 def map14(t):
     return mapping.broken_rules(mapping.parse_works(_broken(t))).groupBy("error").agg(F.count("*").alias("n"))
 
 
-@query("map15_mapping_compatibility", *RELATIONS)
+_FIRST = " SELECT CASE WHEN k=0 AND publication_year IS NOT NULL THEN 'publication_year' WHEN k=1 THEN 'id' WHEN {} THEN 'publication_date' WHEN k=3 THEN 'record' END AS first_error, count(*) AS records FROM b GROUP BY 1"
+
+
+@query("map15_mapping_compatibility", *RELATIONS, sql=BROKEN + _FIRST.format("k=2 AND publication_date IS NOT NULL"))
 def map15(t):
     return mapping.compatibility(mapping.parse_works(_broken(t)))
 
 
-@query("map16_diagnostic_normalisation", *RELATIONS)
+@query("map16_diagnostic_normalisation", *RELATIONS, sql=BROKEN + _FIRST.format("false"))
 def map16(t):
     return mapping.compatibility(mapping.parse_works(mapping.relaxed(_broken(t))))
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.operators import profiling, release, versions
 from folioforge.plans.gold_queries import _plain
 from folioforge.plans.mapping_queries import RELATIONS, raw_works
 from folioforge.plans.registry import base_query, query
-from folioforge.plans.version_queries import observations
+from folioforge.plans.version_queries import FOLD, STATE, observations
 from folioforge.sources import readers
 
 
@@ -27,10 +28,13 @@ def src5(spark, sf_dir):
     return _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), readers.asset_id(F.lit("works"), F.lit("2024-01-01"), F.col("o_orderstatus"), uri).alias("asset_id"))
 
 
-@base_query("src7_exact_schema", sql="SELECT count(*) AS n, 0 AS differences FROM supplier")
+@base_query("src7_exact_schema", sql="SELECT 'supplier' AS name, count(*) FILTER (column_type <> CASE column_name WHEN 's_suppkey' THEN 'BIGINT' WHEN 's_name' THEN 'VARCHAR' WHEN 's_nationkey' THEN 'INTEGER' ELSE 'DOUBLE' END) AS as_declared, count(*) FILTER (column_type <> 'BIGINT') AS all_long FROM (DESCRIBE supplier)")
 def src7(spark, sf_dir):
     df = _read(spark, sf_dir, "supplier")
-    return df.agg(F.count("*").alias("n")).withColumn("differences", F.lit(len(readers.schema_differences(df, df.schema))))
+    declared = T.StructType([T.StructField(n, k) for n, k in (("s_suppkey", T.LongType()), ("s_name", T.StringType()), ("s_nationkey", T.IntegerType()), ("s_acctbal", T.DoubleType()))])
+    long = T.StructType([T.StructField(f.name, T.LongType()) for f in declared])
+    differs = [len(readers.schema_differences(df, wanted)) for wanted in (declared, long)]
+    return spark.createDataFrame([("supplier", *differs)], "name string, as_declared long, all_long long")
 
 
 @base_query("src8_file_facts")
@@ -48,9 +52,11 @@ def prf1_works(t):
     return profiling.missing_counts(profiling.json_field_profile(raw_works(t)))
 
 
-@base_query("prf2_parquet_field_profile", sql="SELECT unnest(['c_custkey','c_name','c_nationkey','c_acctbal','c_mktsegment']) AS path, unnest(['integer','string','integer','number','string']) AS family, unnest([0,0,0,0,0]) + 0*(SELECT count(*) FROM customer) AS nulls")
+@base_query("prf2_parquet_field_profile", sql="SELECT unnest(['c_custkey','c_name','c_nationkey','c_acctbal','c_mktsegment']) AS path, unnest(['integer','string','integer','number','string']) AS family, unnest([count(*) FILTER (c_custkey IS NULL), count(*) FILTER (c_custkey%4=0), count(*) FILTER (c_nationkey IS NULL), count(*) FILTER (c_custkey%3=0), count(*) FILTER (c_mktsegment='BUILDING')]) AS nulls FROM customer")
 def prf2(spark, sf_dir):
-    return profiling.parquet_field_profile(_read(spark, sf_dir, "customer"))
+    k = F.col("c_custkey")
+    sparse = {"c_name": F.when(k % 4 != 0, F.col("c_name")), "c_acctbal": F.when(k % 3 != 0, F.col("c_acctbal")), "c_mktsegment": F.nullif("c_mktsegment", F.lit("BUILDING"))}
+    return profiling.parquet_field_profile(_read(spark, sf_dir, "customer").withColumns(sparse))
 
 
 @query("prf4_record_count_reconcile", "assets", sql="SELECT file_uri AS asset, record_count AS declared, record_count+CASE WHEN record_count%3=0 THEN 1 ELSE 0 END AS observed FROM assets WHERE record_count%3=0")
@@ -134,16 +140,19 @@ def red3(spark, sf_dir):
     return profiling.leaks(s, masked, "s_suppkey", "person", "text")
 
 
-@base_query("red4_postcondition_check", sql=r"SELECT unnest(['email','person','price']) AS rule, unnest([n, 0, 0]) AS violations FROM (SELECT count(*) FILTER (regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+')) AS n FROM documents)")
+@base_query("red4_postcondition_check", sql=r"SELECT unnest(['email','person','price']) AS rule, unnest([n, people, prices]) AS violations FROM (SELECT count(*) FILTER (regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+')) AS n, count(*) FILTER (doc_id%5=0 AND source IS NOT NULL) AS people, count(*) FILTER (doc_id%7=0 AND n_chars<>0) AS prices FROM documents)")
 def red4(spark, sf_dir):
-    masked = _read(spark, sf_dir, "documents").select("text", F.lit("Person").alias("person"), F.lit(0).alias("price"))
-    return profiling.postconditions(masked, "text", "person", "price")
+    """Real output of redact, into which some rows come back unmasked."""
+    rows = _read(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("person"), F.col("n_chars").alias("price"))
+    masked = profiling.redact(rows, {"doc_id": "keep", "text": "keep", "person": "mask_person", "price": "mask_price"}).alias("m").join(rows.alias("r"), F.col("m.doc_id") == F.col("r.doc_id"))
+    mixed = masked.select("m.text", F.when(F.col("m.doc_id") % 5 == 0, F.col("r.person")).otherwise(F.col("m.person")).alias("person"), F.when(F.col("m.doc_id") % 7 == 0, F.col("r.price")).otherwise(F.col("m.price")).alias("price"))
+    return profiling.postconditions(mixed, "text", "person", "price")
 
 
 # --- releases ----------------------------------------------------------------------------------------------------
 
 
-@query("rel1_replay", "target", "ledger", "staging", "work_topics")
+@query("rel1_replay", "target", "ledger", "staging", "work_topics", sql=STATE + " SELECT state, count(*) AS works FROM st WHERE state IS NOT NULL GROUP BY 1")
 def rel1(t):
     seen = observations(t)
     topics = seen.where("kind = 'work'").select("work_id", "seq", "pos").join(t["work_topics"], "work_id")
@@ -151,7 +160,7 @@ def rel1(t):
     return built["works"].groupBy("state").agg(F.count("*").alias("works"))
 
 
-query("rel3_release_manifest", "works", "work_topics", "publishers")(lambda t: release.release_manifest({n: t[n] for n in ("works", "work_topics", "publishers")}).select("table_name", "row_count", "active", "deleted"))
+query("rel3_release_manifest", "works", "work_topics", "publishers", sql=" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count, {a} AS active, {d} AS deleted FROM {n}" for n, a, d in (("works", "count(*) FILTER (activity_state='ACTIVE')", "count(*) FILTER (activity_state='DELETED')"), ("work_topics", "0", "0"), ("publishers", "count(*) FILTER (activity_state='ACTIVE')", "count(*) FILTER (activity_state='DELETED')"))))(lambda t: release.release_manifest({n: t[n] for n in ("works", "work_topics", "publishers")}).select("table_name", "row_count", "active", "deleted"))
 
 
 @query("rel5_reconcile_release", "target", "staging", sql="SELECT 'works' AS table_name, count(*) FILTER (work_id LIKE '%7') AS only_released, 0 AS only_rebuilt FROM target")
@@ -159,7 +168,7 @@ def rel5(t):
     return release.reconcile_release({"works": t["target"]}, {"works": t["target"].where("work_id NOT LIKE '%7'").repartition(7)})
 
 
-@query("rel4_validate_release", "works", "work_topics", sql="SELECT 'work_topics' AS table_name, f.fact FROM (SELECT unnest(['row_count','hash_xor','hash_sum']) AS fact) f WHERE (SELECT count(*) FROM work_topics) > 0")
+@query("rel4_validate_release", "works", "work_topics", sql="SELECT 'work_topics' AS table_name, f.fact FROM (SELECT unnest(['row_count','hash_xor','hash_sum']) AS fact) f WHERE (SELECT count(*) FROM work_topics WHERE work_id = 'W1001' OR work_id LIKE '%9') > 0")
 def rel4(t):
     stated = release.release_manifest({n: t[n] for n in ("works", "work_topics")})
     return release.compare_manifests(stated, release.release_manifest({"works": t["works"].repartition(5), "work_topics": t["work_topics"].where("work_id <> 'W1001' AND work_id NOT LIKE '%9'")}))
@@ -178,7 +187,7 @@ def rel8(t):
     return release.parent_mismatches(inputs, inputs.where("record_count % 9 <> 0")).select("asset_id", "file_uri")
 
 
-@query("str3_late_data", "target", "ledger", "staging", sql=None)
+@query("str3_late_data", "target", "ledger", "staging", sql=f"SELECT CASE WHEN seq=2 THEN 'deletion' ELSE 'work' END AS kind, outcome, count(*) AS n FROM ({FOLD}) WHERE outcome IN ('STALE','BLOCKED','ALREADY_DELETED') GROUP BY ALL")
 def str3(t):
     from folioforge.streaming.ingest import late_outcomes
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from folioforge.operators import aggregates, entities, gold, publication, quality, versions
 from folioforge.plans.gold_queries import ALL, CONTRIBUTIONS, EDGES, _plain
-from folioforge.plans.registry import base_query, query
+from folioforge.plans.registry import ORACLES, base_query, query
+from folioforge.sources.scratch import new_folder
 
 OWNED = quality.OWNED
 ENTITIES = tuple(e for _, e, _ in quality.DIMENSIONS)
@@ -22,7 +23,15 @@ def _check_sql(check: str, kind: str, observed: str, expected: str = "NULL", den
     return f"SELECT '{check}' AS check_id, '{kind}' AS kind, {status} AS status, CAST({observed} AS DOUBLE) AS observed, CAST({expected} AS DOUBLE) AS expected, CAST({denominator} AS BIGINT) AS denominator, CAST({diagnostics} AS VARCHAR) AS diagnostics {source}"
 
 
-ACTIVE = "count(*) FILTER (activity_state='ACTIVE')"
+def _missing(check: str, table: str) -> str:
+    return f"SELECT '{check}', 'HARD_GATE', 'ERROR', NULL, NULL, NULL, 'missing table {table}'"
+
+
+def _parts(*names: str) -> str:
+    """The SQL of registered checks, one after the other."""
+    return " UNION ALL ".join(f"SELECT * FROM ({ORACLES[n]})" for n in names)
+
+
 query("dq1_work_id_not_null", "works", sql=_check_sql("works.work_id_not_null", "HARD_GATE", "count(*) FILTER (work_id IS NULL)", "0", source="FROM works"))(quality.work_id_not_null)
 query("dq2_work_id_unique", "works", sql=_check_sql("works.work_id_unique", "HARD_GATE", "count(*)", "0", source="FROM (SELECT work_id FROM works WHERE work_id IS NOT NULL GROUP BY 1 HAVING count(*)>1)"))(quality.work_id_unique)
 ORPHANS = " UNION ALL ".join(f"SELECT '{r}' AS relationship_name, count(*) AS orphan_count FROM {r} WHERE work_id NOT IN (SELECT work_id FROM works)" for r in OWNED)
@@ -66,7 +75,15 @@ query("dq13_type_distribution", "works", sql="SELECT work_type, count(*) AS work
 query("dq14_reference_reconciliation", "works", "work_references", sql="""WITH c AS (SELECT CASE WHEN reference_status='MISSING' THEN 'REFERENCE_MISSING' WHEN reference_status='MALFORMED' THEN 'REFERENCE_MALFORMED' WHEN t.activity_state='ACTIVE' THEN 'TARGET_ACTIVE' WHEN t.activity_state='DELETED' THEN 'TARGET_DELETED' ELSE 'TARGET_ABSENT' END AS category
  FROM work_references r JOIN works s ON s.work_id=r.work_id AND s.activity_state='ACTIVE' LEFT JOIN works t ON t.work_id=r.referenced_work_id)
 SELECT x.category, count(c.category) AS reference_count FROM (SELECT unnest(['REFERENCE_MISSING','REFERENCE_MALFORMED','TARGET_ACTIVE','TARGET_DELETED','TARGET_ABSENT']) AS category) x LEFT JOIN c ON c.category=x.category GROUP BY 1""")(quality.reference_reconciliation)
-query("dq17_mart_leakage", *ALL, sql="SELECT unnest(['research_discovery','citation_edges']) AS mart_id, (SELECT count(*) FROM works WHERE activity_state='ACTIVE' AND activity_state='DELETED') AS leaked")(lambda t: quality.mart_leakage(t, {"research_discovery": gold.research_discovery(t), "citation_edges": gold.citation_edges(t)}))
+def _stale(t):
+    """The tables as they were before any work was deleted."""
+    return {**t, "works": t["works"].withColumn("activity_state", F.lit("ACTIVE"))}
+
+
+query("dq17_mart_leakage", *ALL, sql="SELECT 'research_discovery' AS mart_id, count(*) AS leaked FROM works WHERE activity_state='DELETED' UNION ALL SELECT 'citation_edges', count(*) FROM work_references r JOIN works w ON w.work_id=r.work_id AND activity_state='DELETED'")(
+    lambda t: quality.mart_leakage(t, {"research_discovery": gold.research_discovery(_stale(t)), "citation_edges": gold.citation_edges(_stale(t))})
+)
+query("dq17_fresh_marts_do_not_leak", *ALL, sql="SELECT unnest(['research_discovery','citation_edges']) AS mart_id, (SELECT count(*) FROM works WHERE activity_state NOT IN ('ACTIVE','DELETED')) AS leaked")(lambda t: quality.mart_leakage(t, {"research_discovery": gold.research_discovery(t), "citation_edges": gold.citation_edges(t)}))
 
 TARGET_DECISIONS = """WITH d AS (SELECT s.work_id, s.activity_state AS source_activity_state, CASE WHEN t.work_id IS NULL THEN 'INSERT' WHEN s.source_checksum_sha256=t.source_checksum_sha256 THEN 'IDENTICAL'
  WHEN t.activity_state='DELETED' AND s.activity_state='ACTIVE' THEN 'RESTORE_REQUIRED' WHEN s.lineage_source_updated_date < t.lineage_source_updated_date THEN 'STALE'
@@ -97,7 +114,8 @@ def dq18(t):
     return before.agg(F.count("*").alias("rejected_rows")).crossJoin(before.exceptAll(after).agg(F.count("*").alias("changed_rows")))  # one row each
 
 
-query("dq19_dml_count_reconcile", "target", "staging", sql=TARGET_DECISIONS + " SELECT publication_decision, count(*) AS decided, count(*) AS done FROM d GROUP BY 1")(lambda t: versions.merge_counts(t["target"], t["staging"], _decide(t)))
+query("dq19_dml_count_reconcile", "target", "staging", sql=MERGED + """ SELECT d.publication_decision, count(*) AS decided, count(*) FILTER (CASE WHEN d.publication_decision IN ('INSERT','APPLY_UPDATE') THEN m.source_checksum_sha256=s.source_checksum_sha256
+ WHEN d.publication_decision='IDENTICAL' THEN m.run_id=s.run_id ELSE m.source_checksum_sha256<>s.source_checksum_sha256 END) AS done FROM d JOIN staging s ON s.work_id=d.work_id LEFT JOIN merged m ON m.work_id=d.work_id GROUP BY 1""")(lambda t: versions.merge_counts(t["target"], t["staging"], _decide(t)))
 
 
 @query("dq15_run_checks", "works", *OWNED, *ENTITIES)
@@ -105,12 +123,20 @@ def dq15(t):
     return quality.run_checks(t, quality.PRE_BUILD)[0]
 
 
+_COUNTERS = f" UNION ALL {_missing('ingest.decode_balance', 'decode_counters')} UNION ALL {_missing('publication.decision_balance', 'decision_counters')}"
+ORACLES["dq15_run_checks"] = _parts("dq1_work_id_not_null", "dq2_work_id_unique", "dq3_source_work_integrity", "dq4_dimension_integrity", "dq8_missing_doi", "dq9_missing_title", "dq10_without_topics", "dq11_without_authors") + _COUNTERS
+
+
 @query("dq16_publication_allowed", "works", "work_topics")
 def dq16(t):
     results, allowed = quality.run_checks(t, quality.PRE_BUILD)
     return results.groupBy("kind", "status").agg(F.count("*").alias("checks")).withColumn("publication_allowed", F.lit(allowed))
 
 
+_TWO_TABLES = _parts("dq1_work_id_not_null", "dq2_work_id_unique", "dq8_missing_doi", "dq9_missing_title", "dq10_without_topics") + _COUNTERS + f" UNION ALL {_missing('relationships.source_work_integrity', 'work_authors')} UNION ALL {_missing('relationships.dimension_integrity', 'work_authors')}"
+ORACLES["dq16_publication_allowed"] = f"SELECT kind, status, count(*) AS checks, bool_and(NOT (kind='HARD_GATE' AND status<>'PASS')) AND false AS publication_allowed FROM ({_TWO_TABLES} UNION ALL SELECT 'metric.works_without_authors', 'INFORMATIONAL', 'ERROR', NULL, NULL, NULL, 'missing table work_authors') GROUP BY ALL"
+
+
 # --- versions, merges, deletions -----------------------------------------------------------------------------------
 
 
@@ -137,9 +163,17 @@ def mrg2(t):
     return versions.replace_by_work(t["work_topics"], staged, versions.relationship_scope(_decide(t)))
 
 
-@query("mrg3_required_columns", "staging", sql="SELECT count(*) AS n FROM staging")
+@query("mrg3_required_columns", "staging", sql="SELECT unnest(['work_id','source_checksum_sha256','lineage_source_updated_date']) AS name, unnest([count(*) FILTER (work_id IS NULL)>0, count(*) FILTER (source_checksum_sha256 IS NULL)>0, count(*) FILTER (lineage_source_updated_date IS NULL)>0]) AS aborts FROM staging")
 def mrg3(t):
-    return versions.require_columns(t["staging"], ["work_id", "source_checksum_sha256"]).agg(F.count("*").alias("n"))
+    def aborts(column):
+        try:
+            versions.require_columns(t["staging"], [column])
+        except ValueError:
+            return True
+        return False
+
+    names = ("work_id", "source_checksum_sha256", "lineage_source_updated_date")
+    return t["staging"].sparkSession.createDataFrame([(c, aborts(c)) for c in names], "name string, aborts boolean")
 
 
 @query("del1_classify_deletion", "target", "ledger", sql="""SELECT d.work_id, CAST(d.deleted_date AS VARCHAR) AS deleted_date, CASE WHEN w.work_id IS NULL THEN 'UNKNOWN_WORK' WHEN w.activity_state='DELETED' THEN CASE WHEN d.deleted_date < w.lineage_source_updated_date THEN 'STALE' ELSE 'ALREADY_DELETED' END
@@ -184,7 +218,10 @@ SELECT work_id, seq, outcome FROM (SELECT work_id, 1 AS seq, o1 AS outcome FROM
 query("ups1_works_upsert_fold", "target", "ledger", "staging", sql=FOLD)(lambda t: versions.outcomes_of(versions.fold_observations(observations(t))).select("work_id", "seq", "outcome"))
 
 
-@query("ups2_relationship_effects", "target", "ledger", "staging", "work_topics")
+_OUTCOMES = FOLD[: FOLD.index("\nSELECT work_id, seq, outcome")]
+
+
+@query("ups2_relationship_effects", "target", "ledger", "staging", "work_topics", sql=_OUTCOMES + " SELECT r.work_id, CASE WHEN o3 IN ('INSERTED','REPLACED') THEN 3 ELSE 1 END AS seq, topic_id FROM r JOIN work_topics w ON w.work_id=r.work_id WHERE o1 IS NOT NULL OR o3 IN ('INSERTED','REPLACED')")
 def ups2(t):
     seen = observations(t)
     folded = versions.fold_observations(seen)
@@ -198,7 +235,11 @@ def rec3(t):
     return versions.enrichment_rows(seen, versions.fold_observations(seen)).select("work_id", "seq")
 
 
-@query("pub5_asset_atomicity", "target", "ledger", "staging")
+#: State of works after the target's works and the ledger's deletions.
+STATE = FOLD[: FOLD.index(",\n s AS")] + ", st AS (SELECT work_id, CASE WHEN NOT known THEN NULL WHEN o2='DELETED' THEN 'DELETED' ELSE 'ACTIVE' END AS state FROM b)"
+
+
+@query("pub5_asset_atomicity", "target", "ledger", "staging", sql=STATE + " SELECT state, count(*) AS works, 1 AS assets_left_out FROM st GROUP BY 1")
 def pub5(t):
     folded, dropped = versions.fold_assets(observations(t))
     return folded.groupBy("state").agg(F.count("*").alias("works")).withColumn("assets_left_out", F.lit(len(dropped)))
@@ -267,10 +308,12 @@ def src6(t):
     return publication.unique_assets(t["assets"].unionByName(t["assets"].where("record_count < 500")))[1]
 
 
-@query("pub4_final_validation", *ALL, sql="SELECT unnest(['deleted_in_discovery','deleted_in_lookup','repeated_in_discovery']) AS rule, unnest([0,0,0]) + 0 * (SELECT count(*) FROM works) AS violations")
+@query("pub4_final_validation", *ALL, sql="""SELECT 'deleted_in_discovery' AS rule, count(*) FILTER (activity_state='DELETED') + count(*) FILTER (activity_state='DELETED' AND work_id LIKE '%4') AS violations FROM works
+UNION ALL SELECT 'deleted_in_lookup', count(*) FILTER (activity_state='DELETED' AND work_id LIKE '%2') FROM works UNION ALL SELECT 'repeated_in_discovery', count(*) FILTER (work_id LIKE '%4') FROM works""")
 def pub4(t):
-    discovery = gold.research_discovery(t)
-    return publication.final_validation(discovery, discovery.select("work_id"), t["works"])
+    discovery = gold.research_discovery(_stale(t))
+    twice = discovery.unionByName(discovery.where("work_id LIKE '%4'"))
+    return publication.final_validation(twice, discovery.where("work_id LIKE '%2'").select("work_id"), t["works"])
 
 
 def _changed(t):
@@ -313,6 +356,8 @@ def agg13(spark, sf_dir):
 query("agg16_outcome_counters", "target", "staging", sql=TARGET_DECISIONS + " SELECT count(*) FILTER (publication_decision='INSERT') AS insert, count(*) FILTER (publication_decision='APPLY_UPDATE') AS apply_update, count(*) FILTER (publication_decision='IDENTICAL') AS identical, count(*) FILTER (publication_decision='STALE') AS stale, count(*) FILTER (publication_decision='CONFLICT') AS conflict, count(*) FILTER (publication_decision='RESTORE_REQUIRED') AS restore_required, count(*) AS total FROM d")(lambda t: aggregates.outcome_counters(_decide(t), "publication_decision", ["INSERT", "APPLY_UPDATE", "IDENTICAL", "STALE", "CONFLICT", "RESTORE_REQUIRED"]))
 
 
-@base_query("agg20_partition_summary")
+@base_query("agg20_partition_summary", sql="SELECT count(*) AS files, CAST(sum(n) AS BIGINT) AS rows, min(n) AS least, quantile_disc(n, 0.5) AS median, max(n) AS largest FROM (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1)")
 def agg20(spark, sf_dir):
-    return aggregates.file_summary(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    folder = new_folder(spark, "parts")
+    spark.read.parquet(f"{sf_dir}/customer.parquet").repartition(F.col("c_mktsegment")).write.partitionBy("c_mktsegment").parquet(folder)
+    return aggregates.file_summary(spark.read.parquet(folder))
