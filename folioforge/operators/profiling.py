@@ -7,7 +7,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,21 +199,46 @@ def pseudonymize(df: DataFrame, columns: dict[str, str], pos: str) -> DataFrame:
 ACTIONS = ("keep", "mask_person", "replace_text", "mask_price")
 
 
+def _masked(c: Column, kind: T.DataType, path: str, policy: dict[str, str], unknown: list[str]) -> Column:
+    """c with every leaf below path masked by its rule; leaves without one are added to unknown."""
+    if isinstance(kind, T.StructType):
+        inner = [_masked(c[f.name], f.dataType, f"{path}.{f.name}", policy, unknown).alias(f.name) for f in kind]
+        return F.when(c.isNotNull(), F.struct(*inner))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _masked(x, kind.elementType, f"{path}[]", policy, unknown))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(c, lambda _, x: _masked(x, kind.valueType, f"{path}.{{value}}", policy, unknown))
+    action = policy.get(path)
+    if action not in ACTIONS:
+        unknown.append(path)
+    if action == "mask_person":
+        return F.when(c.isNotNull(), F.lit("Person"))
+    if action == "replace_text":
+        return F.repeat(F.lit("x"), F.length(c))
+    return F.when(c.isNotNull(), F.lit(0)).cast(kind) if action == "mask_price" else c
+
+
 def redact(df: DataFrame, policy: dict[str, str]) -> DataFrame:
-    """Apply a column policy: keep, mask_person (a fixed name), replace_text (length kept), mask_price (0). A column without a rule is an error."""
-    unknown = [c for c in df.columns if policy.get(c) not in ACTIONS]
+    """Apply a policy of paths: keep, mask_person (a fixed name), replace_text (length kept), mask_price (0).
+
+    Paths reach into structs (a.b), lists (a[]) and maps (a.{value}), as in the JSON profile; map keys stay. A leaf without
+    a rule is an error, so nothing passes by oversight.
+    """
+    unknown: list[str] = []
+    columns = [_masked(F.col(f"`{f.name}`"), f.dataType, f.name, policy, unknown).alias(f.name) for f in df.schema]
     if unknown:
-        raise ValueError(f"no rule for {', '.join(unknown)}")
-    masked = {"mask_person": lambda c: F.when(F.col(c).isNotNull(), F.lit("Person")), "replace_text": lambda c: F.repeat(F.lit("x"), F.length(c)), "mask_price": lambda c: F.when(F.col(c).isNotNull(), F.lit(0)).cast(dict(df.dtypes)[c])}
-    return df.select(*[F.col(c) if policy[c] == "keep" else masked[policy[c]](c).alias(c) for c in df.columns])
+        raise ValueError(f"no rule for {', '.join(sorted(set(unknown)))}")
+    return df.select(*columns)
 
 
-def leaks(original: DataFrame, masked: DataFrame, key: str, person: str, text: str, least: int = 4) -> DataFrame:
-    """Keys whose masked text still holds a token, of at least `least` characters, of the original person."""
+def leaks(original: DataFrame, masked: DataFrame, key: str, person: str, text: str, least: int = 4, identifiers: tuple[str, ...] = ()) -> DataFrame:
+    """Keys whose masked text still holds a token, of at least `least` characters, of the original person, or one of the original identifiers as a whole."""
     from folioforge.functions.scalars import tokens
 
-    both = original.select(key, F.filter(tokens(F.col(person)), lambda w: F.length(w) >= least).alias("p")).join(masked.select(key, tokens(F.col(text)).alias("t")), key)
-    return both.where(F.arrays_overlap("p", "t")).select(key)
+    names = F.filter(tokens(F.col(person)), lambda w: F.length(w) >= least).alias("p")
+    ids = F.array_compact(F.array(*[F.lower(F.col(c)) for c in identifiers], F.lit(None).cast("string"))).alias("ids")
+    both = original.select(key, names, ids).join(masked.select(key, tokens(F.col(text)).alias("t"), F.lower(F.col(text)).alias("l")), key)
+    return both.where(F.arrays_overlap("p", "t") | F.exists("ids", lambda x: F.contains(F.col("l"), x))).select(key)
 
 
 def postconditions(masked: DataFrame, text: str, person: str, price: str) -> DataFrame:

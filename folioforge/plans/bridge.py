@@ -88,8 +88,21 @@ def with_clause(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in needed)
 
 
+#: Tables that were written once, by name; they are read instead of being derived again.
+STORED: dict[str, DataFrame] = {}
+
+
+def store(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write all bibliographic tables once, as a warehouse holds them, and read them from now on."""
+    for name, df in tables(spark, sf_dir, *CTES).items():
+        df.write.parquet(f"{folder}/{name}")
+    STORED.update({name: spark.read.parquet(f"{folder}/{name}") for name in CTES})
+
+
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """The named bibliographic tables as DataFrames over the parquet tables in sf_dir."""
+    """The named bibliographic tables as DataFrames over the parquet tables in sf_dir, or the stored ones."""
+    if STORED:
+        return {n: STORED[n] for n in names}
     for base in BASE:
         if any(f" {base}" in CTES[n] for n in [*names, "line_keys", "work_topics"]):
             spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(base)

@@ -133,6 +133,41 @@ def red2(spark, sf_dir):
     return profiling.redact(_read(spark, sf_dir, "customer"), POLICY)
 
 
+NESTED = {"work_id": "keep", "authorships[].author.id": "keep", "authorships[].author.display_name": "mask_person", "authorships[].raw_author_name": "mask_person", "authorships[].fee": "mask_price", "notes.{value}": "replace_text"}
+
+
+def nested_records(t):
+    author = F.struct(F.struct(F.col("author_id").alias("id"), F.concat(F.lit("Name "), "author_id").alias("display_name")).alias("author"), F.col("author_id").alias("raw_author_name"), F.col("authorship_index").alias("fee"))
+    listed = t["work_authors"].groupBy("work_id").agg(F.sort_array(F.collect_list(author)).alias("authorships"))
+    return listed.withColumn("notes", F.create_map(F.lit("a"), F.col("work_id")))
+
+
+@query("red2_redact_nested_paths", "work_authors", sql="SELECT work_id, count(author_id) AS ids, count(author_id) AS people, 0 AS fees, repeat('x', length(work_id)) AS note FROM work_authors GROUP BY 1")
+def red2_nested(t):
+    out = profiling.redact(nested_records(t), NESTED)
+    count = lambda f: F.size(F.filter("authorships", f)).cast("long")
+    fees = F.aggregate("authorships", F.lit(0).cast("long"), lambda s, a: s + a["fee"])
+    return out.select("work_id", count(lambda a: a["author"]["id"].isNotNull()).alias("ids"), count(lambda a: (a["author"]["display_name"] == "Person") & (a["raw_author_name"] == "Person")).alias("people"), fees.alias("fees"), F.element_at("notes", "a").alias("note"))
+
+
+@query("red2_unknown_path_is_rejected", "work_authors", sql="SELECT true AS rejected, count(DISTINCT work_id) AS n FROM work_authors")
+def red2_unknown(t):
+    rows, rejected = nested_records(t), False
+    try:
+        profiling.redact(rows, {k: v for k, v in NESTED.items() if not k.endswith("raw_author_name")})
+    except ValueError as e:
+        rejected = "authorships[].raw_author_name" in str(e)
+    return rows.agg(F.count("*").alias("n")).withColumn("rejected", F.lit(rejected))
+
+
+@base_query("red3_identifier_leaks", sql="SELECT s_suppkey FROM supplier WHERE s_suppkey%4=0 OR s_suppkey%5=0")
+def red3_ids(spark, sf_dir):
+    k = F.col("s_suppkey")
+    s = _read(spark, sf_dir, "supplier").select(k, F.lit("Al").alias("person"), F.concat(F.lit("A"), k.cast("string"), F.lit(".")).alias("author"), F.concat(F.lit("0000-0001-"), F.lpad(k.cast("string"), 8, "0")).alias("orcid"))
+    text = F.when(k % 4 == 0, F.concat(F.lit("see "), "author", F.lit(" there"))).when(k % 5 == 0, F.concat(F.lit("https://orcid.org/"), "orcid")).otherwise("by Person")
+    return profiling.leaks(s, s.select("s_suppkey", text.alias("text")), "s_suppkey", "person", "text", identifiers=("author", "orcid"))
+
+
 @base_query("red3_leak_check", sql="SELECT s_suppkey FROM supplier WHERE s_suppkey%4=0")
 def red3(spark, sf_dir):
     s = _read(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("Quixote"), F.col("s_suppkey").cast("string")).alias("person"))

@@ -4,8 +4,9 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from folioforge.operators import entities, publication, versions
+from folioforge.operators import entities, profiling, publication, release, versions
 from folioforge.streaming import ingest
 
 DAY = date(2024, 1, 1)
@@ -131,3 +132,45 @@ def test_stage_activate_restore(spark, tmp_path):
     assert publication.read_active(spark, root).count() == 2
     publication.restore(spark, root)
     assert publication.read_active(spark, root).count() == 1
+
+
+def test_aborting_assets_in_rounds(spark):
+    """The assets left out are those that dropping the first aborting one, again and again, leaves out."""
+    rng = random.Random(5)
+    kinds = ["work"] * 4 + ["deletion"]
+    rows = []
+    for i in range(160):
+        kind, day = rng.choice(kinds), rng.choice([None, 1, 2, 3, 4])
+        rows.append((f"W{rng.randrange(25)}", rng.randrange(14), i, kind, f"c{rng.randrange(4)}", date(2024, 1, day or 1) if day or kind == "deletion" else None, None))
+    seen = spark.createDataFrame(rows, "work_id string, seq long, pos long, kind string, checksum string, lineage_date date, work_date date")
+    dropped = []
+    while True:
+        folded = versions.fold_observations(seen.where(~F.col("seq").isin(dropped)) if dropped else seen)
+        first = versions.outcomes_of(folded).where("outcome IN ('CONFLICT', 'RESTORE_REQUIRED')").agg(F.min("seq")).first()[0]
+        if first is None:
+            break
+        dropped.append(first)
+    got, out = versions.fold_assets(seen)
+    assert out == sorted(dropped) and 0 < len(dropped) < 14
+    plain = lambda df: sorted(map(str, df.select("work_id", "state", "checksum", "lineage_date", "barrier", "seq", "pos").collect()))
+    assert plain(got) == plain(folded)
+
+
+def test_an_entity_clash_aborts_its_asset(spark):
+    seen = spark.createDataFrame([(f"W{i}", i, 0, "work", f"c{i}", None, None) for i in (1, 2, 3)], "work_id string, seq long, pos long, kind string, checksum string, lineage_date date, work_date date")
+    told = spark.createDataFrame([("A1", "Ann", None, "W1", 1, 0), ("A1", "Bob", None, "W2", 2, 0), ("A2", "Cid", None, "W2", 2, 0), ("A1", "Ann", None, "W3", 3, 0)], "author_id string, display_name string, date date, work_id string, seq long, pos long")
+    built, dropped = release.replay(seen, {}, {"authors": (told, ["display_name"])})
+    assert dropped == [2]
+    assert sorted((r["author_id"], r["display_name"]) for r in built["authors"].collect()) == [("A1", "Ann")]
+    assert sorted(r["work_id"] for r in built["works"].collect()) == ["W1", "W3"]
+
+
+def test_decision_order_and_line_counts(spark, tmp_path):
+    rows = [(f"a{i}", i % 3) for i in range(20)]
+    df = spark.createDataFrame(rows, "asset_id string, processed_at int")
+    got = {r["asset_id"]: r["seq"] for r in publication.frozen_decision_order(df).collect()}
+    assert got == {a: i for i, (a, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])), 1)}
+    (tmp_path / "a.txt").write_text("x\n\n y\r\nz")
+    (tmp_path / "b.txt").write_text("x\n")
+    counts = {r["asset"].rpartition("/")[2]: (r["records"], r["blank"], r["unterminated"]) for r in profiling.line_counts(spark, str(tmp_path)).collect()}
+    assert counts == {"a.txt": (3, 1, True), "b.txt": (1, 0, False)}
