@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.sources.scratch import new_folder
+
 #: The six ASCII white-space characters that separate words (fixed value).
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RE = r"[ \x09-\x0D]+"
@@ -34,18 +33,6 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, SPACE_RE))).cast("long")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        context = spark.sparkContext
-        folder = context.getCheckpointDir()
-        if not folder:
-            folder = tempfile.mkdtemp(prefix="spark-shared-")
-            context.setCheckpointDir(folder)
-    return folder
-
-
 def kept_table(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, and its size is known to the planner.
 
@@ -53,7 +40,7 @@ def kept_table(df: DataFrame) -> DataFrame:
     shuffle files of the write are removed when it ends, as nothing reads them any more.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+    path = new_folder(spark, "kept")
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:

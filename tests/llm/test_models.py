@@ -476,7 +476,21 @@ def test_rows_are_summed():
     assert rows.tolist() == [2, 70000] and summed.tolist() == [[2.0], [6.0]]
 
 
-def test_held_out_texts_score_above_the_shares(spark):
+def test_held_out_texts_score_above_their_ids_shares(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300)
-    out = [r for r in lmscore.score(table, block_bytes=200_000).collect() if r["held_out"]]
-    assert sum(r["score"] for r in out) > 1.05 * sum(r["base_score"] for r in out) and all(math.isfinite(r["score"]) for r in out)
+    tokens = lmscore.Tokens(lmscore.read_ranks(lmscore.TOKENIZER))
+    ids = {r["doc_id"]: [*tokens.words((r["text"] or "").encode().lower().split())[0], tokens.end] for r in table.collect()}
+    out = lmscore.score(table, block_bytes=200_000).collect()
+    counts = Counter(t for r in out if not r["held_out"] for t in ids[r["doc_id"]])
+    total = sum(counts.values()) + tokens.end + 1
+    shares = sum(math.log10((counts[t] + 1) / total) for r in out if r["held_out"] for t in ids[r["doc_id"]])
+    assert 0.88 * shares < sum(r["score"] for r in out if r["held_out"]) < 0 and all(math.isfinite(r["score"]) for r in out)
+
+
+def test_words_are_encoded_alike_together_and_alone():
+    tokens = lmscore.Tokens(lmscore.read_ranks(lmscore.TOKENIZER))
+    mixed = [b"one", "é\u00a0x".encode(), b"two-three", b"\xff\xfe", b"don't", "ẞ".encode(), b"\x1c"]
+    for words in (mixed, [b"a", b"bc"], [], ["é".encode()]):
+        ids, sizes = tokens.words(words)
+        assert ids.tolist() == [t for w in words for t in tokens.encoder.encode_ordinary(" " + w.decode("utf-8", "replace"))]
+        assert sizes.sum() == len(ids) and len(sizes) == len(words)
