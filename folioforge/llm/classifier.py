@@ -119,7 +119,7 @@ def classify(
     drawn from a hash of the id and the text, and taking the k largest keys samples k documents without replacement in
     proportion to these weights. k is keep times the number of documents; by default keep comes from the held-out labelled
     documents: as many are sampled as score above the cut that separates their good from their bad ones best, where losing
-    a good one costs as much as keeping good_cost bad ones. (Where none are held out, the cut is read on all labelled ones.)
+    a good one costs as much as keeping good_cost bad ones. (Without both kinds among those held out, the cut is read on all.)
 
     The k-th key is found by counting in ranges, never by a global sort. Ties at it go by (id, hash). NULL and empty
     texts have weight 0 n-grams, log_weight NULL, and are never sampled. Without any good labelled document all
@@ -130,7 +130,8 @@ def classify(
     sample = labelled_sample(labels, labelled_rows)
     fitted = {d: q for d, q in sample.items() if not for_cut(d)}
     fitted = fitted if any(fitted.values()) else sample
-    cut_on = {d: q for d, q in sample.items() if d not in fitted} or sample
+    held = {d: q for d, q in sample.items() if d not in fitted}
+    cut_on = held if {q == 1 for q in held.values()} == {True, False} else sample
     ratio = fit(docs, fitted, sizes, bits, smoothing) if any(sample.values()) else np.zeros(2**bits, np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
