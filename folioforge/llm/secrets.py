@@ -145,9 +145,10 @@ def postings(docs: DataFrame, grams: list[str], id_col: str = "doc_id") -> DataF
 
     Only these trigrams can narrow a search, so the index holds no others; each occurs once for a row.
     """
-    folded = F.lower(text_or_empty("text"))
-    found = F.array_compact(F.array(*[F.when(F.contains(folded, F.lit(g)), F.lit(g)) for g in grams]))
-    return docs.select(F.col(id_col).alias("doc_id"), F.explode(found).alias("gram"))
+    # A column of its own, as the planner would else fold the text anew for each trigram.
+    folded = docs.select(F.col(id_col).alias("doc_id"), F.lower(text_or_empty("text")).alias("folded"))
+    found = F.array_compact(F.array(*[F.when(F.contains("folded", F.lit(g)), F.lit(g)) for g in grams]))
+    return folded.select("doc_id", F.explode(found).alias("gram"))
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
