@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import chat, classifier, decontaminate, licenses, lmscore, mixing, neardup, quality_rules, secrets, sharding
+from folioforge.llm import chat, classifier, collocations, decontaminate, exactdedup, licenses, lmscore, mixing, neardup, quality_rules, secrets, sharding, whitening
 from folioforge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,7 +68,33 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {"op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_sharding": op3_sharding, "op4_quality": op4_quality, "op5_lmscore": op5_lmscore, "op6_licenses": op6_licenses, "op7_decontamination": op7_decontamination, "op8_secrets": op8_secrets, "op9_chat": op9_chat, "op10_classifier": op10_classifier}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
+    "op2_neardup": op2_neardup,
+    "op3_sharding": op3_sharding,
+    "op4_quality": op4_quality,
+    "op5_lmscore": op5_lmscore,
+    "op6_licenses": op6_licenses,
+    "op7_decontamination": op7_decontamination,
+    "op8_secrets": op8_secrets,
+    "op9_chat": op9_chat,
+    "op10_classifier": op10_classifier,
+    "op11_whitening": op11_whitening,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_collocations": op13_collocations,
+}
 
 # The exponent at which the largest source is read half as often as the smallest has a closed form.
 OP1_SQL = r"""
@@ -154,4 +180,30 @@ SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_d
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_words >= 80 AND base.r IN (SELECT r FROM bad)) AS kept FROM base
 """
 
-ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_quality": OP4_SQL, "op8_secrets": OP8_SQL, "op9_chat": OP9_SQL}
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
+g AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS place, count(*) OVER (PARTITION BY norm) AS group_size,
+  first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS keep_id FROM d)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM g
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM d),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+p AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, ws[i:i + k - 1] AS x, k, count(*) AS f FROM p GROUP BY ALL HAVING count(*) >= 30),
+sub AS (SELECT lang, x, k, f, unnest(range(2, k)) AS size FROM f WHERE k > 2),
+ins AS (SELECT lang, x, f, size, unnest(range(1, k - size + 2)) AS i FROM sub),
+cov AS (SELECT lang, x[i:i + size - 1] AS x, max(f) AS most FROM ins GROUP BY ALL),
+c AS (SELECT f.lang, f.x, f.k, f.f AS a FROM f LEFT JOIN cov ON cov.lang = f.lang AND cov.x = f.x WHERE f.k > 1 AND (most IS NULL OR 100 * most < 80 * f.f)),
+cut AS (SELECT *, unnest(range(1, k)) AS j FROM c),
+s AS (SELECT cut.lang, cut.x, j, a, h.f AS l, g.f AS r, (2000000 * a::HUGEINT) // (h.f + g.f) AS score
+  FROM cut JOIN f h ON h.lang = cut.lang AND h.x = cut.x[1:j] JOIN f g ON g.lang = cut.lang AND g.x = cut.x[j + 1:cut.k]),
+low AS (SELECT *, row_number() OVER (PARTITION BY lang, x ORDER BY score, j) AS nth FROM s),
+ranked AS (SELECT lang, array_to_string(x, ' ') AS phrase, a, l, r, score::BIGINT AS score FROM low WHERE nth = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN t ON t.lang = o.lang WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_quality": OP4_SQL, "op8_secrets": OP8_SQL, "op9_chat": OP9_SQL, "op12_exact_dedup": OP12_SQL, "op13_collocations": OP13_SQL}
