@@ -93,27 +93,34 @@ def mixed(*columns: np.ndarray) -> np.ndarray:
     return h
 
 
-def suffixes(ids: np.ndarray, total: np.ndarray, hot: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes of two to four words that begin at each word (rows of columns, -1 behind the end), and how many leading words route each.
+def suffixes(ids: np.ndarray, total: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of two to four words that begin at each word (rows of columns, -1 behind the end), and two rows of spreads.
 
-    Two words route a suffix. Words that all occur hot times or more may be a phrase that one route can't hold, so their
-    suffixes are routed by one word more.
+    A phrase occurs no oftener than its rarest word. The spreads are over how many routes the suffixes of the leading two, and then
+    of the leading three words are to be dealt, so that each gets most of them at the utmost: 1 for nearly all.
     """
-    cols, heat = np.full((DEPTH, len(ids)), -1, np.int64), np.zeros((DEPTH, len(ids)), bool)
+    cols, f = np.full((DEPTH, len(ids)), -1, np.int64), np.zeros((DEPTH - 1, len(ids)), np.int64)
     for k in range(min(DEPTH, len(ids))):
-        cols[k, : len(ids) - k], heat[k, : len(ids) - k] = ids[k:], total[k:] >= hot
+        cols[k, : len(ids) - k] = ids[k:]
+        if k < DEPTH - 1:
+            f[k, : len(ids) - k] = total[k:]
     use = (cols[0] >= 0) & (cols[1] >= 0)
-    cols, heat = cols[:, use], heat[:, use]
+    cols, f = cols[:, use], f[:, use]
     cols[3, cols[2] < 0] = -1
-    lead = 2 + (heat[0] & heat[1])
-    return cols, lead + ((lead == 3) & heat[2] & (cols[2] >= 0))
+    two = np.minimum(f[0], f[1])
+    return cols, 1 + np.stack([two, np.where(cols[2] >= 0, np.minimum(two, f[2]), 0)]) // most
 
 
-def routed(cols: np.ndarray, lead: np.ndarray, routes: int) -> Iterator[tuple[int, bytes]]:
-    """(route, packed suffixes with their counts): equal suffixes of a block count as one, so a hot phrase is a row for each block."""
+def routed(cols: np.ndarray, spread: np.ndarray, routes: int) -> Iterator[tuple[int, bytes]]:
+    """(route, packed suffixes with their counts): equal suffixes of a block count as one, so a hot phrase is a row for each block.
+
+    The leading two words choose the route; where these, or the leading three, are spread, the next word chooses how far from there.
+    """
     if not cols.shape[1]:
         return
-    route = (mixed(cols[0], cols[1], np.where(lead > 2, cols[2], -1), np.where(lead > 3, cols[3], -1)) >> np.uint64(20)) % np.uint64(routes)
+    far = lambda k: (mixed(cols[k]) >> np.uint64(20)) % spread[k - 2].astype(np.uint64)
+    route = ((mixed(cols[0], cols[1]) >> np.uint64(20)) + far(2) + far(3)) % np.uint64(routes)
+    lead = 2 + (spread[0] > 1) + (spread[1] > 1)
     order = np.lexsort((mixed(*cols), route))
     cols, lead, route = cols[:, order], lead[order], route[order]
     first = np.flatnonzero(np.r_[True, (cols[:, 1:] != cols[:, :-1]).any(axis=0)])
@@ -192,7 +199,7 @@ def phrase_counts(docs: DataFrame, least: int, block_bytes: int, route_pointers:
                 place, word, f = (known.values.field(k).to_numpy() for k in range(3))
                 ids, total = np.full(int(max(code.max(initial=0), place.max())) + 2, -1), np.zeros(int(max(code.max(initial=0), place.max())) + 2, np.int64)
                 ids[place], total[place] = word, f  # the last line stands for the end of a piece
-                rows = list(routed(*suffixes(ids[code], total[code], route_pointers // 8), routes)) if len(code) else []
+                rows = list(routed(*suffixes(ids[code], total[code], max(1, route_pointers // 2)), routes)) if len(code) else []
                 yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int64()), pa.array([d for _, d in rows], pa.binary())], names=["route", "data"])
 
     def mine(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +234,8 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, covered_perc
     Texts are coded in blocks of about block_bytes, which bound a task's memory (a piece is never cut). A word that occurs
     under least times ends all suffixes, as no frequent phrase holds it. The suffixes of a block are counted,
     and routed over all blocks by their leading two words; a route is quicksorted to a depth of four words, and its partitions
-    under least are abandoned (quicksorted). Leading words so common that one route could not hold them are routed by
-    three or four words, and their counts are added up afterwards; no suffix is left out. Counts are exact: words are told apart by id,
+    under least are abandoned (quicksorted). Leading words that may be too many for one route are dealt by their next
+    words over as many routes as they may fill, and their counts are added up afterwards; no suffix is left out. Counts are exact: words are told apart by id,
     not by hash; products are decimals.
 
     NULL texts are empty; a NULL lang is `und`. Repeated rows count as often as they stand. Empty tables, and languages
