@@ -17,7 +17,7 @@ from folioforge.llm.common import kept_table
 #: Words of the longest phrase.
 DEPTH = 4
 #: Bytes of text of a block, and pointers that a route gets on average.
-BLOCK_BYTES, ROUTE_POINTERS = 8 << 20, 1 << 20
+BLOCK_BYTES, ROUTE_POINTERS = 4 << 20, 1 << 19
 #: Every character that ends a piece becomes a full stop, the other blank a space (fixed values).
 ENDS = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b".........\x20")
 BLOCKS = "block long, lang string, total long, words array<string>, counts array<long>, codes binary"
