@@ -28,7 +28,7 @@ def grouped(marks: DataFrame, *keys: str) -> DataFrame:
 
 def judged(marks: DataFrame, groups: DataFrame, *keys: str) -> DataFrame:
     """Each row with its group's facts; groups has those of more than one row, so that it stays narrow."""
-    rows = marks.join(groups, list(keys), "left")
+    rows = marks.join(groups.hint("shuffle_hash"), list(keys), "left")
     alone = F.col("n").isNull()
     return rows.select(
         F.col("id").alias("doc_id"),
@@ -46,7 +46,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     with the most code points as given stays (longest), then the smallest id; without longest, the smallest id.
 
     Each row is reduced to its id, length and digest first, and these are grouped by 128 bits of the digest (bits, which
-    tests replace). Only texts of groups of more than one row are then brought together and told apart by their bytes: the
+    tests replace). Only texts of groups of more than one row are then brought together and told apart by their bytes (at every
+    size by shuffling, as the number of groups has no bound; Spark's run-time filter spares large tables most texts that stand alone): the
     text itself is a grouping key, so each task sends a text once, however many copies it has read. Should one
     hash have several texts, its rows are grouped by hash and text instead.
 
@@ -61,7 +62,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # The number of a row is settled by writing it down.
     marks = kept_table(hashed.select("id", "order", "sha", "hash", F.monotonically_increasing_id().alias("row")))
     groups = kept_table(grouped(marks, "hash").where("n > 1"))
-    texts = kept_table(hashed.join(groups.select("hash"), "hash").select("hash", "norm"))
+    texts = kept_table(hashed.join(groups.select("hash").hint("shuffle_hash"), "hash").select("hash", "norm"))
     mixed = kept_table(texts.groupBy("hash", "norm").agg(F.count(F.lit(1)).alias("n")).groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("hash"))
     if mixed.isEmpty():
         return judged(marks, groups, "hash")
