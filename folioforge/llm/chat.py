@@ -86,8 +86,11 @@ def format_branches(messages: DataFrame, paths: DataFrame) -> DataFrame:
     """One row for each chosen path: (tree, rank, formatted, loss_spans).
 
     loss_spans: code-point spans (start, end exclusive) of the assistants' escaped texts in formatted, in order.
+    NULL role or text is empty, and its turn stays; of several rows of one (tree, node) the least counts. Empty tables
+    give no rows; other columns are ignored.
     """
-    texts = messages.groupBy("tree", "node").agg(F.min(F.struct("role", "text")).alias("m")).select("tree", "node", "m.role", "m.text")
+    said = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = messages.groupBy("tree", "node").agg(F.min(said).alias("m")).select("tree", "node", "m.role", "m.text")
     turns = paths.alias("x").join(texts.alias("y"), F.col("x.tree").eqNullSafe(F.col("y.tree")) & (F.col("x.node") == F.col("y.node")))
     head, body = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n")), escape(F.col("text"))
     turns = turns.select("x.tree", "rank", "depth", head.alias("head"), body.alias("body"), (F.col("role") == "assistant").alias("learn"))
@@ -124,5 +127,8 @@ def loss_text(formatted: Column, spans: Column) -> Column:
 
 
 def format_chats(messages: DataFrame, top: int | None = None) -> DataFrame:
-    """Reply trees (tree, node, parent, role, text, score) to one formatted conversation for each chosen branch."""
+    """Reply trees (tree, node, parent, role, text, score) to one formatted conversation for each chosen branch.
+
+    NULLs, ties, circles and repeated rows are as in branches and format_branches; an empty table gives no rows.
+    """
     return format_branches(messages, branches(messages, top))

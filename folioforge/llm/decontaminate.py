@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioforge.llm.common import kept_table, word_array
 
 SHINGLE, BLOCKS, BITS = 5, 8, 8
+UNIT = 1 << 20
 
 
 def word_hashes(text: Column) -> Column:
@@ -39,14 +40,31 @@ def hamming_blocks(fingerprint: str, flips: int) -> Column:
     return F.expr(f"flatten(transform(sequence(0, {BLOCKS - 1}), j -> transform(array({', '.join(map(str, masks))}), m -> struct(j AS block, {value} AS value))))")
 
 
+def laid_windows(spots: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, text_key, item_id, n, start) of all windows whose shared shingles may weigh enough.
+
+    spots: places of a document (at) where a shingle of the item stands, with its weight and the item's whole weight. A
+    window is laid if the spots that it may hold, up to its last one, weigh percent of the item. This bounds its
+    similarity from above, wherever in the item those shingles stand, so no window that reaches it is passed over.
+    """
+    by = Window.partitionBy("doc_id", "text_key", "item_id")
+    reach = F.col("n") - SHINGLE
+    # Frames are of one length: in units of just over the reach, the window's spots lie within one unit.
+    place = F.expr(f"at * {UNIT} div (n - {SHINGLE - 1})")
+    held = F.sum("weight").over(by.orderBy(place).rangeBetween(-UNIT - 1, 0))
+    rows = spots.withColumn("held", held).withColumn("next", F.lead("at").over(by.orderBy("at"))).where(100 * F.col("held") >= percent * F.col("whole") - 1e-6)
+    first = F.greatest(F.col("at") - reach, F.lit(0))
+    last = F.least(F.coalesce(F.col("next") - 1 - reach, F.col("at")), F.col("at"), F.greatest(F.col("nw") - F.col("n"), F.lit(0)))
+    return rows.where(first <= last).select("doc_id", "text_key", "item_id", "n", F.explode(F.sequence(first, last)).alias("start"))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius: int = 23, id_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:
     """One row for each document and benchmark item that it contains: (doc_id, item_id, start_word, end_word, distance, similarity).
 
     Whole texts, words folded to lower case. A window has as many words as its item (a shorter text is one window). Only a
-    window that shares a five-word shingle with the item can reach the similarity asked for, so an item's windows are laid
-    where a shingle of the document is one of the item's, aligned with its place there, and at every start between two such
-    places that one window can hold, as words may be added or missing inside a passage. Each window gets a 64-bit
-    SimHash of its words. Items stand in a multi-index: 8 blocks of 8 bits, each with all values at up to two flipped
+    window that holds enough of the item's five-word shingles can reach the similarity asked for, in whatever order they
+    stand, so windows are laid at every start where the weights of shared shingles come to percent of the item's
+    (laid_windows), and nowhere else. Each window gets a 64-bit SimHash of its words. Items stand in a multi-index: 8 blocks of 8 bits, each with all values at up to two flipped
     bits, so that any two fingerprints within distance 23 meet in a block (radius at most 23). A window is looked up
     among the entries of the items that it was laid for, so it never meets the rest of a large benchmark by chance.
     Candidates within radius are verified by the weighted Jaccard similarity of their shingle sets: 100 * common weight >=
@@ -61,21 +79,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius:
     if not 0 <= radius <= 23:
         raise ValueError("radius must be 0 to 23")
     items = benchmark.where(f"`{item_col}` IS NOT NULL").select(F.col(item_col).alias("item_id"), word_hashes(F.col("text")).alias("iw")).where(F.size("iw") >= SHINGLE).distinct()
-    items = items.select("item_id", F.size("iw").alias("n"), "iw", shingles("iw").alias("is"), simhash("iw").alias("ifp"))
-    places = items.select("item_id", "n", F.posexplode("iw").alias("at", "h"), "iw").where(F.col("at") <= F.col("n") - SHINGLE)
-    places = kept_table(places.select("item_id", "n", F.col("at").alias("item_at"), shingle_at("iw", F.col("at")).alias("shingle")))
-    rare = places.groupBy("shingle").agg(F.countDistinct("item_id").alias("items"))
-    weight = places.select("item_id", "shingle").distinct().join(rare, "shingle").groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("shingle", 1.0 / F.col("items")))).alias("weights"))
-    items = kept_table(items.join(weight, "item_id"))
+    items = items.select("item_id", F.size("iw").alias("n"), shingles("iw").alias("is"), simhash("iw").alias("ifp"))
+    places = kept_table(items.select("item_id", "n", F.explode("is").alias("shingle")))
+    places = places.join(places.groupBy("shingle").agg((1.0 / F.countDistinct("item_id")).alias("weight")), "shingle")
+    whole = places.groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("shingle", "weight"))).alias("weights"), F.sum("weight").alias("whole"))
+    items = kept_table(items.join(whole, "item_id"))
+    places = kept_table(places.join(items.select("item_id", "whole"), "item_id"))
 
     words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64("text").alias("text_key"), word_hashes(F.col("text")).alias("w"))
-    spots = words.select("doc_id", "text_key", F.size("w").alias("nw"), F.posexplode("w").alias("at", "h"), "w").where(F.col("at") <= F.col("nw") - SHINGLE)
+    at = F.explode(F.sequence(F.lit(0), F.size("w") - SHINGLE)).alias("at")
+    spots = words.where(F.size("w") >= SHINGLE).select("doc_id", "text_key", F.size("w").alias("nw"), at, "w")
     spots = spots.select("doc_id", "text_key", "nw", "at", shingle_at("w", F.col("at")).alias("shingle"))
-    start = F.greatest(F.least(F.col("at") - F.col("item_at"), F.col("nw") - F.col("n")), F.lit(0))
-    laid = kept_table(spots.join(places, "shingle").select("doc_id", "text_key", "item_id", "n", start.alias("start")).distinct())
-    laid = laid.withColumn("next", F.lead("start").over(Window.partitionBy("doc_id", "text_key", "item_id").orderBy("start")))
-    last = F.when(F.col("next") - F.col("start") < F.col("n"), F.col("next") - 1).otherwise(F.col("start"))
-    laid = kept_table(laid.select("doc_id", "text_key", "item_id", "n", F.explode(F.sequence("start", last)).alias("start")))
+    spots = kept_table(spots.join(places, "shingle").select("doc_id", "text_key", "item_id", "n", "nw", "at", "weight", "whole").distinct())
+    laid = kept_table(laid_windows(spots, percent))
 
     same = F.col("d.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("d.text_key") == F.col("v.text_key"))
     again = words.alias("d").join(laid.select("doc_id", "text_key", "start", "n").distinct().alias("v"), same)

@@ -344,6 +344,36 @@ def test_decontamination_with_insertions_and_shared_openings(spark):
     assert len(out) > 50
 
 
+def test_moved_passages_are_found(spark):
+    """Passages of 20 to 200 words, rotated, halved, with blocks swapped or with words between, and with repeated shingles: all windows are searched."""
+    rng = random.Random(31)
+    items = [(i, words(rng, n, 10**6)) for i, n in enumerate([20, 30, 45, 60, 100, 200])]
+    items.append((6, (words(rng, 9, 10**6) * 3)[:24]))  # repeats its own shingles
+    texts = []
+    for _, w in items:
+        n = len(w)
+        for k in (n // 2, n // 3, 2 * n // 3):
+            texts.append(w[k:] + w[:k])
+        third = n // 3
+        texts += [w[third:] + words(rng, n // 8, 10**6) + w[:third], w[: n // 2] + words(rng, n // 12 + 1, 10**6) + w[n // 2 :], w[n // 2 :], w + w, w[: n // 5 * 4] * 2]
+        texts.append([x for i in range(0, n, 10) for x in (w[i + 5 : i + 10] + w[i : i + 5])])
+    texts = [" ".join(words(rng, rng.randint(0, 40), 10**6) + t + words(rng, rng.randint(0, 40), 10**6)) for t in texts]
+    items = [(i, " ".join(w)) for i, w in items]
+    out = decontaminate.find_leaks(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute_leaks(texts, items)
+    assert {(r["doc_id"], r["item_id"]) for r in out} == want and len(want) > 20
+
+
+def test_a_long_text_full_of_spots(spark):
+    rng = random.Random(32)
+    items = [(i, words(rng, 30, 10**6)) for i in range(3)]
+    text = [x for k in range(700) for x in (items[k % 3][1] if k % 50 == 0 else items[k % 3][1][:12] + words(rng, 18, 10**6))]
+    items = [(i, " ".join(w)) for i, w in items]
+    rows = docs(spark, [" ".join(text), None])
+    out = decontaminate.find_leaks(rows, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["similarity"]) for r in out} == {(0, i, 1.0) for i in range(3)}
+
+
 def test_hamming_blocks_guarantee(spark):
     rng = random.Random(9)
     rows = []

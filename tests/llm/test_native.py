@@ -49,6 +49,22 @@ def test_reply_trees(spark):
     assert chat.branches(messages.limit(0)).count() == 0
 
 
+def test_chats_of_trees_with_nulls(spark):
+    """Turns without role or text stay in their branch; branches rank by score; ties and repeated rows count once."""
+    rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", None, 0.0), (1, 3, 2, None, "x", 1.0), (1, 4, 3, "assistant", "a", 0.0), (1, 5, 2, "user", None, 3.0), (1, 5, 2, "user", None, 3.0), (None, 1, None, "assistant", "z", None)]
+    messages = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double").withColumn("rank", F.lit(9))
+    out = chat.format_chats(messages)
+    out = out.select("tree", "rank", chat.read_back(F.col("formatted")).alias("t"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("l"), "loss_spans")
+    got = {(r["tree"], r["rank"]): r for r in out.collect()}
+    assert {k: [tuple(x) for x in r["t"]] for k, r in got.items()} == {
+        (1, 1): [("user", "q"), ("assistant", ""), ("user", "")],
+        (1, 2): [("user", "q"), ("assistant", ""), ("", "x"), ("assistant", "a")],
+        (None, 1): [("assistant", "z")],
+    }
+    assert got[1, 2]["l"] == "a" and len(got[1, 2]["loss_spans"]) == 2 and all(None not in tuple(s) for s in got[1, 2]["loss_spans"])
+    assert chat.format_chats(messages, top=1).count() == 2 and chat.format_chats(messages.limit(0)).count() == 0
+
+
 def brute_secrets(text):
     rules = (("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16), ("forge", re.compile("gh[pousr]_[A-Za-z0-9]+"), 0, 40), ("cloud", re.compile("AIza[0-9A-Za-z_-]+"), 0, 39), ("chat", re.compile("xox[abp]-[0-9A-Za-z-]+"), 0, 20), ("private", re.compile("-----BEGIN (RSA |EC |OPENSSH )?PRIVATE KEY-----"), 0, 0))
     found = [(m.start(), i, f"{k}:{m.start()}:{m.end()}") for i, (k, r, g, n) in enumerate(rules) for m in r.finditer(text or "") if len(m.group(g)) >= n]
