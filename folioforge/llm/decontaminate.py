@@ -50,7 +50,7 @@ def laid_windows(spots: DataFrame, percent: int) -> DataFrame:
     by = Window.partitionBy("doc_id", "text_key", "item_id")
     reach = F.col("n") - SHINGLE
     # Frames are of one length: in units of just over the reach, the window's spots lie within one unit.
-    place = F.expr(f"at * {UNIT} div (n - {SHINGLE - 1})")
+    place = F.expr(f"CAST(at AS BIGINT) * {UNIT} div (n - {SHINGLE - 1})")
     held = F.sum("weight").over(by.orderBy(place).rangeBetween(-UNIT - 1, 0))
     rows = spots.withColumn("held", held).withColumn("next", F.lead("at").over(by.orderBy("at"))).where(100 * F.col("held") >= percent * F.col("whole") - 1e-6)
     first = F.greatest(F.col("at") - reach, F.lit(0))
