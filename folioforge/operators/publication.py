@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folioforge.operators import gold
 from folioforge.operators.aggregates import content_fingerprint
 from folioforge.operators.gold import Tables
-from folioforge.sources.scratch import kept
+from folioforge.sources.scratch import kept, path_exists
 
 IDENTITY = ("source", "entity", "source_uri", "snapshot_date", "updated_date", "content_format")
 
@@ -85,8 +85,7 @@ def commit_assets(rows: DataFrame, errors: Column) -> DataFrame:
 
 
 def _pointer(spark: SparkSession, root: str) -> DataFrame | None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/pointer")
-    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    there = path_exists(spark, f"{root}/pointer")
     return spark.read.schema("sequence long, version string, fingerprint string, previous string").parquet(f"{root}/pointer") if there else None
 
 
@@ -103,8 +102,7 @@ def stage(df: DataFrame, root: str, version: str) -> str:
     """Write a version's directory and return its fingerprint; the same content again is a no-op, other content an error."""
     spark, path = df.sparkSession, f"{root}/versions/{version}"
     fingerprint = content_fingerprint(df)
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+    if path_exists(spark, path):
         if content_fingerprint(spark.read.parquet(path)) != fingerprint:
             raise ValueError(f"version {version} is there with other content")
         return fingerprint

@@ -9,7 +9,7 @@ from folioforge.operators.aggregates import content_fingerprint, fingerprint
 from folioforge.operators.entities import reconcile_entities
 from folioforge.operators.versions import enrichment_rows, fold_assets, outcomes_of, winning_relationships
 from folioforge.plans import schemas
-from folioforge.sources.scratch import kept
+from folioforge.sources.scratch import kept, path_exists
 from folioforge.sources.writers import append_log
 
 
@@ -110,8 +110,7 @@ def input_balance(inputs: DataFrame) -> DataFrame:
 def record_publication(spark: SparkSession, folder: str, sequence: int, release_id: str, manifest: DataFrame, gate_passed: bool, previous: str | None) -> None:
     """Append one publication row; the same (sequence, release) with other content is an error, with the same a no-op."""
     row = spark.createDataFrame([(sequence, release_id, content_fingerprint(manifest), gate_passed, previous)], "sequence long, release_id string, manifest_fingerprint string, gate_passed boolean, previous string")
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+    if path_exists(spark, folder):
         same = spark.read.schema(row.schema).parquet(folder).where((F.col("sequence") == sequence) & (F.col("release_id") == release_id))
         if not same.join(row, row.columns, "left_anti").drop("previous").isEmpty() and not same.drop("previous").exceptAll(row.drop("previous")).isEmpty():
             raise ValueError(f"publication {sequence} of {release_id} is recorded with other content")

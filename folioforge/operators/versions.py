@@ -137,9 +137,13 @@ def tombstone(works: DataFrame, deletions: DataFrame, asset: str, checksum: str,
 
 
 def dedupe_ledger(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One row for each (work, date) with its number of repeats, and the works of more than one date, which reject the ledger."""
-    groups = ledger.groupBy("work_id").agg(F.min("deleted_date").alias("deleted_date"), F.countDistinct("deleted_date").alias("dates"), F.count("*").alias("rows"))
-    return groups.where("dates <= 1").select("work_id", "deleted_date", (F.col("rows") - 1).alias("duplicates")), groups.where("dates > 1").select("work_id", "dates")
+    """One row for each (work, date) with its number of repeats, and the works of more than one date, which reject their ledger.
+
+    Where the rows name their asset, each ledger is judged apart: two ledgers may give a work two dates.
+    """
+    keys = ["asset", "work_id"] if "asset" in ledger.columns else ["work_id"]
+    groups = ledger.groupBy(*keys).agg(F.min("deleted_date").alias("deleted_date"), F.countDistinct("deleted_date").alias("dates"), F.count("*").alias("rows"))
+    return groups.where("dates <= 1").select(*keys, "deleted_date", (F.col("rows") - 1).alias("duplicates")), groups.where("dates > 1").select(*keys, "dates")
 
 
 def update_barriers(barriers: DataFrame, unknown: DataFrame) -> DataFrame:

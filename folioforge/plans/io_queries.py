@@ -255,10 +255,22 @@ def job1(t):
 def job2(t):
     spark, folder = t["ledger"].sparkSession, new_folder(t["ledger"].sparkSession, "ledger")
     t["ledger"].write.option("header", True).csv(folder)
-    seen, bad = jobs.ingest_deletions(spark, folder, 7)
+    seen, bad = jobs.ingest_deletions(spark, folder)
     return _plain(seen.agg(F.count("*").alias("observed"), F.max("lineage_date").alias("last_date")).withColumn("bad", F.lit(bad.count())))
 
 
+@query("job2_ledgers_apart", "ledger", sql="SELECT work_id, CAST(deleted_date AS VARCHAR) AS deleted_date, NULL AS error FROM ledger WHERE work_id LIKE '%0' UNION ALL SELECT NULL, NULL, unnest(['DATE_CONFLICT','TOO_MANY_IDS'])")
+def job2_apart(t):
+    """Three ledgers: a clean one, one that gives each work two dates, and one with too many ids. The works of the first are in the last as well."""
+    spark, folder = t["ledger"].sparkSession, new_folder(t["ledger"].sparkSession, "ledgers")
+    twice = t["ledger"].where("work_id LIKE '%5'")
+    ledgers = {"1": t["ledger"].where("work_id LIKE '%0'"), "2": twice.unionByName(twice.withColumn("deleted_date", F.date_add("deleted_date", 1))), "3": t["ledger"]}
+    for day, rows in ledgers.items():
+        rows.coalesce(1).write.option("header", True).csv(f"{folder}/updated_date=2024-01-0{day}")
+    seen, bad = jobs.ingest_deletions(spark, f"{folder}/*", most_ids=t["ledger"].count() * 3 // 4)
+    return _plain(seen.select("work_id", F.col("lineage_date").alias("deleted_date"), F.lit(None).cast("string").alias("error")).unionByName(bad.select(F.lit(None).cast("string").alias("work_id"), F.lit(None).cast("date").alias("deleted_date"), "error")))
+
+
 @query("job3_full_pipeline", *RELATIONS, sql="""SELECT 'publication_trends' AS mart_id, count(*) AS row_count FROM (SELECT DISTINCT publication_year FROM works) UNION ALL SELECT 'open_access_trends', count(*) FROM (SELECT DISTINCT publication_year, oa_status FROM works)
 UNION ALL SELECT 'research_discovery', count(*) FROM works UNION ALL SELECT 'citation_edges', count(*) FROM work_references WHERE work_id IN (SELECT work_id FROM works)""")
 def job3(t):

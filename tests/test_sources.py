@@ -124,6 +124,34 @@ def test_full_pipeline(spark, tmp_path):
     assert {r["work_id"] for r in barriers.collect()} == {"W2", "W9"}
 
 
+def test_ledgers_count_apart(spark, tmp_path):
+    """Two ledgers with two dates for a work both count, in their order; one that contradicts itself goes, is reported, and stops publication."""
+    works = tmp_path / "in" / "updated_date=2024-01-01"
+    works.mkdir(parents=True)
+    with gzip.open(works / "part.gz", "wt") as f:
+        for w in ("W1", "W2", "W3"):
+            f.write(json.dumps({**WORK, "id": w, "doi": f"10.1/{w}", "referenced_works": []}) + "\n")
+
+    def ledger(day, *rows):
+        folder = tmp_path / "gone" / f"updated_date={day}"
+        folder.mkdir(parents=True)
+        (folder / "l.csv").write_text("\n".join(["work_id,deleted_date", *rows]) + "\n")
+
+    ledger("2024-03-01", "W1,2024-02-01", "W9,2024-02-01")
+    ledger("2024-02-15", "W1,2024-02-02", "W1,2024-02-02")
+    tables, _, _ = jobs.ingest_works(spark, f"{tmp_path}/in/*/*.gz", f"{tmp_path}/gone/*")
+    assert tables["rejected_ledgers"].count() == 0
+    assert {(r["work_id"], r["activity_state"], str(r["lineage_source_updated_date"])) for r in tables["works"].collect()} == {("W1", "DELETED", "2024-02-02"), ("W2", "ACTIVE", "2024-01-01"), ("W3", "ACTIVE", "2024-01-01")}
+    seqs = {r["seq"]: r["kind"] for r in tables["observed"].collect()}
+    assert [seqs[k] for k in sorted(seqs)] == ["work", "deletion", "deletion"]
+    ledger("2024-04-01", "W2,2024-02-01", "W2,2024-02-03")
+    tables, _, _ = jobs.ingest_works(spark, f"{tmp_path}/in/*/*.gz", f"{tmp_path}/gone/*")
+    assert [r["error"] for r in tables["rejected_ledgers"].collect()] == ["DATE_CONFLICT"]
+    assert {r["work_id"] for r in tables["works"].where("activity_state = 'DELETED'").collect()} == {"W1"}
+    report = jobs.run_pipeline(spark, f"{tmp_path}/in/*/*.gz", f"{tmp_path}/gone/*", str(tmp_path / "out"), "run1")
+    assert not report["published"] and report["failed"] == ["ingest.deletion_ledgers"] and "2024-04-01" in report["rejected_ledgers"][0]
+
+
 def test_named_query_binds_values(spark):
     t = {"works_named": spark.createDataFrame([("W1", 2020), ("W2", None)], "work_id string, y int")}
     text = "SELECT work_id FROM works_named WHERE (:y IS NULL OR y >= :y)"
