@@ -10,6 +10,8 @@ from folioforge.plans.bridge import tables, with_clause
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: SQL of a query without the definitions of its tables, to be put over others.
+RAW: dict[str, str] = {}
 
 
 def query(name: str, *names: str, sql: str | None = None) -> Callable:
@@ -18,6 +20,7 @@ def query(name: str, *names: str, sql: str | None = None) -> Callable:
     def add(f: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable:
         QUERIES[name] = lambda spark, sf_dir: f(tables(spark, sf_dir, *names))
         if sql:
+            RAW[name] = sql.strip()
             with_ = with_clause(*names)
             ORACLES[name] = f"{with_},\n{sql.strip()[5:]}" if sql.strip()[:5].upper() == "WITH " else f"{with_}\n{sql.strip()}"
         return f
