@@ -94,7 +94,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius:
     laid = kept_table(laid_windows(spots, percent))
 
     same = F.col("d.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("d.text_key") == F.col("v.text_key"))
-    again = words.alias("d").join(laid.select("doc_id", "text_key", "start", "n").distinct().alias("v"), same)
+    # Texts are dealt as they are, at every size, as the number of documents with windows has no bound; only these are cut into words again.
+    hits = kept_table(laid.select("doc_id", "text_key").distinct())
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    texts = kept_table(texts.alias("d").join(hits.hint("shuffle_hash").alias("v"), same, "left_semi"))
+    again = texts.select("doc_id", "text_key", word_hashes(F.col("text")).alias("w")).alias("d").join(laid.select("doc_id", "text_key", "start", "n").distinct().alias("v"), same)
     cut = again.select("d.doc_id", "d.text_key", "v.start", "v.n", F.expr("slice(d.w, v.start + 1, v.n)").alias("ww")).distinct()
     cut = kept_table(cut.select("doc_id", "text_key", "start", "n", F.size("ww").alias("long"), simhash("ww").alias("fp"), shingles("ww").alias("ws")))
     owned = cut.alias("d").join(laid.alias("v"), same & (F.col("d.start") == F.col("v.start")) & (F.col("d.n") == F.col("v.n"))).select("d.*", "v.item_id")
