@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from folioforge.sources.scratch import kept
 
 
 def _walk(value, path: str, seen: Counter, dynamic: frozenset[str]) -> None:
@@ -176,7 +177,7 @@ def pseudonyms(values: DataFrame) -> DataFrame:
     firsts = values.where("value IS NOT NULL").groupBy("kind", "value").agg(F.min("pos").alias("pos"))
     ranged = firsts.repartitionByRange("kind", "pos", "value").withColumn("part", F.spark_partition_id())
     inside = F.row_number().over(Window.partitionBy("kind", "part").orderBy("pos", "value"))
-    numbered = ranged.withColumn("n", inside)
+    numbered = kept(ranged.withColumn("n", inside))  # written down, as sizes and numbers must see the same ranges
     sizes = numbered.groupBy("kind", "part").agg(F.count("*").alias("c"))
     before = sizes.withColumn("before", F.coalesce(F.sum("c").over(Window.partitionBy("kind").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     joined = numbered.join(F.broadcast(before.select("kind", "part", "before")), ["kind", "part"])  # one row for each kind and range

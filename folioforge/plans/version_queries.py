@@ -85,12 +85,22 @@ query("dq17_mart_leakage", *ALL, sql="SELECT 'research_discovery' AS mart_id, co
 )
 query("dq17_fresh_marts_do_not_leak", *ALL, sql="SELECT unnest(['research_discovery','citation_edges']) AS mart_id, (SELECT count(*) FROM works WHERE activity_state NOT IN ('ACTIVE','DELETED')) AS leaked")(lambda t: quality.mart_leakage(t, {"research_discovery": gold.research_discovery(t), "citation_edges": gold.citation_edges(t)}))
 
-TARGET_DECISIONS = """WITH d AS (SELECT s.work_id, s.activity_state AS source_activity_state, CASE WHEN t.work_id IS NULL THEN 'INSERT' WHEN s.source_checksum_sha256=t.source_checksum_sha256 THEN 'IDENTICAL'
- WHEN t.activity_state='DELETED' AND s.activity_state='ACTIVE' THEN 'RESTORE_REQUIRED' WHEN s.lineage_source_updated_date < t.lineage_source_updated_date THEN 'STALE'
- WHEN s.lineage_source_updated_date IS NULL AND t.lineage_source_updated_date IS NOT NULL THEN 'STALE'
- WHEN s.lineage_source_updated_date = t.lineage_source_updated_date AND t.activity_state='ACTIVE' AND s.activity_state='DELETED' THEN 'APPLY_UPDATE'
- WHEN s.lineage_source_updated_date = t.lineage_source_updated_date THEN 'CONFLICT' WHEN s.lineage_source_updated_date IS NOT NULL AND t.lineage_source_updated_date IS NULL THEN 'APPLY_UPDATE'
- WHEN s.lineage_source_updated_date > t.lineage_source_updated_date THEN 'APPLY_UPDATE' ELSE 'CONFLICT' END AS publication_decision FROM staging s LEFT JOIN target t ON t.work_id=s.work_id)"""
+# The decision for each kind of change and order of dates (1 later, 0 the same, -1 earlier, 9 both undated; a dated side is later than an
+# undated one). What has no row is not known yet.
+RULES = {
+    "same": dict.fromkeys((1, 0, -1, 9), "IDENTICAL"),
+    "revived": dict.fromkeys((1, 0, -1, 9), "RESTORE_REQUIRED"),
+    "retired": {1: "APPLY_UPDATE", 0: "APPLY_UPDATE", -1: "STALE", 9: "CONFLICT"},
+    "kept": {1: "APPLY_UPDATE", 0: "CONFLICT", -1: "STALE", 9: "CONFLICT"},
+}
+_RULE_ROWS = ", ".join(f"('{kind}', {order}, '{decision}')" for kind, by in RULES.items() for order, decision in by.items())
+_DAY = "coalesce({0}.lineage_source_updated_date, DATE '1000-01-01')"
+TARGET_DECISIONS = f"""WITH rules(kind, dates, decision) AS (VALUES {_RULE_ROWS}),
+ kinds(was, becomes, kind) AS (VALUES ('ACTIVE', 'ACTIVE', 'kept'), ('DELETED', 'DELETED', 'kept'), ('ACTIVE', 'DELETED', 'retired'), ('DELETED', 'ACTIVE', 'revived')),
+ facts AS (SELECT s.work_id, s.activity_state AS source_activity_state, IF(s.source_checksum_sha256 = t.source_checksum_sha256, 'same', k.kind) AS kind,
+  IF(coalesce(s.lineage_source_updated_date, t.lineage_source_updated_date) IS NULL, 9, sign({_DAY.format("s")} - {_DAY.format("t")})) AS dates
+  FROM staging s LEFT JOIN target t ON t.work_id=s.work_id LEFT JOIN kinds k ON k.was=t.activity_state AND k.becomes=s.activity_state),
+ d AS (SELECT work_id, source_activity_state, coalesce(decision, 'INSERT') AS publication_decision FROM facts LEFT JOIN rules ON rules.kind=facts.kind AND rules.dates=facts.dates)"""
 MERGED = TARGET_DECISIONS + """,
  merged AS (SELECT coalesce(t.work_id, s.work_id) AS work_id,
   CASE WHEN d.publication_decision IN ('INSERT','APPLY_UPDATE') THEN s.lineage_source_updated_date ELSE t.lineage_source_updated_date END AS lineage_source_updated_date,
