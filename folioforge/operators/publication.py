@@ -209,14 +209,19 @@ def refresh_mart(mart_rows: DataFrame, new: Tables, scope: DataFrame, mart: str)
     return kept.unionByName(fresh.select(*mart_rows.columns))
 
 
-def frozen_decision_order(df: DataFrame) -> DataFrame:
-    """Numbers of assets in their order of processing, from 1.
+def numbered(df: DataFrame, *keys: str, name: str = "seq") -> DataFrame:
+    """Rows with their place in the order of the keys, from 1.
 
     Rows are sorted into ranges, numbered inside each, and moved by the rows of the ranges before; no task sees them all.
     """
-    ranged = df.repartitionByRange("processed_at", "asset_id").withColumn("_part", F.spark_partition_id())
-    numbered = kept(ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy("processed_at", "asset_id"))))
-    sizes = numbered.groupBy("_part").agg(F.count("*").alias("c"))
+    ranged = df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
+    inside = kept(ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*keys))))
+    sizes = inside.groupBy("_part").agg(F.count("*").alias("c"))
     ahead = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
     before = sizes.select("_part", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("before"))
-    return numbered.join(F.broadcast(before), "_part").withColumn("seq", (F.col("before") + F.col("_n")).cast("long")).drop("_part", "_n", "before")
+    return inside.join(F.broadcast(before), "_part").withColumn(name, (F.col("before") + F.col("_n")).cast("long")).drop("_part", "_n", "before")
+
+
+def frozen_decision_order(df: DataFrame) -> DataFrame:
+    """Numbers of assets (seq) in their order of processing, from 1."""
+    return numbered(df, "processed_at", "asset_id")

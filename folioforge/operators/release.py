@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioforge.operators.aggregates import content_fingerprint, fingerprint
 from folioforge.operators.entities import reconcile_entities
 from folioforge.operators.versions import enrichment_rows, fold_assets, outcomes_of, winning_relationships
+from folioforge.operators.publication import numbered
 from folioforge.plans import schemas
 from folioforge.sources.scratch import kept, path_exists
 from folioforge.sources.writers import append_log
@@ -51,6 +52,23 @@ def render_release(tables: dict[str, DataFrame], folder: str, rows_per_part: int
     return part_counts(next(iter(tables.values())).sparkSession, folder, list(tables))
 
 
+def render_exact_parts(tables: dict[str, DataFrame], folder: str, rows_per_part: int) -> DataFrame:
+    """Write each table in order of its key, cut by row number: all parts but the last hold exactly rows_per_part rows.
+
+    A part is one file in a folder of its number, whatever the number of tasks, so the same rows give the same parts.
+    An empty table has its schema but no part. Returns (table_name, part, rows, low, high), the bounds by the first key.
+    """
+    out = None
+    for name, df in tables.items():
+        keys = [k for k in schemas.KEYS.get(name, [df.columns[0]]) if k in df.columns]
+        placed = numbered(df, *keys, name="_row").withColumn("part", F.expr(f"(_row - 1) div {rows_per_part}"))
+        placed.repartition("part").sortWithinPartitions("part", "_row").drop("_row").write.mode("errorifexists").partitionBy("part").parquet(f"{folder}/{name}")
+        stored = df.sparkSession.read.schema(df.schema.add("part", "long")).parquet(f"{folder}/{name}")
+        part = stored.groupBy("part").agg(F.count("*").alias("rows"), F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high")).select(F.lit(name).alias("table_name"), "part", "rows", F.col("low").cast("string"), F.col("high").cast("string"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def part_counts(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
     out = None
     for name in names:

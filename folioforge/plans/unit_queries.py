@@ -6,12 +6,13 @@ import re
 
 from pyspark.sql import functions as F
 
-from folioforge.operators import deltas, gold, units
-from folioforge.plans.gold_queries import _MART_QUERIES, ALL, LIST
+from folioforge.operators import deltas, gold, lookups, release, units
+from folioforge.plans.gold_queries import _MART_QUERIES, ALL, LIST, _plain
 from folioforge.plans.io_queries import run_stream
 from folioforge.plans.registry import RAW, query
 from folioforge.plans.version_queries import MERGED, STATE, TARGET_DECISIONS
-from folioforge.sources.buckets import BucketStore, bucket_of
+from folioforge.sources import writers
+from folioforge.sources.buckets import BucketStore, LookupFiles, bucket_of
 from folioforge.sources.scratch import kept, new_folder
 from folioforge.streaming import ingest
 
@@ -88,6 +89,34 @@ def mrg5_failure(t):
     return seen[0].unionByName(seen[1]).unionByName(seen[2]).unionByName(seen[3])
 
 
+# --- lookups and releases ------------------------------------------------------------------------------------------
+
+
+def lookup_files(t):
+    """The lookup published in buckets, first with nothing and then with all active works."""
+    files = LookupFiles(t["works"].sparkSession, new_folder(t["works"].sparkSession, "lookup"), 16)
+    rows = writers.lookup_rows(t["works"], [c for c in lookups.WORK_COLUMNS if c in t["works"].columns])
+    files.publish(rows.limit(0), "v1")
+    files.publish(rows, "v2")
+    return files
+
+
+@query("q1_doi_lookup_by_bucket", "works", sql=RAW["q1_doi_work_lookup"])
+def q1_bucket(t):
+    return _plain(lookup_files(t).doi("10.5555/1003"))
+
+
+@query("q2_work_lookup_by_bucket", "works", sql=RAW["q2_work_id_lookup"])
+def q2_bucket(t):
+    return _plain(lookup_files(t).work("W1001"))
+
+
+@query("rel2_exact_parts", "works", "work_topics", sql="""WITH n AS (SELECT 'works' AS table_name, work_id, row_number() OVER (ORDER BY work_id) AS r FROM works UNION ALL SELECT 'work_topics', work_id, row_number() OVER (ORDER BY work_id, topic_id) FROM work_topics)
+SELECT table_name, (r - 1) // 500 AS part, count(*) AS rows, min(work_id) AS low, max(work_id) AS high FROM n GROUP BY ALL""")
+def rel2_exact(t):
+    return release.render_exact_parts({n: t[n] for n in ("works", "work_topics")}, new_folder(t["works"].sparkSession, "release"), 500)
+
+
 # --- marts by deltas ---------------------------------------------------------------------------------------------
 
 # A mixed change of the tables: works of last digit 4 are new, of 8 they change (year, publisher, status, authors, topics), of 0 they

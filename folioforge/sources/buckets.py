@@ -29,8 +29,10 @@ class BucketStore:
     when the store is made, so that a bucket holds a file's worth of rows.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int, key: str = "work_id"):
+    def __init__(self, spark: SparkSession, root: str, buckets: int, key: str = "work_id", bloom_keys: int | None = None):
+        """bloom_keys: write Parquet Bloom filters of the key, made for so many keys of a file."""
         self.spark, self.root, self.buckets, self.key = spark, root, buckets, key
+        self.options = {f"parquet.bloom.filter.enabled#{key}": "true", f"parquet.bloom.filter.expected.ndv#{key}": str(bloom_keys)} if bloom_keys else {}
 
     def version(self) -> str | None:
         now = publication.active_version(self.spark, self.root)
@@ -80,7 +82,7 @@ class BucketStore:
         for name, (rows, buckets) in changes.items():
             folder = f"{self.root}/data/{name}/version={version}"
             dealt = rows.withColumn("bucket", bucket_of(self.key, self.buckets)).repartition("bucket").sortWithinPartitions("bucket", self.key)
-            dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(folder)
+            dealt.write.mode("overwrite").options(**self.options).option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(folder)
             gone = F.col("table_name") == name if buckets is None else (F.col("table_name") == name) & F.col("bucket").isin(buckets)
             manifest = manifest.where(~gone).unionByName(self._facts(name, folder, version, rows.schema))
             if after_table is not None:
@@ -108,3 +110,27 @@ class BucketStore:
         return out.join(current.select("table_name", "version", "bucket"), ["table_name", "version", "bucket"], "left_anti") if out is not None else current.select("table_name", "version", "bucket")
 
 
+
+
+class LookupFiles:
+    """The published lookup rows twice, in buckets of work_id and in buckets of DOI, so that a point lookup opens one bucket's file.
+
+    A miss opens none where the bucket's bounds exclude the key; else Parquet's Bloom filter spares it the row groups. DOIs
+    are published first: until both pointers have moved, a DOI may show a newer row than its id.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int, bloom_keys: int = 100_000):
+        self.by_id = BucketStore(spark, f"{root}/by_id", buckets, "work_id", bloom_keys)
+        self.by_doi = BucketStore(spark, f"{root}/by_doi", buckets, "doi", bloom_keys)
+
+    def publish(self, rows: DataFrame, version: str) -> None:
+        """rows: one for each work that is served, as writers.lookup_rows gives them; those without a DOI are not in its buckets."""
+        self.by_doi.commit({"lookup": (rows.where("doi IS NOT NULL"), None)}, version)
+        self.by_id.commit({"lookup": (rows, None)}, version)
+
+    def work(self, work_id: str) -> DataFrame:
+        return self.by_id.lookup("lookup", work_id).limit(1)
+
+    def doi(self, doi: str) -> DataFrame:
+        """The work of a DOI; of several, the lowest id."""
+        return self.by_doi.lookup("lookup", doi).orderBy("work_id").limit(1)

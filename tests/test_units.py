@@ -6,8 +6,8 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.operators import deltas, gold, units, versions
-from folioforge.sources.buckets import BucketStore, bucket_of
+from folioforge.operators import deltas, gold, release, units, versions
+from folioforge.sources.buckets import BucketStore, LookupFiles, bucket_of
 from folioforge.streaming import ingest
 from tests import fixtures
 
@@ -61,6 +61,24 @@ def test_lookups_open_one_bucket(spark, tmp_path):
     assert store.lookup("works", "W7x").count() == 0
 
 
+def test_point_lookups_in_two_orders(spark, tmp_path):
+    rows = spark.createDataFrame([(f"W{i}", None if i % 5 == 0 else f"10.1/{i % 90}") for i in range(100)], "work_id string, doi string")
+    files = LookupFiles(spark, str(tmp_path / "lookup"), 8, bloom_keys=1000)
+    files.publish(rows, "v1")
+    assert [r["work_id"] for r in files.doi("10.1/3").collect()] == ["W3"] and len(files.doi("10.1/3").inputFiles()) == 1  # W93 has it as well
+    assert [r["doi"] for r in files.work("W10").collect()] == [None]
+    assert files.doi("9").count() == 0 and files.doi("9").inputFiles() == [] and files.work("W100x").count() == 0
+
+
+def test_exact_parts(spark, tmp_path):
+    rows = spark.range(103).selectExpr("concat('W', lpad(id, 3, '0')) AS work_id", "id AS n").repartition(7)
+    one = release.render_exact_parts({"works": rows, "empty": rows.limit(0)}, str(tmp_path / "a"), 20)
+    two = release.render_exact_parts({"works": rows.repartition(3)}, str(tmp_path / "b"), 20)
+    assert [(r["part"], r["rows"], r["low"], r["high"]) for r in one.orderBy("part").collect()] == [(k, 20 if k < 5 else 3, f"W{20 * k:03}", f"W{min(20 * k + 19, 102):03}") for k in range(6)]
+    assert rows_of(one) == rows_of(two)
+    assert len(list((tmp_path / "a" / "works").glob("part=*/*.parquet"))) == 6
+
+
 def test_a_failure_leaves_the_old_version(spark, tmp_path):
     store = store_of(spark, tmp_path, 50, 8)
     batch = works(spark, 20).withColumn("lineage_source_updated_date", F.date_add("lineage_source_updated_date", 1)).withColumn("source_checksum_sha256", F.lit("x"))
