@@ -1,15 +1,16 @@
-"""Bucketed publication, delta-kept marts and keyed streaming state as registered queries."""
+"""Bucketed publication, lookups, delta-kept marts, keyed streaming state and entity folds as registered queries."""
 
 from __future__ import annotations
 
 import re
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from folioforge.operators import deltas, gold, lookups, release, units
+from folioforge.operators import deltas, entities, gold, lookups, release, units
 from folioforge.plans.gold_queries import _MART_QUERIES, ALL, LIST, _plain
 from folioforge.plans.io_queries import run_stream
-from folioforge.plans.registry import RAW, query
+from folioforge.plans.registry import RAW, base_query, query
 from folioforge.plans.version_queries import MERGED, STATE, TARGET_DECISIONS
 from folioforge.sources import writers
 from folioforge.sources.buckets import BucketStore, LookupFiles, bucket_of
@@ -196,3 +197,50 @@ def str5_deltas(t):
     run_stream(t, 1, 2, after=ingest.deltas_after(old_new, lambda: (box["marts"], {}), store))
     return box["marts"]["open_access_trends"]
 
+
+
+# --- entities ----------------------------------------------------------------------------------------------------
+
+
+def described_parts(spark, sf_dir):
+    """Descriptions of parts in orders: an asset for each ship year, dated by it but for one that is undated, in the order of orders."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate").distinct()
+    seq = F.year("l_shipdate")
+    place = F.row_number().over(Window.partitionBy("l_partkey", seq).orderBy("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"))
+    name = F.when(F.col("l_suppkey") % 3 != 0, F.concat(F.lit("n"), (F.col("l_suppkey") % 2).cast("string")))
+    rows = lines.select(F.concat(F.lit("E"), F.col("l_partkey").cast("string")).alias("entity_id"), seq.alias("seq"), place.alias("pos"), name.alias("name"), F.when(F.col("l_linenumber") > 3, F.lit("x")).alias("kind"))
+    return rows.withColumn("date", F.when(F.col("seq") != 1995, F.make_date("seq", F.lit(1), F.lit(1))))
+
+
+def folded_sql(first):
+    """The ordered fold as a recursion over each entity's descriptions; conflicts count from asset first on."""
+    return f"""WITH RECURSIVE k AS (SELECT 'E'||l_partkey AS entity_id, year(l_shipdate) AS seq, row_number() OVER (PARTITION BY l_partkey, year(l_shipdate) ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate) AS pos,
+  CASE WHEN l_suppkey%3<>0 THEN 'n'||(l_suppkey%2) END AS name, CASE WHEN l_linenumber>3 THEN 'x' END AS kind FROM (SELECT DISTINCT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_shipdate FROM lineitem)),
+ b AS (SELECT *, lag(name) OVER w AS name_before, lag(kind) OVER w AS kind_before FROM k WINDOW w AS (PARTITION BY entity_id, seq ORDER BY pos)),
+ o AS (SELECT entity_id, seq, pos, CASE WHEN seq<>1995 THEN make_date(seq, 1, 1) END AS day, name, kind, row_number() OVER (PARTITION BY entity_id ORDER BY seq, pos) AS n
+  FROM b WHERE pos=1 OR name IS DISTINCT FROM name_before OR kind IS DISTINCT FROM kind_before),
+ f AS (SELECT entity_id, n, seq, pos, day, name, kind, 0 AS conflicts FROM o WHERE n=1
+  UNION ALL SELECT entity_id, n+1, CASE WHEN takes THEN new_seq ELSE seq END, CASE WHEN takes THEN new_pos ELSE pos END, CASE WHEN takes THEN new_day ELSE day END,
+   CASE WHEN clash THEN CASE WHEN takes THEN new_name ELSE name END ELSE coalesce(name, new_name) END, CASE WHEN clash THEN CASE WHEN takes THEN new_kind ELSE kind END ELSE coalesce(kind, new_kind) END,
+   conflicts + CASE WHEN clash AND new_seq>={first} AND (new_day=day OR (new_day IS NULL AND day IS NULL)) THEN 1 ELSE 0 END
+  FROM (SELECT *, CASE WHEN clash THEN coalesce(new_day>day, day IS NULL AND new_day IS NOT NULL) ELSE (name IS NULL AND new_name IS NOT NULL) OR (kind IS NULL AND new_kind IS NOT NULL) END AS takes
+   FROM (SELECT f.*, o.seq AS new_seq, o.pos AS new_pos, o.day AS new_day, o.name AS new_name, o.kind AS new_kind, coalesce(f.name<>o.name, false) OR coalesce(f.kind<>o.kind, false) AS clash
+    FROM f JOIN o ON o.entity_id=f.entity_id AND o.n=f.n+1)))
+SELECT entity_id, name, kind, CAST(day AS VARCHAR) AS date, seq, pos, conflicts FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY n DESC) AS back FROM f) WHERE back=1"""
+
+
+def _entity_rows(df):
+    return df.select("entity_id", "name", "kind", F.col("date").cast("string").alias("date"), "seq", "pos", "conflicts")
+
+
+@base_query("rec1_entity_fold", sql=folded_sql(0))
+def rec1_fold(spark, sf_dir):
+    return _entity_rows(entities.reconcile_entities(described_parts(spark, sf_dir), "entity_id", ["name", "kind"]))
+
+
+@base_query("mrg4_entities_over_stored_ones", sql=folded_sql(1998))
+def mrg4_stored(spark, sf_dir):
+    """Earlier years are folded and stored; later ones are merged over them, and only their conflicts are counted."""
+    rows = described_parts(spark, sf_dir)
+    first = kept(entities.reconcile_entities(rows.where("seq < 1998"), "entity_id", ["name", "kind"]))
+    return _entity_rows(entities.merge_dimension(first, rows.where("seq >= 1998"), "entity_id", ["name", "kind"]))
