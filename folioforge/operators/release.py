@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.operators.aggregates import content_fingerprint, fingerprint
 from folioforge.operators.entities import reconcile_entities
-from folioforge.operators.versions import enrichment_rows, fold_assets, outcomes_of, winning_relationships
+from folioforge.operators.versions import AssetFold, outcomes_of, winning_relationships
 from folioforge.operators.publication import numbered
 from folioforge.plans import schemas
 from folioforge.sources.scratch import kept, path_exists
@@ -19,29 +21,34 @@ def replay(observations: DataFrame, relationships: dict[str, DataFrame], describ
 
     relationships: rows of (work_id, seq, pos, ...). described: entity table -> (rows of (key, fields, date, work_id,
     seq, pos), fields). An asset is left out as a whole if one of its works aborts, or if one of its descriptions of an
-    entity clashes with an earlier one without a date to order them; the first such asset goes, and the rest is built
-    again. Returns the tables and the assets left out.
+    entity clashes with an earlier one without a date to order them. All assets are judged at once and in rounds
+    (AssetFold); a round folds again only works and entities that changed assets touch. Returns the tables and the assets left out.
     """
-    lost: list[int] = []
+    fold, fed, entities = AssetFold(observations), None, {}
     while True:
-        live = observations.where(~F.col("seq").isin(lost)) if lost else observations
-        folded, dropped = fold_assets(live)
-        fed = kept(enrichment_rows(live, folded).select("work_id", "seq", "pos"))
-        entities, first = {}, None
+        before, fed = fed, kept(fold.fed())
+        clashes, other = [], None
+        if before is not None:
+            other = kept(fed.join(before, fed.columns, "left_anti").unionByName(before.join(fed, fed.columns, "left_anti")))
         for name, (rows, fields) in described.items():
-            entities[name] = kept(reconcile_entities(rows.join(fed, ["work_id", "seq", "pos"], "left_semi"), schemas.ENTITIES[name], fields))
-            clash = entities[name].where("conflicts > 0").agg(F.min(F.array_min("conflict_seqs"))).first()[0]
-            first = clash if first is None else first if clash is None else min(first, clash)
-        if first is None:
+            key, live = schemas.ENTITIES[name], rows.join(fed, ["work_id", "seq", "pos"])
+            if other is None:
+                entities[name] = kept(reconcile_entities(live, key, fields))
+            else:
+                touched = kept(rows.join(other, ["work_id", "seq", "pos"], "left_semi").select(key).distinct())
+                again = reconcile_entities(live.join(touched, key, "left_semi"), key, fields)
+                entities[name] = kept(entities[name].join(touched, key, "left_anti").unionByName(again))
+            clashes.append(entities[name].select(F.explode("conflict_seqs").alias("seq")))
+        if not fold.guess(reduce(DataFrame.unionByName, clashes, fold.aborting()).distinct()):
             break
-        lost.append(first)
+    folded, dropped = fold.result()
     out = {"works": folded.where("state IS NOT NULL").drop("outcomes"), "barriers": folded.where("barrier IS NOT NULL").select("work_id", F.col("barrier").alias("deleted_date"))}
     for name, rows in relationships.items():
         out[name] = winning_relationships(rows, folded)
     for name, df in entities.items():
-        out[name] = df.drop("conflicts", "conflict_seqs")
+        out[name] = df.where("known").drop("conflicts", "conflict_seqs", "known")
     out["outcomes"] = outcomes_of(folded)
-    return out, sorted({*lost, *dropped})
+    return out, dropped
 
 
 def render_release(tables: dict[str, DataFrame], folder: str, rows_per_part: int) -> DataFrame:

@@ -158,39 +158,75 @@ def barrier_violations(works: DataFrame, barriers: DataFrame) -> DataFrame:
     return joined.where(bad).select("work_id", "activity_state")
 
 
-def _seen(o: Column, outcome: str | Column) -> Column:
-    out = F.lit(outcome) if isinstance(outcome, str) else outcome
-    return F.struct(o["seq"].alias("seq"), o["pos"].alias("pos"), o["kind"].alias("kind"), out.alias("outcome"))
+STATE = "struct<state:string,checksum:string,lineage_date:date,work_date:date,barrier:date,seq:bigint,pos:bigint>"
+SEEN = "array<struct<seq:bigint,pos:bigint,kind:string,outcome:string,aside:boolean>>"
+FOLD = f"struct<now:{STATE},side:{STATE},side_seq:bigint,outcomes:{SEEN}>"
+OBSERVED = "array<struct<seq:bigint,pos:bigint,kind:string,checksum:string,lineage_date:date,work_date:date,aside:boolean>>"
 
 
-def _step(s: Column, o: Column) -> Column:
-    """State after one observation, as a struct of (state, checksum, lineage_date, work_date, barrier, seq, pos, outcomes)."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body over a value that is written, and evaluated, once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _outcome(s: Column, o: Column) -> Column:
     blocked_by_barrier = o["lineage_date"].isNull() | (o["lineage_date"] <= s["barrier"])
     blocked_by_tombstone = F.coalesce(o["lineage_date"] <= s["lineage_date"], F.lit(False))
     by_version = version_outcome(s["checksum"], F.coalesce(s["lineage_date"], s["work_date"]), o["checksum"], F.coalesce(o["lineage_date"], o["work_date"]))
     work = (
         F.when(s["state"].isNull(), F.when(s["barrier"].isNull(), "INSERTED").when(blocked_by_barrier, "BLOCKED").otherwise("RESTORE_REQUIRED"))
         .when(s["state"] == "DELETED", F.when(blocked_by_tombstone, "BLOCKED").otherwise("RESTORE_REQUIRED"))
-        .otherwise(F.when(by_version == "NEWER", "REPLACED").otherwise(by_version))
+        .otherwise(let(by_version, lambda v: F.when(v == "NEWER", "REPLACED").otherwise(v)))
     )
-    is_work = o["kind"] == "work"
-    outcome = F.when(is_work, work).otherwise(deletion_outcome(s["state"], s["lineage_date"], o["lineage_date"]))
+    return F.when(o["kind"] == "work", work).otherwise(deletion_outcome(s["state"], s["lineage_date"], o["lineage_date"]))
+
+
+def _after(s: Column, o: Column, outcome: Column) -> Column:
     take, gone, unknown = outcome.isin("INSERTED", "REPLACED"), outcome == "DELETED", outcome == "UNKNOWN_WORK"
     pick = lambda new, old: F.when(take | gone, new).otherwise(old)
-    barrier = F.when(gone, o["lineage_date"]).when(unknown, F.greatest(s["barrier"], o["lineage_date"])).otherwise(s["barrier"])
     return F.struct(
         F.when(take, "ACTIVE").when(gone, "DELETED").otherwise(s["state"]).alias("state"),
         pick(o["checksum"], s["checksum"]).alias("checksum"),
         pick(o["lineage_date"], s["lineage_date"]).alias("lineage_date"),
         F.when(take, o["work_date"]).otherwise(s["work_date"]).alias("work_date"),
-        barrier.alias("barrier"),
+        F.when(gone, o["lineage_date"]).when(unknown, F.greatest(s["barrier"], o["lineage_date"])).otherwise(s["barrier"]).alias("barrier"),
         F.when(take, o["seq"]).otherwise(s["seq"]).alias("seq"),
         F.when(take, o["pos"]).otherwise(s["pos"]).alias("pos"),
-        F.array_append(s["outcomes"], _seen(o, outcome)).alias("outcomes"),
-    )
+    ).cast(STATE)
+
+
+def _step(a: Column, o: Column) -> Column:
+    """One observation. That of an asset left aside is judged, and tells on the rest of its asset, but leaves no state behind."""
+    base = F.when(o["aside"] & (a["side_seq"] == o["seq"]), a["side"]).otherwise(a["now"])
+
+    def moved(new: Column, outcome: Column) -> Column:
+        told = F.struct(o["seq"].alias("seq"), o["pos"].alias("pos"), o["kind"].alias("kind"), outcome.alias("outcome"), o["aside"].alias("aside"))
+        now, side = F.when(o["aside"], a["now"]).otherwise(new), F.when(o["aside"], new).otherwise(a["side"])
+        return F.struct(now.alias("now"), side.alias("side"), F.when(o["aside"], o["seq"]).otherwise(a["side_seq"]).alias("side_seq"), F.array_append(a["outcomes"], told).alias("outcomes")).cast(FOLD)
+
+    return let(base, lambda s: let(_outcome(s, o), lambda outcome: let(_after(s, o, outcome), lambda new: moved(new, outcome))))
+
+
+def _fold(observations: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """fold_observations over rows of which some are aside; outcomes tell which."""
+    fields = ("seq", "pos", "kind", "checksum", "lineage_date", "work_date", "aside")
+    rows = observations.select("work_id", F.struct(F.col("seq").cast("long").alias("seq"), F.col("pos").cast("long").alias("pos"), *fields[2:]).alias("o"))
+    grouped = rows.groupBy("work_id").agg(F.sort_array(F.collect_list("o")).cast(OBSERVED).alias("os"))
+    nothing = F.lit(None).cast(STATE)
+    empty = F.struct(*[F.lit(None).alias(c) for c in ("state", "checksum", "lineage_date", "work_date", "barrier", "seq", "pos")]).cast(STATE)
+    if state is not None:
+        start = state.select("work_id", F.struct("state", "checksum", "lineage_date", "work_date", "barrier", "seq", "pos").cast(STATE).alias("s"))
+        grouped = grouped.join(start, "work_id", "full").select("work_id", F.coalesce("os", F.array().cast(OBSERVED)).alias("os"), F.coalesce("s", empty).alias("s"))
+    else:
+        grouped = grouped.select("work_id", "os", empty.alias("s"))
+    first = F.struct(F.col("s").alias("now"), nothing.alias("side"), F.lit(None).alias("side_seq"), F.array().alias("outcomes")).cast(FOLD)
+    return grouped.select("work_id", F.aggregate("os", first, _step).alias("f")).select("work_id", "f.now.*", "f.outcomes")
 
 
-STATE = "struct<state:string,checksum:string,lineage_date:date,work_date:date,barrier:date,seq:bigint,pos:bigint,outcomes:array<struct<seq:bigint,pos:bigint,kind:string,outcome:string>>>"
+def _settled(folded: DataFrame) -> DataFrame:
+    """A fold without what was aside: works that only such assets touch go."""
+    seen = F.transform(F.filter("outcomes", lambda x: ~x["aside"]), lambda x: x.dropFields("aside"))
+    return folded.withColumn("outcomes", seen).where("size(outcomes) > 0 OR state IS NOT NULL OR barrier IS NOT NULL")
 
 
 def fold_observations(observations: DataFrame, state: DataFrame | None = None) -> DataFrame:
@@ -202,15 +238,7 @@ def fold_observations(observations: DataFrame, state: DataFrame | None = None) -
     here they change nothing). Of a deletion: DELETED, ALREADY_DELETED, STALE, UNKNOWN_WORK. seq and pos name the last
     accepted observation. A work has few observations, so its ordered list is small. An earlier result is the start.
     """
-    rows = observations.select("work_id", F.struct(F.col("seq").cast("long").alias("seq"), F.col("pos").cast("long").alias("pos"), "kind", "checksum", "lineage_date", "work_date").alias("o"))
-    grouped = rows.groupBy("work_id").agg(F.sort_array(F.collect_list("o")).alias("os"))
-    empty = F.struct(*[F.lit(None).cast(k).alias(n) for n, k in (("state", "string"), ("checksum", "string"), ("lineage_date", "date"), ("work_date", "date"), ("barrier", "date"), ("seq", "bigint"), ("pos", "bigint"))], F.array().alias("outcomes")).cast(STATE)
-    if state is not None:
-        start = state.select("work_id", F.struct("state", "checksum", "lineage_date", "work_date", "barrier", "seq", "pos", F.array().alias("outcomes")).cast(STATE).alias("s"))
-        grouped = grouped.join(start, "work_id", "full").select("work_id", F.coalesce("os", F.array().cast("array<struct<seq:bigint,pos:bigint,kind:string,checksum:string,lineage_date:date,work_date:date>>")).alias("os"), F.coalesce("s", empty).alias("s"))
-    else:
-        grouped = grouped.select("work_id", "os", empty.alias("s"))
-    return grouped.select("work_id", F.aggregate("os", F.col("s"), lambda s, o: _step(s, o).cast(STATE)).alias("f")).select("work_id", "f.*")
+    return _settled(_fold(observations.withColumn("aside", F.lit(False)), state))
 
 
 def outcomes_of(folded: DataFrame) -> DataFrame:
@@ -218,36 +246,65 @@ def outcomes_of(folded: DataFrame) -> DataFrame:
 
 
 ABORTS = ("CONFLICT", "RESTORE_REQUIRED")
+FEEDS = ("INSERTED", "REPLACED", "IDENTICAL", "STALE")
 
 
-def fold_assets(observations: DataFrame, state: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = kept) -> tuple[DataFrame, list[int]]:
-    """fold_observations with whole assets (seq) left out if any of their records aborts; returns the fold and the assets left out.
+class AssetFold:
+    """A fold of works that is kept up while it is found out which assets abort.
 
-    An asset left out must not influence later ones. All works are folded once. Then, in rounds, those assets are dropped
-    whose abort is certain, as no other asset in question touches the work before them (the first one always is), and
-    only the works that they touch are folded again. A round's results are kept by `keep`; what reaches the driver are
-    the numbers of dropped assets.
+    An asset counts as a whole: one that aborts must not influence later ones. Whether it aborts depends only on earlier
+    assets that count. So all assets are judged over a guess of those that are left out (first none), the judgement
+    is the next guess, and only works that changed assets touch are folded again; where nothing changes, the
+    guess is the one right answer. The n-th asset of a chain of dependent ones is right after n rounds, all independent ones are at once.
+    Assets left out stay in the fold aside: they are judged and leave nothing behind. Results are kept by `keep`; nothing
+    of a round reaches the driver but whether it changed anything.
     """
-    dropped: list[int] = []
-    folded = keep(fold_observations(observations, state))
-    while True:
-        aborts = keep(outcomes_of(folded).where(F.col("outcome").isin(*ABORTS)).select("work_id", "seq").distinct())
-        if aborts.isEmpty():
-            return folded, sorted(dropped)
-        live = observations.where(~F.col("seq").isin(dropped)) if dropped else observations
-        doubtful = live.join(aborts.select("seq").distinct(), "seq", "left_semi").select("work_id", F.col("seq").alias("before"))
-        unsure = aborts.join(doubtful, "work_id").where("before < seq").select("work_id", "seq").distinct()
-        certain = [r["seq"] for r in aborts.join(unsure, ["work_id", "seq"], "left_anti").select("seq").distinct().collect()]  # at most one row for each asset
-        touched = keep(live.where(F.col("seq").isin(certain)).select("work_id").distinct())
-        dropped += certain
-        again = observations.where(~F.col("seq").isin(dropped)).join(touched, "work_id", "left_semi")
-        start = state.join(touched, "work_id", "left_semi") if state is not None else None
-        folded = keep(folded.join(touched, "work_id", "left_anti").unionByName(fold_observations(again, start)))
+
+    def __init__(self, observations: DataFrame, state: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = kept):
+        self.observations, self.state, self.keep, self.out, self.rounds = observations, state, keep, None, 1
+        self.folded = keep(_fold(observations.withColumn("aside", F.lit(False)), state))
+
+    def aborting(self) -> DataFrame:
+        """(seq) of assets that abort over the present guess."""
+        aborts = F.filter("outcomes", lambda x: x["outcome"].isin(*ABORTS))
+        return self.folded.select(F.explode(F.transform(aborts, lambda x: x["seq"])).alias("seq")).distinct()
+
+    def fed(self) -> DataFrame:
+        """(work_id, seq, pos, aside) of observations that feed shared entities: all works but blocked and aborting ones."""
+        feeds = F.array_distinct(F.filter("outcomes", lambda x: (x["kind"] == "work") & x["outcome"].isin(*FEEDS)))
+        return self.folded.select("work_id", F.explode(feeds).alias("o")).select("work_id", "o.seq", "o.pos", "o.aside")
+
+    def guess(self, out: DataFrame) -> bool:
+        """Leave these assets (seq) out instead; False if they are the ones that are left out already."""
+        out = self.keep(out)
+        before = out.limit(0) if self.out is None else self.out
+        changed = self.keep(out.join(before, "seq", "left_anti").unionByName(before.join(out, "seq", "left_anti")))
+        self.out = out
+        if changed.isEmpty():
+            return False
+        touched = self.keep(self.observations.join(changed, "seq", "left_semi").select("work_id").distinct())
+        again = self.observations.join(touched, "work_id", "left_semi").join(out.withColumn("aside", F.lit(True)), "seq", "left").withColumn("aside", F.coalesce("aside", F.lit(False)))
+        start = self.state.join(touched, "work_id", "left_semi") if self.state is not None else None
+        self.folded = self.keep(self.folded.join(touched, "work_id", "left_anti").unionByName(_fold(again, start)))
+        self.rounds += 1
+        return True
+
+    def result(self) -> tuple[DataFrame, list[int]]:
+        """The fold and the numbers of the assets left out."""
+        return _settled(self.folded), sorted(r["seq"] for r in self.out.collect())
+
+
+def fold_assets(observations: DataFrame, state: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = kept) -> tuple[DataFrame, list[int]]:
+    """fold_observations with whole assets (seq) left out if any of their records aborts; returns the fold and the assets left out."""
+    fold = AssetFold(observations, state, keep)
+    while fold.guess(fold.aborting()):
+        pass
+    return fold.result()
 
 
 def enrichment_rows(observations: DataFrame, folded: DataFrame) -> DataFrame:
     """Observations that feed shared entities: all works but blocked and aborting ones."""
-    fed = outcomes_of(folded).where("kind = 'work' AND outcome IN ('INSERTED', 'REPLACED', 'IDENTICAL', 'STALE')")
+    fed = outcomes_of(folded).where((F.col("kind") == "work") & F.col("outcome").isin(*FEEDS))
     return observations.join(fed.select("work_id", "seq", "pos"), ["work_id", "seq", "pos"], "left_semi")
 
 

@@ -174,3 +174,106 @@ def test_decision_order_and_line_counts(spark, tmp_path):
     (tmp_path / "b.txt").write_text("x\n")
     counts = {r["asset"].rpartition("/")[2]: (r["records"], r["blank"], r["unterminated"]) for r in profiling.line_counts(spark, str(tmp_path)).collect()}
     assert counts == {"a.txt": (3, 1, True), "b.txt": (1, 0, False)}
+
+
+OBSERVED = "work_id string, seq long, pos long, kind string, checksum string, lineage_date date, work_date date"
+
+
+def test_an_abort_that_frees_another_asset(spark):
+    """Asset 2 aborts; without it asset 3 aborts, and without that asset 4 does not."""
+    day = lambda n: DAY + timedelta(n)
+    rows = [("W0", 1, 0, "work", "a", day(0), None), ("W1", 1, 1, "work", "a", day(0), None), ("W0", 2, 0, "work", "b", day(0), None), ("W1", 2, 1, "work", "b", day(2), None)]
+    rows += [("W1", 3, 0, "work", "c", day(0), None), ("W2", 3, 1, "work", "c", day(0), None), ("W2", 4, 0, "work", "d", day(0), None)]
+    folded, dropped = versions.fold_assets(spark.createDataFrame(rows, OBSERVED))
+    assert dropped == [2, 3] and {r["work_id"]: r["checksum"] for r in folded.collect()} == {"W0": "a", "W1": "a", "W2": "d"}
+
+
+def test_an_asset_that_clashes_with_itself(spark):
+    rows = [("W1", 1, 0, "work", "a", DAY, None), ("W1", 1, 1, "work", "b", DAY, None), ("W1", 2, 0, "work", "c", DAY, None), ("W9", 1, 2, "work", "x", DAY, None)]
+    folded, dropped = versions.fold_assets(spark.createDataFrame(rows, OBSERVED))
+    assert dropped == [1] and [(r["work_id"], r["checksum"], [o["outcome"] for o in r["outcomes"]]) for r in folded.collect()] == [("W1", "c", ["INSERTED"])]
+
+
+def test_a_thousand_clashing_assets_take_two_rounds(spark):
+    rows = [(f"W{i}", 1, i, "work", "a", DAY, None) for i in range(1500)] + [(f"W{i}", 2 + i, 0, "work", "b" if i < 1000 else "a", DAY, None) for i in range(1500)]
+    fold = versions.AssetFold(spark.createDataFrame(rows, OBSERVED))
+    while fold.guess(fold.aborting()):
+        pass
+    folded, dropped = fold.result()
+    assert dropped == list(range(2, 1002)) and fold.rounds == 2 and folded.where("checksum = 'a'").count() == 1500
+
+
+def entity_model(told, fields, start=None, aside=()):
+    """One entity's ordered fold: (fields, date, seq, pos, conflicting assets)."""
+    now, side, side_seq, last, clashes = start, None, None, None, []
+    for seq, pos, day, *values in sorted(told, key=lambda x: x[:2]):
+        base = side if seq in aside and seq == side_seq else now
+        new = base
+        if base is None:
+            new = (tuple(values), day, seq, pos)
+        elif last != (seq, values):
+            old, old_day = base[0], base[1]
+            if any(a is not None and b is not None and a != b for a, b in zip(old, values, strict=True)):
+                if day and (old_day is None or day > old_day):
+                    new = (tuple(values), day, seq, pos)
+                elif day == old_day:
+                    clashes.append(seq)
+            elif any(a is None and b is not None for a, b in zip(old, values, strict=True)):
+                new = (tuple(b if a is None else a for a, b in zip(old, values, strict=True)), day, seq, pos)
+        last = (seq, values)
+        if seq in aside:
+            side, side_seq = new, seq
+        else:
+            now = new
+    return now, clashes
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_large_entities_fold_in_blocks(spark, seed):
+    """Blocks of seven descriptions leave what one ordered fold leaves, over stored rows and with assets aside."""
+    rng, rows = random.Random(seed), []
+    for e, n in (("A", 300), ("B", 41), ("C", 7), ("D", 1)):
+        for _ in range(n):
+            seq = rng.randrange(60)
+            rows.append((e, seq, len(rows), None if seq % 9 == 0 else DAY + timedelta(seq * 7 % 40), rng.choice([None, "x", "x", "y"]), rng.choice([None, None, "1", "2"]), seq % 5 == 0))
+    df = spark.createDataFrame(rows, "k string, seq long, pos long, date date, name string, kind string, aside boolean")
+    stored = spark.createDataFrame([("A", 99, 5, DAY, "z", None), ("E", 1, 1, None, None, "q")], "k string, seq long, pos long, date date, name string, kind string")
+    for frame, aside, start in ((df.drop("aside"), set(), None), (df, {s for s in range(60) if s % 5 == 0}, stored)):
+        got = {r["k"]: r for r in entities.reconcile_entities(frame, "k", ["name", "kind"], start, block=7).collect()}
+        for e in "ABCD":
+            first = (("z", None), DAY, 99, 5) if start is not None and e == "A" else None
+            now, clashes = entity_model([r[1:6] for r in rows if r[0] == e], 2, first, aside)
+            if now is None:
+                assert e not in got or not got[e]["known"]
+                continue
+            r = got[e]
+            assert ((r["name"], r["kind"]), r["date"], r["seq"], r["pos"]) == now and r["conflicts"] == len(clashes) and set(r["conflict_seqs"]) == set(clashes), e
+        assert start is None or got["E"]["kind"] == "q"
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_replay_equals_assets_in_order(spark, seed):
+    """Assets one after the other, each kept or left out as a whole by its works and its entities."""
+    rng, seen, told = random.Random(seed), [], []
+    for i in range(70):
+        seq, when = 1 + i // 5, rng.choice([None, *[DAY + timedelta(rng.randint(0, 3)) for _ in range(5)]])
+        seen.append((f"W{rng.randrange(25)}", seq, i, "work", rng.choice("ab"), when, None))
+        if rng.random() < 0.6:
+            told.append((f"A{rng.randrange(9)}", rng.choice("xxxy"), when, seen[-1][0], seq, i))
+    kept_, lost = [], []
+    for seq in range(1, 15):
+        trial = [o for o in seen if o[1] in kept_ or o[1] == seq]
+        _, outcomes = model(trial)
+        bad = any(out in versions.ABORTS for (_, s, _), out in outcomes.items() if s == seq)
+        fed = {k for k, out in outcomes.items() if out in versions.FEEDS}
+        for a in {t[0] for t in told}:
+            lines = [(t[4], t[5], t[2], t[1]) for t in told if t[0] == a and (t[3], t[4], t[5]) in fed]
+            bad |= seq in entity_model(lines, 1)[1]
+        (lost if bad else kept_).append(seq)
+    final, outcomes = model([o for o in seen if o[1] in kept_])
+    fed = {k for k, out in outcomes.items() if out in versions.FEEDS}
+    people = {a: entity_model([(t[4], t[5], t[2], t[1]) for t in told if t[0] == a and (t[3], t[4], t[5]) in fed], 1)[0] for a in {t[0] for t in told}}
+    built, dropped = release.replay(spark.createDataFrame(seen, OBSERVED), {}, {"authors": (spark.createDataFrame(told, "author_id string, display_name string, date date, work_id string, seq long, pos long"), ["display_name"])})
+    assert dropped == lost and 0 < len(lost) < 14
+    assert {r["work_id"]: (r["state"], r["checksum"], r["lineage_date"], None) for r in built["works"].collect()} == {w: s for w, s in final.items() if s[0]}
+    assert {r["author_id"]: r["display_name"] for r in built["authors"].collect()} == {a: p[0][0] for a, p in people.items() if p}
