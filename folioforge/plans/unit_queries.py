@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from folioforge.operators import deltas, entities, gold, lookups, release, units
+from folioforge.operators import deltas, entities, gold, lookups, release, units, versions
 from folioforge.plans.gold_queries import _MART_QUERIES, ALL, LIST, _plain
 from folioforge.plans.io_queries import run_stream
 from folioforge.plans.registry import RAW, base_query, query
@@ -244,3 +244,27 @@ def mrg4_stored(spark, sf_dir):
     rows = described_parts(spark, sf_dir)
     first = kept(entities.reconcile_entities(rows.where("seq < 1998"), "entity_id", ["name", "kind"]))
     return _entity_rows(entities.merge_dimension(first, rows.where("seq >= 1998"), "entity_id", ["name", "kind"]))
+
+
+@base_query("rec1_entity_in_blocks", sql=folded_sql(0))
+def rec1_blocks(spark, sf_dir):
+    """The same fold where entities of more than 40 descriptions are cut into blocks, as a hot entity is."""
+    return _entity_rows(entities.reconcile_entities(described_parts(spark, sf_dir), "entity_id", ["name", "kind"], block=40))
+
+
+# --- assets that abort -------------------------------------------------------------------------------------------
+
+
+@base_query("pub5_many_clashing_assets", sql="""WITH bad AS (SELECT DISTINCT o_custkey AS c FROM orders WHERE o_orderkey%11=0)
+SELECT o_custkey+1 AS asset, 'W'||o_orderkey AS work_id, CASE WHEN b.c IS NULL AND o_orderkey%3=0 THEN 'new' ELSE 'old' END AS checksum, b.c IS NOT NULL AS left_out FROM orders LEFT JOIN bad b ON b.c=o_custkey""")
+def pub5_many(spark, sf_dir):
+    """A first asset has all works; then each customer's asset tells of its orders anew, some with another text of the same day."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    k = F.col("o_orderkey")
+    own = (F.col("o_custkey") + 1).cast("long")
+    works = orders.select(F.concat(F.lit("W"), k.cast("string")).alias("work_id"), own.alias("asset"), k.cast("long").alias("pos"), F.to_date("o_orderdate").alias("day"), F.when(k % 11 == 0, "clash").when(k % 3 == 0, "new").otherwise("old").alias("checksum"), ((k % 11 != 0) & (k % 3 == 0)).cast("int").alias("later"))
+    told = lambda seq, checksum, day: works.select("work_id", seq.alias("seq"), "pos", F.lit("work").alias("kind"), checksum.alias("checksum"), day.alias("lineage_date"), F.lit(None).cast("date").alias("work_date"))
+    seen = told(F.lit(0).cast("long"), F.lit("old"), F.col("day")).unionByName(told(F.col("asset"), F.col("checksum"), F.date_add("day", F.col("later"))))
+    folded, dropped = versions.fold_assets(kept(seen))
+    out = spark.createDataFrame([(d,) for d in dropped], "asset long").withColumn("left_out", F.lit(True))
+    return folded.select("work_id", "checksum").join(works.select("work_id", "asset"), "work_id").join(out, "asset", "left").select("asset", "work_id", "checksum", F.coalesce("left_out", F.lit(False)).alias("left_out"))

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.operators import deltas, gold, release, units, versions
+from folioforge.operators import deltas, facets, gold, lookups, release, units, versions
 from folioforge.sources.buckets import BucketStore, LookupFiles, bucket_of
 from folioforge.streaming import ingest
 from tests import fixtures
@@ -152,3 +152,30 @@ def test_ten_batches_equal_one_fold(spark, tmp_path):
     whole, _ = versions.fold_assets(df)
     assert rows_of(state.read().select(*STATE)) == rows_of(whole.select(*STATE))
     assert state.outcomes().groupBy("work_id", "seq").count().where("count > 1").isEmpty()
+
+
+def test_facets_by_index_equal_the_scan(spark, tmp_path):
+    rng, rows = random.Random(3), []
+    for i in range(230):
+        pick = lambda *xs: rng.choice([None, *xs])
+        rows.append((f"W{i:03}", pick("P1", "P2"), pick("S1"), pick("book", "article"), pick("en", "en", "fr"), pick("gold"), pick(1999, 2000, 2001), rng.sample(["T1", "T2", "T3"], rng.randint(0, 3)), [], ["A1"] * rng.randint(0, 2)))
+    discovery = spark.createDataFrame(rows, "work_id string, primary_publisher_id string, primary_source_id string, work_type string, language string, oa_status string, publication_year int, topic_ids array<string>, institution_ids array<string>, author_ids array<string>")
+    facets.build_facet_index(discovery, str(tmp_path / "index"), 20)
+    index = facets.FacetIndex(spark, str(tmp_path / "index"))
+    asked = [{"publisher_id": "P1"}, {"topic_id": "T2", "language": "en", "work_type": "book"}, {"author_id": "A1", "year_from": 2000}, {"year_to": 2000, "topic_id": "T1"}, {"institution_id": "I1"}, {}]
+    for given in asked:
+        after, pages = None, 0
+        while True:
+            want = lookups.search_research(discovery, after=after, limit=7, **given).collect()
+            assert index.search(after=after, limit=7, **given).collect() == want, (given, after)
+            pages += 1
+            if len(want) <= 7 or pages == 4:
+                break
+            after = want[6]["work_id"]
+    page = index.search(after="W105", limit=3, language="en")
+    assert page.count() == 4 and index.opened == [5] and all("range=5" in f for f in page.inputFiles())
+    assert index.search(publisher_id="P9").count() == 0 and index.search(after="W999", language="en").count() == 0
+    with pytest.raises(ValueError):
+        index.search(colour="red")
+    facets.build_facet_index(discovery.limit(0), str(tmp_path / "empty"))
+    assert facets.FacetIndex(spark, str(tmp_path / "empty")).search(language="en").columns == discovery.columns
