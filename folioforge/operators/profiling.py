@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioforge.operators.publication import numbered
 from folioforge.sources.scratch import kept
 
 
@@ -130,15 +131,22 @@ def manifest_listing_reconcile(manifest: DataFrame, listing: DataFrame) -> DataF
     return joined.agg(F.count_if(F.col("listed").isNull()).alias("missing"), F.count_if(F.col("declared") != F.col("listed")).alias("size_mismatch"), F.count_if(F.col("declared").isNull()).alias("unreferenced"))
 
 
-def ledger_profile(ledger: DataFrame) -> DataFrame:
-    """Per date: rows, rows of bad shape, and rows whose numeric id is below the one before it on that date."""
-    number = F.regexp_extract("work_id", "^W([0-9]+)$", 1)
-    shaped = ledger.withColumn("number", F.when(number != "", number.cast("long")))
-    before = F.lag("number").over(Window.partitionBy("deleted_date").orderBy("pos"))
-    return shaped.withColumn("before", before).groupBy("deleted_date").agg(F.count("*").alias("rows"), F.count_if(F.col("number").isNull()).alias("bad_shape"), F.count_if(F.col("number") < F.col("before")).alias("out_of_order"))
+def ledger_profile(ledger: DataFrame, block: int = 100_000) -> DataFrame:
+    """Per date: rows, rows of bad shape, and rows whose numeric id is below the one before it on that date.
 
+    Rows are numbered in order of (deleted_date, pos) and compared inside blocks of that order; the first row of a block is
+    compared with the last one of the block before. So a date on which very many works were deleted is no group of its own.
+    """
+    number = F.regexp_extract("work_id", "^W([0-9]+)$", 1)
+    shaped = ledger.select("deleted_date", "pos", F.when(number != "", number.cast("long")).alias("number"))
+    placed = numbered(shaped, "deleted_date", "pos", name="place").withColumn("block", F.expr(f"place div {block}"))
+    inside = Window.partitionBy("block", "deleted_date").orderBy("place")
+    told = placed.withColumn("before", F.lag("number").over(inside)).withColumn("starts", F.row_number().over(inside) == 1)
+    ends = placed.groupBy("deleted_date", "block").agg(F.max_by("number", "place").alias("end")).withColumn("block", F.col("block") + 1)
+    same = told["deleted_date"].eqNullSafe(ends["deleted_date"]) & (told["block"] == ends["block"])
+    joined = told.join(ends, same & told["starts"], "left").select(told["deleted_date"], "number", F.when(F.col("starts"), F.col("end")).otherwise(F.col("before")).alias("before"))
+    return joined.groupBy("deleted_date").agg(F.count("*").alias("rows"), F.count_if(F.col("number").isNull()).alias("bad_shape"), F.count_if(F.col("number") < F.col("before")).alias("out_of_order"))
 
-# --- fidelity of two representations -------------------------------------------------------------------------------
 
 
 def schema_fidelity(json_profile: DataFrame, parquet_profile: DataFrame) -> DataFrame:
@@ -178,10 +186,10 @@ def pseudonyms(values: DataFrame) -> DataFrame:
     firsts = values.where("value IS NOT NULL").groupBy("kind", "value").agg(F.min("pos").alias("pos"))
     ranged = firsts.repartitionByRange("kind", "pos", "value").withColumn("part", F.spark_partition_id())
     inside = F.row_number().over(Window.partitionBy("kind", "part").orderBy("pos", "value"))
-    numbered = kept(ranged.withColumn("n", inside))  # written down, as sizes and numbers must see the same ranges
-    sizes = numbered.groupBy("kind", "part").agg(F.count("*").alias("c"))
+    counted = kept(ranged.withColumn("n", inside))  # written down, as sizes and numbers must see the same ranges
+    sizes = counted.groupBy("kind", "part").agg(F.count("*").alias("c"))
     before = sizes.withColumn("before", F.coalesce(F.sum("c").over(Window.partitionBy("kind").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    joined = numbered.join(F.broadcast(before.select("kind", "part", "before")), ["kind", "part"])  # one row for each kind and range
+    joined = counted.join(F.broadcast(before.select("kind", "part", "before")), ["kind", "part"])  # one row for each kind and range
     return joined.select("kind", "value", F.concat_ws("-", "kind", (F.col("before") + F.col("n")).cast("string")).alias("pseudonym"))
 
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.operators.aggregates import content_fingerprint, fingerprint
 from folioforge.operators.entities import reconcile_entities
@@ -16,15 +17,18 @@ from folioforge.sources.scratch import kept, path_exists
 from folioforge.sources.writers import append_log
 
 
-def replay(observations: DataFrame, relationships: dict[str, DataFrame], described: dict[str, tuple[DataFrame, list[str]]]) -> tuple[dict[str, DataFrame], list[int]]:
-    """Rebuild state from nothing: works, barriers, relationships of winning observations and reconciled entities.
+def replay(observations: DataFrame, relationships: dict[str, DataFrame], described: dict[str, tuple[DataFrame, list[str]]], parent: dict[str, DataFrame] | None = None) -> tuple[dict[str, DataFrame], list[int]]:
+    """Rebuild state from nothing, or from the tables of a parent: works, barriers, relationships of winning observations and reconciled entities.
 
     relationships: rows of (work_id, seq, pos, ...). described: entity table -> (rows of (key, fields, date, work_id,
     seq, pos), fields). An asset is left out as a whole if one of its works aborts, or if one of its descriptions of an
     entity clashes with an earlier one without a date to order them. All assets are judged at once and in rounds
     (AssetFold); a round folds again only works and entities that changed assets touch. Returns the tables and the assets left out.
+
+    parent: what an earlier call returned, over assets that all come before the given ones. Only the new assets are read then,
+    and the tables equal those of a replay of old and new assets from nothing; conditions of a parent's inputs are parent_mismatches'.
     """
-    fold, fed, entities = AssetFold(observations), None, {}
+    fold, fed, entities = AssetFold(observations, None if parent is None else fold_state(parent)), None, {}
     while True:
         before, fed = fed, kept(fold.fed())
         clashes, other = [], None
@@ -32,11 +36,13 @@ def replay(observations: DataFrame, relationships: dict[str, DataFrame], describ
             other = kept(fed.join(before, fed.columns, "left_anti").unionByName(before.join(fed, fed.columns, "left_anti")))
         for name, (rows, fields) in described.items():
             key, live = schemas.ENTITIES[name], rows.join(fed, ["work_id", "seq", "pos"])
+            stored = None if parent is None else parent[name]
             if other is None:
-                entities[name] = kept(reconcile_entities(live, key, fields))
+                entities[name] = kept(reconcile_entities(live, key, fields, stored))
             else:
                 touched = kept(rows.join(other, ["work_id", "seq", "pos"], "left_semi").select(key).distinct())
-                again = reconcile_entities(live.join(touched, key, "left_semi"), key, fields)
+                old = None if stored is None else stored.join(touched, key, "left_semi")
+                again = reconcile_entities(live.join(touched, key, "left_semi"), key, fields, old)
                 entities[name] = kept(entities[name].join(touched, key, "left_anti").unionByName(again))
             clashes.append(entities[name].select(F.explode("conflict_seqs").alias("seq")))
         if not fold.guess(reduce(DataFrame.unionByName, clashes, fold.aborting()).distinct()):
@@ -44,13 +50,20 @@ def replay(observations: DataFrame, relationships: dict[str, DataFrame], describ
     folded, dropped = fold.result()
     out = {"works": folded.where("state IS NOT NULL").drop("outcomes"), "barriers": folded.where("barrier IS NOT NULL").select("work_id", F.col("barrier").alias("deleted_date"))}
     for name, rows in relationships.items():
-        out[name] = winning_relationships(rows, folded)
+        both = rows if parent is None else parent[name].unionByName(rows)
+        out[name] = winning_relationships(both, folded)
     for name, df in entities.items():
         out[name] = df.where("known").drop("conflicts", "conflict_seqs", "known")
-    out["outcomes"] = outcomes_of(folded)
+    out["outcomes"] = outcomes_of(folded) if parent is None else parent["outcomes"].unionByName(outcomes_of(folded))
     return out, dropped
 
 
+def fold_state(tables: dict[str, DataFrame]) -> DataFrame:
+    """Where a fold of works goes on from the tables of a replay: its works, and the barriers of works that were never seen."""
+    unseen = tables["barriers"].join(tables["works"], "work_id", "left_anti").select("work_id", F.col("deleted_date").alias("barrier"))
+    return tables["works"].unionByName(unseen, allowMissingColumns=True)
+
+
 def render_release(tables: dict[str, DataFrame], folder: str, rows_per_part: int) -> DataFrame:
     """Write each table sorted by its key in parts of at most rows_per_part rows; returns (table_name, file_name, rows)."""
     for name, df in tables.items():
@@ -70,7 +83,7 @@ def render_exact_parts(tables: dict[str, DataFrame], folder: str, rows_per_part:
         keys = [k for k in schemas.KEYS.get(name, [df.columns[0]]) if k in df.columns]
         placed = numbered(df, *keys, name="_row").withColumn("part", F.expr(f"(_row - 1) div {rows_per_part}"))
         placed.repartition("part").sortWithinPartitions("part", "_row").drop("_row").write.mode("errorifexists").partitionBy("part").parquet(f"{folder}/{name}")
-        stored = df.sparkSession.read.schema(df.schema.add("part", "long")).parquet(f"{folder}/{name}")
+        stored = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("part", T.LongType())])).parquet(f"{folder}/{name}")
         part = stored.groupBy("part").agg(F.count("*").alias("rows"), F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high")).select(F.lit(name).alias("table_name"), "part", "rows", F.col("low").cast("string"), F.col("high").cast("string"))
         out = part if out is None else out.unionByName(part)
     return out

@@ -11,6 +11,7 @@ from folioforge.plans.mapping_queries import RELATIONS, raw_works
 from folioforge.plans.registry import base_query, query
 from folioforge.plans.version_queries import FOLD, STATE, observations
 from folioforge.sources import readers
+from folioforge.sources.scratch import kept
 
 
 def _read(spark, sf_dir, name):
@@ -195,6 +196,19 @@ def rel1(t):
     return built["works"].groupBy("state").agg(F.count("*").alias("works"))
 
 
+@query("rel1_replay_from_parent", "target", "ledger", "staging", "work_topics", sql=STATE + " SELECT st.work_id, st.state, count(w.work_id) AS topics FROM st LEFT JOIN work_topics w ON w.work_id=st.work_id WHERE st.state IS NOT NULL GROUP BY ALL")
+def rel1_parent(t):
+    """A release of the first assets, and a second one that goes on from its tables with the last asset only."""
+    seen = observations(t)
+    topics = seen.where("kind = 'work'").select("work_id", "seq", "pos").join(t["work_topics"], "work_id")
+    last = seen.agg(F.max("seq")).first()[0]
+    parent, _ = release.replay(seen.where(F.col("seq") < last), {"work_topics": topics.where(F.col("seq") < last)}, {})
+    parent = {n: kept(df) for n, df in parent.items()}
+    built, _ = release.replay(seen.where(F.col("seq") == last), {"work_topics": topics.where(F.col("seq") == last)}, {}, parent)
+    counts = built["work_topics"].groupBy("work_id").agg(F.count("*").alias("topics"))
+    return built["works"].join(counts, "work_id", "left").select("work_id", "state", F.coalesce("topics", F.lit(0)).alias("topics"))
+
+
 query("rel3_release_manifest", "works", "work_topics", "publishers", sql=" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count, {a} AS active, {d} AS deleted FROM {n}" for n, a, d in (("works", "count(*) FILTER (activity_state='ACTIVE')", "count(*) FILTER (activity_state='DELETED')"), ("work_topics", "0", "0"), ("publishers", "count(*) FILTER (activity_state='ACTIVE')", "count(*) FILTER (activity_state='DELETED')"))))(lambda t: release.release_manifest({n: t[n] for n in ("works", "work_topics", "publishers")}).select("table_name", "row_count", "active", "deleted"))
 
 

@@ -277,3 +277,39 @@ def test_replay_equals_assets_in_order(spark, seed):
     assert dropped == lost and 0 < len(lost) < 14
     assert {r["work_id"]: (r["state"], r["checksum"], r["lineage_date"], None) for r in built["works"].collect()} == {w: s for w, s in final.items() if s[0]}
     assert {r["author_id"]: r["display_name"] for r in built["authors"].collect()} == {a: p[0][0] for a, p in people.items() if p}
+
+
+def test_replay_from_a_parent_equals_one_from_nothing(spark):
+    rng, seen, told = random.Random(8), [], []
+    for i in range(80):
+        seq, when, kind = 1 + i // 8, rng.choice([None, *[DAY + timedelta(rng.randint(0, 3)) for _ in range(5)]]), rng.choice(["work"] * 5 + ["deletion"])
+        seen.append((f"W{rng.randrange(22)}", seq, i, kind, rng.choice("ab"), when or (DAY if kind == "deletion" else None), None))
+        if kind == "work":
+            told.append((f"A{rng.randrange(9)}", rng.choice(["x", "x", "x", "y"]), when, seen[-1][0], seq, i))
+    works, people = spark.createDataFrame(seen, OBSERVED), spark.createDataFrame(told, "author_id string, display_name string, date date, work_id string, seq long, pos long")
+    topics = works.where("kind = 'work'").select("work_id", "seq", "pos", F.concat(F.lit("T"), "pos").alias("topic_id"))
+
+    def run(where, parent=None):
+        return release.replay(works.where(where), {"work_topics": topics.where(where)}, {"authors": (people.where(where), ["display_name"])}, parent)
+
+    whole, lost = run("true")
+    first, out = run("seq <= 4")
+    then, more = run("seq > 4", first)
+    assert out + more == lost and lost
+    facts = lambda tables: sorted(map(str, release.release_manifest({n: df.select(*sorted(df.columns)) for n, df in tables.items()}).collect()))
+    assert set(then) == set(whole) and facts(then) == facts(whole)
+    assert release.parent_mismatches(first["outcomes"], then["outcomes"]).isEmpty()
+
+
+def test_a_ledger_of_one_date_is_profiled_in_blocks(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([DAY, DAY, DAY + timedelta(1), None]), pos, rng.choice([f"W{rng.randrange(50)}", f"W{rng.randrange(50)}", "bad", None])) for pos in range(90)]
+    want = {}
+    for day in {r[0] for r in rows}:
+        ids = [r[2] for r in rows if r[0] == day]
+        numbers = [int(i[1:]) if i and i != "bad" else None for i in ids]
+        low = sum(1 for a, b in zip(numbers, numbers[1:], strict=False) if a is not None and b is not None and b < a)
+        want[day] = (len(ids), numbers.count(None), low)
+    ledger = spark.createDataFrame(rows, "deleted_date date, pos long, work_id string").repartition(3)
+    for block in (4, 1000):
+        assert {r["deleted_date"]: (r["rows"], r["bad_shape"], r["out_of_order"]) for r in profiling.ledger_profile(ledger, block).collect()} == want
