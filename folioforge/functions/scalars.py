@@ -5,8 +5,9 @@ A normalizer gives NULL for an absent or malformed value; its `bad_*` partner te
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Resolver prefixes and shapes of identifiers.
 ID_PREFIX = "https://openalex.org/"
@@ -19,6 +20,11 @@ ORCID_SHAPE = r"^[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9X]$"
 ROR_SHAPE = r"^0[a-zhj-km-np-tv-z0-9]{6}[0-9]{2}$"
 ISSN_SHAPE = r"^[0-9]{4}-[0-9]{3}[0-9X]$"
 DATE_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+# Letters whose case folding holds ASCII letters that lower case does not give (all there are in Unicode).
+FOLDED = {
+    "\u00df": "ss", "\u0149": "\u02bcn", "\u017f": "s", "\u01f0": "j\u030c", "\u1e96": "h\u0331", "\u1e97": "t\u0308", "\u1e98": "w\u030a", "\u1e99": "y\u030a", "\u1e9a": "a\u02be",
+    "\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st",
+}
 EMAIL_SHAPE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 
 
@@ -104,9 +110,34 @@ def empty_if_null(c: Column) -> Column:
     return F.coalesce(c, F.array().cast("array<string>"))
 
 
-def canonical_digest(*columns: str) -> Column:
-    """SHA-256 of the columns as JSON, keys in order, NULLs kept out of the text but told apart by their absence."""
-    return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
+def _in_order(c: Column, kind: T.DataType) -> Column:
+    """c with the fields of structs and the keys of maps in order, at every depth."""
+    if isinstance(kind, T.StructType):
+        fields = [_in_order(c[f.name], f.dataType).alias(f.name) for f in sorted(kind, key=lambda f: f.name)]
+        return F.when(c.isNotNull(), F.struct(*fields)) if fields else c
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _in_order(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.map_from_entries(F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(e["key"].alias("key"), _in_order(e["value"], kind.valueType).alias("value")))))
+    return c
+
+
+def canonical_json(df: DataFrame, *columns: str) -> Column:
+    """The columns as one JSON object: NULL written, keys in order at every depth, no blanks, all but printable ASCII as lower-case escapes.
+
+    Doubles are as Spark writes them, so of 10^7 and more they carry an exponent. Map keys are unique within their map.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    whole = F.struct(*[_in_order(F.col(f"`{c}`"), kinds[c]).alias(c) for c in sorted(columns)])
+    text = F.replace(F.to_json(whole, {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint": "true"}), F.lit("\x7f"), F.lit("\\u007f"))
+    # Escapes are told from an escaped backslash before a "u" by cutting the text from its start.
+    cut = F.regexp_extract_all(text, F.lit(r"\\u[0-9A-Fa-f]{4}|\\.|[^\\]+"), F.lit(0))
+    return F.when(text.contains("\\u"), F.array_join(F.transform(cut, lambda x: F.when(F.startswith(x, F.lit("\\u")), F.lower(x)).otherwise(x)), "")).otherwise(text)
+
+
+def canonical_digest(df: DataFrame, *columns: str) -> Column:
+    """SHA-256 of canonical_json."""
+    return F.sha2(canonical_json(df, *columns), 256)
 
 
 def float32(c: Column) -> Column:
@@ -119,8 +150,13 @@ def millis_text(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.regexp_replace(F.lower(c), "[^0-9a-z]+", " "), " "), lambda w: w != "")
+    """Case-folded runs of ASCII letters and digits."""
+    lower = F.lower(c)
+    folded = lower
+    for letter, plain in FOLDED.items():
+        folded = F.replace(folded, F.lit(letter), F.lit(plain))
+    folded = F.when(lower.rlike(f"[{''.join(FOLDED)}]"), folded).otherwise(lower)
+    return F.filter(F.split(F.regexp_replace(folded, "[^0-9a-z]+", " "), " "), lambda w: w != "")
 
 
 def has_email(c: Column) -> Column:

@@ -2,54 +2,72 @@
 
 from __future__ import annotations
 
-import json
-from collections import Counter
+import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioforge.operators.publication import numbered
+from folioforge.operators.publication import numbered, skip_reason
+from folioforge.sources.readers import chunks, listing
 from folioforge.sources.scratch import kept
 
 
-def _walk(value, path: str, seen: Counter, dynamic: frozenset[str]) -> None:
-    if isinstance(value, dict):
-        seen[path, "object"] += 1
-        for key, inner in value.items():
-            _walk(inner, f"{path}.{{value}}" if path in dynamic else f"{path}.{key}" if path else key, seen, dynamic)
-    elif isinstance(value, list):
-        seen[path, "array"] += 1
-        for inner in value:
-            _walk(inner, f"{path}[]", seen, dynamic)
-    else:
-        kind = "null" if value is None else "boolean" if isinstance(value, bool) else "integer" if isinstance(value, int) else "number" if isinstance(value, float) else "string"
-        seen[path, kind] += 1
+#: Levels of nesting that one pass over the records opens; deeper ones take another pass over what is left.
+LEVELS = 6
 
 
-def json_field_profile(raw: DataFrame, dynamic: frozenset[str] = frozenset()) -> DataFrame:
-    """(path, kind, present) over JSON texts in raw: how often each kind of value stands at each path.
+def _opened(rows: DataFrame, level: int, dynamic: frozenset[str]) -> DataFrame:
+    """rows with the value v at path opened: one row for each value inside it, or the row itself for a leaf, an empty object or list.
 
-    List elements are `[]`; keys of the objects at a dynamic path are one `{value}`. Tasks add up what they read, then
-    sums are shuffled. Texts that do not parse count under the path `<invalid>`. NULLs are skipped.
+    The path, kind and place of what was opened stay as columns of the level; path and v are those of the inner value.
     """
+    inner = rows.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
+    named, placed = F.col("key").isNotNull(), F.col("pos").isNotNull()
+    inner = inner.withColumn("shape", F.when(~placed, F.schema_of_variant("v")))
+    # JSON integers are BIGINT, those beyond 64 bits DECIMAL(19 or more, 0); 1.0 is a DECIMAL(1,0).
+    whole = (F.col("shape") == "BIGINT") | F.col("shape").rlike(r"^DECIMAL\((19|2\d|3\d),0\)$")
+    is_ = lambda start: F.startswith("shape", F.lit(start))
+    leaf = F.when(F.col("shape") == "STRING", "string").when(whole, "integer").when(is_("VOID"), "null").when(is_("BOOLEAN"), "boolean").when(is_("OBJECT"), "object").when(is_("ARRAY"), "array").otherwise("number")
+    kind = F.when(named, "object").when(placed, "array").when(F.col("shape").isNotNull(), leaf)
+    key = F.when(F.col("path").isin(*dynamic), "{value}").otherwise(F.col("key")) if dynamic else F.col("key")
+    below = F.when(named, F.when(F.col("path") == "", key).otherwise(F.concat("path", F.lit("."), key))).when(placed, F.concat("path", F.lit("[]")))
+    before = [c for c in rows.columns if c not in ("path", "v")]
+    return inner.select(*before, F.col("path").alias(f"path{level}"), kind.alias(f"kind{level}"), F.col("pos").alias(f"pos{level}"), below.alias("path"), F.col("value").alias("v"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text is None:
-                    continue
-                try:
-                    _walk(json.loads(text), "", seen, dynamic)
-                except ValueError:
-                    seen["<invalid>", "invalid"] += 1
-        rows = list(seen.items())
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], names=["path", "kind", "present"])
 
-    return raw.select("raw").mapInArrow(run, "path string, kind string, present long").groupBy("path", "kind").agg(F.sum("present").alias("present"))
+def json_field_profile(raw: DataFrame, dynamic: frozenset[str] = frozenset()) -> DataFrame:
+    """(path, kind, present) over JSON texts in raw: how often each kind of value stands at each path.
+
+    List elements are `[]`; keys of the objects at a dynamic path are one `{value}`. Texts that the parser refuses (objects
+    that repeat a key among them) count under the path `<invalid>`. NULLs are skipped; no rows give none. Records are
+    opened level by level inside their task, down to one row for each leaf; a value that holds others is counted on its
+    first leaf. Only counts are shuffled, so an object with very many keys that is not named as dynamic costs rows of the
+    result and no task's memory. The depth has no limit: LEVELS levels are one pass, and what is deeper is written down
+    for the next.
+    """
+    parsed = raw.where("raw IS NOT NULL").select(F.try_parse_json("raw").alias("v"))
+    rows = parsed.select(F.when(F.col("v").isNull(), "<invalid>").otherwise("").alias("path"), "v")
+    later = F.lit(None).cast("string")
+    passes = []
+    while True:
+        for level in range(LEVELS):
+            rows = _opened(rows, level, dynamic)
+        first, seen = F.lit(True), []
+        for level in reversed(range(LEVELS)):
+            first = first & (F.coalesce(f"pos{level}", F.lit(0)) == 0)
+            kind = F.when(F.col(f"path{level}") == "<invalid>", "invalid").otherwise(F.col(f"kind{level}")) if level == 0 else F.col(f"kind{level}")
+            seen.append(F.when(kind.isNotNull() & first, F.struct(F.col(f"path{level}").alias("path"), kind.alias("kind"))))
+        seen.append(F.when(F.col("v").isNotNull(), F.struct("path", later.alias("kind"))))
+        counted = kept(rows.select(F.inline(F.array_compact(F.array(*seen)))).groupBy("path", "kind").agg(F.count("*").alias("present")))
+        passes.append(counted.where("kind IS NOT NULL"))
+        if counted.where("kind IS NULL").isEmpty():
+            break
+        rows = kept(rows.where("v IS NOT NULL").select("path", "v"))
+    return reduce(DataFrame.unionByName, passes).groupBy("path", "kind").agg(F.sum("present").alias("present"))
 
 
 def missing_counts(profile: DataFrame) -> DataFrame:
@@ -103,8 +121,21 @@ def duplicate_keys(raw: DataFrame, key: str) -> DataFrame:
 
 
 def asset_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """(asset, checksum, bytes) of whole files."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("asset"), F.sha2("content", 256).alias("checksum"), F.length("content").cast("long").alias("bytes"))
+    """(asset, checksum, bytes) of whole files, each read as a stream in its task: a file of any size is never one value.
+
+    The listing is Spark's (without contents, so that files are dealt by their size); repeated names do not occur.
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                sha, size = hashlib.sha256(), 0
+                for chunk in chunks(name, None):
+                    sha.update(chunk)
+                    size += len(chunk)
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sha.hexdigest()]), pa.array([size], pa.int64())], names=["asset", "checksum", "bytes"])
+
+    return listing(spark, path).mapInArrow(digest, "asset string, checksum string, bytes long")
 
 
 def pair_parts(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -257,3 +288,69 @@ def postconditions(masked: DataFrame, text: str, person: str, price: str) -> Dat
 
     counts = masked.agg(F.count_if(has_email(F.col(text))).alias("email"), F.count_if(F.col(person).isNotNull() & (F.col(person) != "Person")).alias("person"), F.count_if(F.col(price) != 0).alias("price"))
     return counts.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in counts.columns]), F.array(*counts.columns)))).toDF("rule", "violations")
+
+
+def _violations(c: Column, kind: T.DataType, path: str, policy: dict[str, str]) -> list[tuple[str, str, Column]]:
+    """(path, rule, how many values of one row break it) for every leaf below path."""
+    from folioforge.functions.scalars import has_email
+
+    count = lambda broken: F.coalesce(broken, F.lit(False)).cast("long")
+
+    def over(items: Column, inner: T.DataType, below: str) -> list[tuple[str, str, Column]]:
+        parts = len(_violations(F.lit(None).cast(inner), inner, below, policy))
+        add = lambda i: F.coalesce(F.aggregate(items, F.lit(0).cast("long"), lambda n, x: n + _violations(x, inner, below, policy)[i][2]), F.lit(0))
+        names = _violations(F.lit(None).cast(inner), inner, below, policy)
+        return [(names[i][0], names[i][1], add(i)) for i in range(parts)]
+
+    if isinstance(kind, T.StructType):
+        return [x for f in kind for x in _violations(c[f.name], f.dataType, f"{path}.{f.name}", policy)]
+    if isinstance(kind, T.ArrayType):
+        return over(c, kind.elementType, f"{path}[]")
+    if isinstance(kind, T.MapType):
+        keys = over(F.map_keys(c), kind.keyType, f"{path}{{key}}") if f"{path}{{key}}" in policy else []
+        return [*keys, *over(F.map_values(c), kind.valueType, f"{path}.{{value}}")]
+    action = policy.get(path)
+    rules = [] if action in ACTIONS else [(path, "no_rule", count(c.isNotNull()))]
+    if action == "mask_person":
+        rules.append((path, action, count(c != "Person")))
+    if action == "replace_text":
+        rules.append((path, action, count(c.rlike("[^x]"))))
+    if action == "mask_price":
+        rules.append((path, action, count(c != 0)))
+    return [*rules, (path, "email", count(has_email(c)))] if isinstance(kind, T.StringType) else rules
+
+
+def masking_violations(masked: DataFrame, policy: dict[str, str]) -> DataFrame:
+    """(path, rule, violations) of masked rows against the policy of redact, at every depth; only what is broken is listed.
+
+    Each value is held against its path's rule (a text of x, the fixed name, price 0), each text against the shape of a mail
+    address (rule email), and a path without a rule counts its values (no_rule). Keys of maps are checked where the policy
+    names `path{key}`. NULLs break nothing; an empty table, or one in order, gives no rows. One pass, sums only are shuffled.
+    """
+    found = [x for f in masked.schema for x in _violations(F.col(f"`{f.name}`"), f.dataType, f.name, policy)]
+    if not found:
+        return masked.sparkSession.createDataFrame([], "path string, rule string, violations long")
+    sums = masked.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(f"n{i}") for i, (_, _, n) in enumerate(found)])
+    rows = F.array(*[F.struct(F.lit(path).alias("path"), F.lit(rule).alias("rule"), F.col(f"n{i}").alias("violations")) for i, (path, rule, _) in enumerate(found)])
+    return sums.select(F.inline(rows)).where("violations > 0")
+
+
+# --- what a manifest offers ------------------------------------------------------------------------------------------
+
+
+def manifest_pick(assets: DataFrame, max_bytes: int) -> DataFrame:
+    """One row about the listed works files: how many there are and may be taken, their sizes and dates, and the one taken by default.
+
+    The default is the first of the order of select_assets; its columns are NULL where none may be taken. An empty listing has zeros.
+    """
+    marked = assets.withColumn("reason", skip_reason(max_bytes))
+    size, fits = F.col("byte_size"), F.col("reason").isNull()
+    order = F.struct("byte_size", F.col("updated_date").isNotNull(), "updated_date", "file_uri", "asset_id", "record_count")
+    first = F.min(F.when(fits, order))
+    facts = marked.agg(
+        F.count("*").alias("listed"), F.count_if(fits).alias("eligible"), F.count_if(F.col("reason") == "OVERSIZED").alias("oversized"), F.count_if(F.col("reason") == "UNKNOWN_SIZE").alias("unknown_size"),
+        F.min(size).alias("size_min"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY byte_size)").cast("long").alias("size_median_low"), F.max(size).alias("size_max"),
+        F.countDistinct("updated_date").alias("partitions"), F.min("updated_date").alias("first_date"), F.max("updated_date").alias("last_date"), first.alias("first"),
+    )
+    chosen = [F.col("first.file_uri").alias("picked_uri"), F.col("first.byte_size").alias("picked_bytes"), F.col("first.record_count").alias("picked_records")]
+    return facts.select(*[c for c in facts.columns if c != "first"], *chosen)

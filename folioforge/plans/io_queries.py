@@ -321,6 +321,22 @@ def job6(spark, sf_dir):
     return jobs.inspect(spark, event_lines(spark, sf_dir))["fields"].where("path IN ('event_id', 'event_type')")
 
 
+VALUES_SQL = """WITH e AS (SELECT * FROM events WHERE event_id%10>2), c AS (SELECT count(*) AS n, count(*) FILTER (event_id%7=0) AS other, count(*) FILTER (event_id%11=0) AS absent FROM e)
+SELECT 'kind' AS field, n-other AS exact, 0 AS float32, other AS mismatch, 0 AS one_side FROM c UNION ALL SELECT 'rate', 0, n, 0, 0 FROM c UNION ALL SELECT 'at', n-absent, 0, 0, absent FROM c"""
+
+
+@base_query("job6_value_fidelity", sql=VALUES_SQL)
+def job6_values(spark, sf_dir):
+    """JSON lines of the events beside a Parquet form with narrowed numbers, some other kinds and some absent structs."""
+    at = F.struct(F.col("event_id").alias("n"), F.create_map(F.lit("k"), "event_type").alias("m")).alias("at")
+    rows = _read(spark, sf_dir, "events").where("event_id % 10 > 2").select(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), (F.col("event_id") + F.lit(0.1)).cast("double").alias("rate"), at)
+    lines, stored = new_folder(spark, "lines"), new_folder(spark, "stored")
+    rows.select(F.to_json(F.struct("*")).alias("value")).write.option("compression", "gzip").text(lines)
+    other = F.when(F.col("id") % 7 == 0, F.concat("kind", F.lit("?"))).otherwise(F.col("kind")).alias("kind")
+    rows.select("id", other, F.col("rate").cast("float").alias("rate"), F.when(F.col("id") % 11 != 0, F.col("at")).alias("at")).write.parquet(stored)
+    return jobs.inspect(spark, lines, stored)["values"]
+
+
 @base_query("job7_named_parameter_query", sql="SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 100.5 AND c_mktsegment <> 'BUILDING' GROUP BY 1")
 def job7(spark, sf_dir):
     return jobs.named_query(spark, "SELECT c_mktsegment, count(*) AS n FROM customers WHERE c_acctbal > :least AND c_mktsegment <> :segment GROUP BY 1", {"least": 100.5, "segment": "BUILDING"}, {"customers": _read(spark, sf_dir, "customer")})

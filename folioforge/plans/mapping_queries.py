@@ -152,9 +152,15 @@ def s9(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/orders.parquet").select(k.alias("k"), S.strict_date(given).cast("string").alias("day"), S.safe_divide(F.col("o_totalprice"), F.col("o_custkey") % 3).alias("rate"), S.optional_text(F.when(k % 5 == 0, "  ").otherwise(F.concat(F.lit(" "), "o_orderstatus", F.lit(" ")))).alias("text"), S.millis_text(F.date_trunc("day", "o_orderdate")).alias("millis"))
 
 
-@base_query("s18_tokenizer", sql="SELECT conv_id, turn, len(list_filter(string_split(regexp_replace(lower(text),'[^0-9a-z]+',' ','g'),' '), lambda x: x<>'')) AS n_tokens FROM conversations")
+S18_SQL = r"""SELECT conv_id, turn, array_to_string(list_filter(string_split(regexp_replace(replace(lower(text), 'ß', 'ss')||' strasse fix '||role||'s masse', '[^0-9a-z]+', ' ', 'g'), ' '), lambda x: x<>''), ' ') AS tokens
+FROM conversations"""
+
+
+@base_query("s18_tokenizer", sql=S18_SQL)
 def s18(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", F.size(S.tokens(F.col("text"))).cast("long").alias("n_tokens"))
+    """Letters that fold to two, a ligature and a long s stand in each text."""
+    odd = F.concat("text", F.lit(" Stra\u00dfe \ufb01x "), "role", F.lit("\u017f MA\u1e9eE"))
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", F.array_join(S.tokens(odd), " ").alias("tokens"))
 
 
 @base_query("s19_email_detector", sql=r"SELECT doc_id, regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS has_email FROM documents")
@@ -168,7 +174,22 @@ query("s21_sorted_set", "work_authors", sql="SELECT work_id, coalesce(string_agg
 @base_query("s14_s15_digest_and_float32", sql="SELECT s_suppkey AS k, CAST(CAST(s_acctbal AS FLOAT) AS DOUBLE) AS narrowed, sha256('{\"a\":'||s_suppkey||',\"b\":\"'||s_name||'\"}') AS digest FROM supplier")
 def s14(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("a"), F.col("s_name").alias("b"), "s_acctbal")
-    return df.select(F.col("a").alias("k"), S.float32(F.col("s_acctbal")).alias("narrowed"), S.canonical_digest("b", "a").alias("digest"))
+    return df.select(F.col("a").alias("k"), S.float32(F.col("s_acctbal")).alias("narrowed"), S.canonical_digest(df, "b", "a").alias("digest"))
+
+
+# Canonical JSON of {"n": {"z": null or turn, "a": role}, "m": {role: conv_id, "A": turn}, "t": text}, escaped one character at a time.
+S14_SQL = r"""SELECT conv_id, turn, sha256('{"m":{"A":'||turn||',"'||role||'":'||conv_id||'},"n":{"a":"'||role||'","z":'||CASE WHEN turn%2=0 THEN CAST(turn AS VARCHAR) ELSE 'null' END||'},"t":'||CASE WHEN text IS NULL THEN 'null' ELSE '"'||
+array_to_string(list_transform(regexp_extract_all(text, '(?s).'), lambda c: CASE WHEN c='"' THEN '\"' WHEN c='\' THEN '\\' WHEN c=chr(10) THEN '\n' WHEN c=chr(13) THEN '\r' WHEN c=chr(9) THEN '\t' WHEN unicode(c)<32 OR unicode(c) BETWEEN 127 AND 65535 THEN '\u'||lpad(lower(to_hex(unicode(c))), 4, '0')
+WHEN unicode(c)>65535 THEN '\u'||lower(to_hex(55296+(unicode(c)-65536)//1024))||'\u'||lower(to_hex(56320+(unicode(c)-65536)%1024)) ELSE c END), '')||'"' END||'}') AS digest FROM conversations"""
+
+
+@base_query("s14_canonical_json", sql=S14_SQL)
+def s14_json(spark, sf_dir):
+    """NULLs, nesting, a map whose keys come in another order, accents and line ends."""
+    c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    nested = F.struct(F.when(F.col("turn") % 2 == 0, F.col("turn")).alias("z"), F.col("role").alias("a"))
+    df = c.select("conv_id", "turn", F.col("text").alias("t"), nested.alias("n"), F.create_map("role", "conv_id", F.lit("A"), "turn").alias("m"))
+    return df.select("conv_id", "turn", S.canonical_digest(df, "t", "n", "m").alias("digest"))
 
 
 def tables_of(spark, sf_dir):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +14,7 @@ from folioforge.plans.mapping_queries import RELATIONS, raw_works
 from folioforge.plans.registry import base_query, query
 from folioforge.plans.version_queries import FOLD, STATE, observations
 from folioforge.sources import readers
-from folioforge.sources.scratch import kept
+from folioforge.sources.scratch import kept, new_folder
 
 
 def _read(spark, sf_dir, name):
@@ -23,6 +26,22 @@ def src2(spark, sf_dir):
     return readers.decode_facts(_read(spark, sf_dir, "documents").select(F.col("source").alias("asset"), F.col("text").alias("raw")))
 
 
+STREAM_SQL = """WITH f AS (SELECT source AS asset, count(*) AS n, sum(size+1) AS b, max(size) AS m FROM (SELECT source, octet_length(encode(replace(replace(text,chr(10),' '),chr(13),' '))) AS size FROM documents WHERE trim(replace(replace(replace(text,chr(10),' '),chr(13),' '),chr(9),' '))<>'') GROUP BY 1)
+SELECT asset, CASE WHEN m>10000 THEN 'RECORD_TOO_LARGE' END AS bound FROM f UNION ALL SELECT asset, CASE WHEN n>50 THEN 'TOO_MANY_RECORDS' END FROM f UNION ALL SELECT asset, CASE WHEN b>120000 THEN 'ASSET_TOO_LARGE' END FROM f"""
+
+
+@base_query("src2_stream_bounds", sql=STREAM_SQL)
+def src2_stream(spark, sf_dir):
+    """Packed files of the documents, one a source and a document a line, held against each bound alone."""
+    folder = new_folder(spark, "bounded")
+    lines = _read(spark, sf_dir, "documents").select(F.regexp_replace("text", "[\\r\\n]", " ").alias("value"), "source")
+    lines.repartition("source").write.partitionBy("source").option("compression", "gzip").text(folder)
+    off = 1 << 60
+    each = [(10_000, off, off), (off, 50, off), (off, off, 120_000)]
+    asset = F.regexp_extract("asset", "source=([^/]+)/", 1).alias("asset")
+    return reduce(DataFrame.unionByName, [readers.stream_bounds(spark, f"{folder}/*", *bounds).select(asset, "bound") for bounds in each])
+
+
 @base_query("src5_asset_identity", sql="""SELECT o_orderkey AS k, 'oa-'||sha256('["works","2024-01-01","'||o_orderstatus||'","s3://x/part_'||o_orderkey||'"]') AS asset_id FROM orders""")
 def src5(spark, sf_dir):
     uri = F.concat(F.lit("s3://x/part_"), F.col("o_orderkey").cast("string"))
@@ -48,7 +67,29 @@ def prf1(spark, sf_dir):
     return profiling.json_field_profile(_read(spark, sf_dir, "events").select(F.col("props").alias("raw")))
 
 
-@query("prf1_work_field_profile", *RELATIONS)
+_IN_WORKS = "SELECT a.*, CAST(substr(w.work_id,2) AS BIGINT)%2=1 AS odd FROM {} a JOIN works w ON w.work_id=a.work_id"
+#: Where the parent objects of a group of fields come from, and each field with its value. Odd works write their NULLs, even ones leave them out.
+_FIELDS = {
+    "works": {
+        "id": "work_id_url", "doi": "doi", "title": "title", "display_name": "work_id", "type": "work_type", "language": "language", "publication_year": "publication_year",
+        "publication_date": "publication_date", "cited_by_count": "cited_by_count", "open_access": "1", "open_access.is_oa": "is_oa", "open_access.oa_status": "oa_status",
+        "primary_location": "1", "primary_location.source": "primary_source_id", "primary_location.landing_page_url": "1",
+        **{to: f"(SELECT min(1) FROM {name} x WHERE x.work_id=a.work_id)" for to, name in {"authorships": "work_authors", "topics": "work_topics", "keywords": "work_keywords", "mesh": "work_mesh", "referenced_works": "work_references", "locations": "work_locations", "grants": "work_grants"}.items()},
+    },
+    "(SELECT * FROM works WHERE primary_source_id IS NOT NULL)": {"primary_location.source.id": "1", "primary_location.source.host_organization": "primary_publisher_id"},
+    "work_authors": {"authorships[].author": "1", "authorships[].author_position": "1", "authorships[].author.id": "author_id", "authorships[].author.display_name": "author_id"},
+    "work_topics": {"topics[].id": "topic_id", "topics[].display_name": "topic_id", "topics[].score": "1"},
+    "work_keywords": {"keywords[].id": "keyword_id"},
+    "work_mesh": {"mesh[].descriptor_ui": "descriptor_ui"},
+    "work_locations": {"locations[].source": "source_id", "locations[].landing_page_url": "1", "locations[].license": "license"},
+    "(SELECT * FROM work_locations WHERE source_id IS NOT NULL)": {"locations[].source.id": "1"},
+    "work_grants": {"grants[].funder": "funder_id", "grants[].award_id": "1"},
+}
+_COUNTS = "SELECT path, count(*) FILTER (v OR odd) AS present, count(*) FILTER (NOT v AND odd) AS nulls, count(*) FILTER (NOT v AND NOT odd) AS missing FROM ({}) GROUP BY 1 HAVING count(*) FILTER (v OR odd)>0"
+PRF1_SQL = _COUNTS.format(" UNION ALL ".join(f"SELECT '{path}' AS path, {value} IS NOT NULL AS v, odd FROM ({_IN_WORKS.format(origin)}) a" for origin, fields in _FIELDS.items() for path, value in fields.items()))
+
+
+@query("prf1_work_field_profile", *RELATIONS, sql=PRF1_SQL)
 def prf1_works(t):
     return profiling.missing_counts(profiling.json_field_profile(raw_works(t)))
 
@@ -185,6 +226,27 @@ def red4(spark, sf_dir):
     return profiling.postconditions(mixed, "text", "person", "price")
 
 
+EMAIL_SQL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+RED4_SQL = rf"""WITH m AS (SELECT conv_id, turn, role, text, conv_id%5=0 AS person, conv_id%7=0 AS price FROM conversations),
+v AS (SELECT 'authors[].name' AS path, 'mask_person' AS rule, count(*) FILTER (person AND role IS NOT NULL) AS violations FROM m UNION ALL SELECT 'fees.{{value}}', 'mask_price', count(*) FILTER (price AND turn<>0) FROM m
+UNION ALL SELECT 'body.text', 'replace_text', count(*) FILTER (person AND regexp_matches(text, '[^x]')) FROM m UNION ALL SELECT 'body.text', 'email', count(*) FILTER (person AND regexp_matches(text, '{EMAIL_SQL}')) FROM m
+UNION ALL SELECT 'note', 'email', count(*) FILTER (conv_id%3=0) FROM m) SELECT * FROM v WHERE violations>0"""
+
+
+@base_query("red4_nested_postconditions", sql=RED4_SQL)
+def red4_nested(spark, sf_dir):
+    """Real output of redact over lists, structs and maps, into which some values come back unmasked."""
+    c = _read(spark, sf_dir, "conversations")
+    shaped = lambda name, text, fee: [F.array(F.struct(name.alias("name"))).alias("authors"), F.struct(text.alias("text")).alias("body"), F.create_map(F.lit("list"), fee).alias("fees")]
+    note = F.concat(F.lit("to "), F.when(F.col("conv_id") % 3 == 0, "a.b@example.org").otherwise("nobody")).alias("note")
+    rows = c.select("conv_id", *shaped(F.col("role"), F.col("text"), F.col("turn")), note)
+    policy = {"conv_id": "keep", "authors[].name": "mask_person", "body.text": "replace_text", "fees.{value}": "mask_price", "note": "keep"}
+    done = profiling.redact(rows.withColumn("raw", F.struct("authors", "body", "fees")), {**policy, "raw.authors[].name": "keep", "raw.body.text": "keep", "raw.fees.{value}": "keep"})
+    k5, k7 = F.col("conv_id") % 5 == 0, F.col("conv_id") % 7 == 0
+    mixed = done.select("conv_id", F.when(k5, F.col("raw.authors")).otherwise(F.col("authors")).alias("authors"), F.when(k5, F.col("raw.body")).otherwise(F.col("body")).alias("body"), F.when(k7, F.col("raw.fees")).otherwise(F.col("fees")).alias("fees"), "note")
+    return profiling.masking_violations(mixed, policy)
+
+
 # --- releases ----------------------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioforge.functions import scalars as S
-from folioforge.operators import aggregates, gold, lookups, mapping, quality, versions
+from folioforge.operators import aggregates, gold, lookups, mapping, profiling, quality, versions
 from folioforge.plans.gold_queries import ALL, DISCOVERY, LIST, _plain
 from folioforge.plans.registry import ORACLES, QUERIES, base_query, query
 
@@ -112,7 +112,14 @@ query("agg8_excess_duplicates", "work_topics", sql="SELECT count(*) FILTER (topi
 # --- deletions, order, sets, windows ------------------------------------------------------------------------------
 
 query("del6_no_silent_restore", "target", "staging", sql="SELECT s.work_id FROM staging s JOIN target t ON t.work_id=s.work_id WHERE t.activity_state='DELETED' AND s.activity_state='ACTIVE' AND s.source_checksum_sha256<>t.source_checksum_sha256")(lambda t: versions.rejected(versions.publication_decisions(t["staging"], t["target"])).where("publication_decision = 'RESTORE_REQUIRED'").select("work_id"))
-query("prf7_manifest_summary", "assets", sql="SELECT entity, count(*) AS files, CAST(sum(record_count) AS BIGINT) AS records FROM assets GROUP BY 1")(lambda t: aggregates.manifest_summary(t["assets"]).select("entity", "files", "records"))
+query("prf7_manifest_summary", "assets", sql="SELECT entity, count(*) AS files, CAST(sum(record_count) AS BIGINT) AS records, CAST(sum(byte_size) AS BIGINT) AS bytes, CAST(min(updated_date) AS VARCHAR) AS first_date, CAST(max(updated_date) AS VARCHAR) AS last_date, count(DISTINCT updated_date) AS partitions FROM assets GROUP BY 1")(
+    lambda t: _plain(aggregates.manifest_summary(t["assets"]))
+)
+PICK_SQL = """WITH m AS (SELECT *, entity='works' AND format IN ('jsonl','parquet') AND byte_size BETWEEN 0 AND 150000 AS fits FROM assets),
+p AS (SELECT file_uri, byte_size, record_count FROM m WHERE fits ORDER BY byte_size, updated_date IS NOT NULL, updated_date, file_uri LIMIT 1)
+SELECT count(*) AS listed, count(*) FILTER (fits) AS eligible, count(*) FILTER (byte_size>150000) AS oversized, count(*) FILTER (byte_size IS NULL) AS unknown_size, min(byte_size) AS size_min, quantile_disc(byte_size, 0.5) AS size_median_low, max(byte_size) AS size_max, count(DISTINCT updated_date) AS partitions,
+CAST(min(updated_date) AS VARCHAR) AS first_date, CAST(max(updated_date) AS VARCHAR) AS last_date, (SELECT file_uri FROM p) AS picked_uri, (SELECT byte_size FROM p) AS picked_bytes, (SELECT record_count FROM p) AS picked_records FROM m"""
+query("prf7_default_pick", "assets", sql=PICK_SQL)(lambda t: _plain(profiling.manifest_pick(t["assets"], 150_000)))
 query("ord1_order_by_keys", "works", sql="SELECT publication_year, oa_status, count(*) AS work_count FROM works WHERE activity_state='ACTIVE' AND publication_year>=1997 GROUP BY ALL ORDER BY ALL")(lambda t: lookups.open_access_trends(t, 1997, None))
 part_of("ord4_smallest_by_five_keys", "pub2_asset_selection", "asset_id", "file_uri", "reason")
 query("ord5_first_of_each_key", "work_topics", "work_locations", sql="SELECT work_id, min(location_index) AS location_index FROM work_locations WHERE source_id IS NOT NULL GROUP BY 1")(lambda t: mapping._first(t["work_locations"].where("source_id IS NOT NULL"), ["work_id"], "location_index", ["location_index"]))

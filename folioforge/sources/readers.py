@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +25,14 @@ def _numbered(df: DataFrame) -> DataFrame:
     return df.select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("asset"), F.monotonically_increasing_id().alias("pos"))
 
 
-def read_works_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(raw, asset, pos, error): one row for each line that is not blank; error for text that is no JSON object."""
-    lines = _numbered(spark.read.text(path)).where(F.trim("raw") != "")
+def read_works_jsonl(spark: SparkSession, path: str | list[str], record_bytes: int | None = None) -> DataFrame:
+    """(raw, asset, pos, error): one row for each line that is not blank; error for text that is no JSON object.
+
+    With record_bytes, a longer line is passed over by the line reader and never held; stream_bounds tells its asset, so
+    the two go together.
+    """
+    reader = spark.read if record_bytes is None else spark.read.option("mapreduce.input.linerecordreader.line.maxlength", str(record_bytes + 3))  # with both bytes of its end a line stays below
+    lines = _numbered(reader.text(path)).where(F.trim("raw") != "")
     kind = F.schema_of_variant(F.try_parse_json("raw"))
     return lines.withColumn("error", F.when(~F.is_valid_utf8("raw"), "MALFORMED_UTF8").when(F.try_parse_json("raw").isNull(), "MALFORMED_JSON").when(~F.startswith(kind, F.lit("OBJECT")), "NOT_AN_OBJECT"))
 
@@ -40,6 +50,66 @@ def check_decode_bounds(lines: DataFrame, record_bytes: int = RECORD_BYTES, reco
     return facts.withColumn("bound", broken).where("bound IS NOT NULL")
 
 
+def listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Names of files; the source leaves contents unread where no column asks for them, and deals files by size."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("asset"))
+
+
+def chunks(name: str, compression: str | None = "detect", size: int = 1 << 20) -> Iterator[bytes]:
+    """The bytes of a file in pieces, decoded by its ending unless compression is None."""
+    local = re.sub("^file:/+", "/", name)
+    where, inner = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(name)
+    with where.open_input_stream(inner, compression=compression) as stream:
+        while chunk := stream.read(size):
+            yield chunk
+
+
+def _first_broken(pieces: Iterator[bytes], record_bytes: int, records: int, asset_bytes: int) -> tuple[int, int, int, str | None]:
+    """(records, bytes, largest, bound) of lines that are not blank, up to the first bound broken. Of a line only its length is held."""
+    count = total = largest = length = trailing = 0
+    blank = True
+
+    def ended() -> None:
+        nonlocal count, total, largest, length, trailing, blank
+        if not blank:
+            count, total, largest = count + 1, total + length - trailing + 1, max(largest, length - trailing)
+        length, trailing, blank = 0, 0, True
+
+    def bound() -> str | None:
+        if max(largest, 0 if blank else length - trailing) > record_bytes:
+            return "RECORD_TOO_LARGE"
+        return "TOO_MANY_RECORDS" if count > records else "ASSET_TOO_LARGE" if total > asset_bytes else None
+
+    for piece in pieces:
+        *whole, last = piece.split(b"\n")
+        for i, line in enumerate([*whole, last]):
+            if line:
+                length, trailing, blank = length + len(line), int(line.endswith(b"\r")), blank and not line.strip()
+            if i < len(whole):
+                ended()
+            if broken := bound():
+                return count, total, largest, broken
+    ended()
+    return count, total, largest, bound()
+
+
+def stream_bounds(spark: SparkSession, path: str | list[str], record_bytes: int = RECORD_BYTES, records: int = RECORDS, asset_bytes: int = ASSET_BYTES) -> DataFrame:
+    """(asset, records, bytes, largest, bound) of each file, decoded as a stream that ends at the first bound broken.
+
+    The exact bound is accepted; counts of an asset with a bound are those up to its end. A record above the bound is never
+    held whole, nor a packed file that grows without end decoded. bound is NULL for assets within all; files of no bytes are not listed.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                facts = (name, *_first_broken(chunks(name), record_bytes, records, asset_bytes))
+                yield pa.RecordBatch.from_pylist([dict(zip(shape.names, facts, strict=True))], schema=shape)
+
+    shape = pa.schema([("asset", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("largest", pa.int64()), ("bound", pa.string())])
+    return listing(spark, path).mapInArrow(scan, "asset string, records long, bytes long, largest long, bound string")
+
+
 def read_deletions(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(work_id, deleted_date, asset, pos, error) of ledgers whose header is exact; blank lines are skipped, bad rows carry an error."""
     lines = _numbered(spark.read.text(path)).where(F.trim("raw") != "")

@@ -1,8 +1,13 @@
+import datetime
 import gzip
+import hashlib
 import json
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from folioforge.functions import scalars as S
 from folioforge.operators import mapping, profiling, release
 from folioforge.plans import jobs, schemas
 from folioforge.sources import readers, writers
@@ -102,6 +107,76 @@ def test_profiles(spark, tmp_path):
     assert (r["records"], r["blank"], r["unterminated"]) == (2, 1, True)
 
 
+def test_profile_of_deep_wide_and_odd_records(spark):
+    deep = {"z": 1.5}
+    for _ in range(2 * profiling.LEVELS + 1):
+        deep = {"n": deep}
+    wide, none = {f"k{i}": i for i in range(3000)}, spark.createDataFrame([(None,)], "raw string")
+    p = profiling.json_field_profile(raw(spark, deep, {"w": wide}, '{"a":1,"a":2}', "[]", "null", '[[1],{"b":12345678901234567890}]', '{"c":[{},[],1.0,true]}').unionByName(none))
+    seen = {(r["path"], r["kind"]): r["present"] for r in p.collect()}
+    assert seen[".".join(["n"] * (2 * profiling.LEVELS + 1) + ["z"]), "number"] == 1 and seen["n.n.n.n.n.n.n.n", "object"] == 1
+    assert sum(path.startswith("w.k") for path, _ in seen) == 3000 and seen["w", "object"] == 1
+    assert seen["<invalid>", "invalid"] == 1 and seen["", "null"] == 1 and seen["", "array"] == 2 and seen["", "object"] == 3
+    assert seen["[][]", "integer"] == 1 and seen["[].b", "integer"] == 1
+    assert [seen["c[]", k] for k in ("object", "array", "number", "boolean")] == [1, 1, 1, 1]
+    assert "Python" not in p._jdf.queryExecution().toString() and profiling.json_field_profile(none).count() == 0
+
+
+def test_bounds_hold_while_reading(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_bytes(b'{"a":1}\r\n\n   \n{"b":22}\n{"c":3}')
+    with gzip.open(tmp_path / "b c.gz", "wb") as f:
+        f.write(b"x" * 3_000_000 + b"\nabc\n")
+    facts = lambda **k: [tuple(r)[1:] for r in readers.stream_bounds(spark, str(tmp_path), **k).orderBy("asset").collect()]
+    assert facts() == [(3, 25, 8, None), (2, 3_000_005, 3_000_000, None)]
+    assert facts(record_bytes=8) == [(3, 25, 8, None), (0, 0, 0, "RECORD_TOO_LARGE")]
+    assert [r[3] for r in facts(records=2)] == ["TOO_MANY_RECORDS", None] and [r[3] for r in facts(asset_bytes=24)] == ["ASSET_TOO_LARGE", "ASSET_TOO_LARGE"]
+    assert [r["raw"] for r in readers.read_works_jsonl(spark, str(tmp_path / "b c.gz"), 100).collect()] == ["abc"]
+    sums = {r["asset"].rsplit("/", 1)[-1]: (r["checksum"], r["bytes"]) for r in profiling.asset_checksums(spark, str(tmp_path)).collect()}
+    assert sums == {p.name: (hashlib.sha256(p.read_bytes()).hexdigest(), p.stat().st_size) for p in tmp_path.iterdir()}
+
+
+def test_an_asset_beyond_a_bound_is_left_out_and_told(spark, tmp_path):
+    long = {**WORK, "id": "https://openalex.org/W77", "title": "t" * 5000}
+    for name, records in (("a", [WORK]), ("b", [long, {**WORK, "id": "https://openalex.org/W78"}])):
+        with gzip.open(tmp_path / f"{name}.gz", "wt") as f:
+            f.write("".join(json.dumps(r) + "\n" for r in records))
+    good, bad, _ = jobs.observe_works(spark, str(tmp_path), limits={"record_bytes": 4000})
+    assert good.count() == 1 and [(r["asset"].rsplit("/", 1)[-1], r["errors"]) for r in bad.collect()] == [("b.gz", ["RECORD_TOO_LARGE"])]
+    assert jobs.observe_works(spark, str(tmp_path))[0].count() == 3
+
+
+def test_canonical_json_and_case_folding(spark):
+    odd = '\u00e9"\\u00E9\x7f\x1f\U0001f600/\\\n'
+    df = spark.createDataFrame([(odd, None, {"b": 1, "a": None}, [(2, "x")]), (None, None, {}, [])], "t string, n int, m map<string,int>, s array<struct<z:int,a:string>>")
+    texts = [r[0] for r in df.select(S.canonical_json(df, "t", "n", "m", "s")).collect()]
+    want = [{"t": odd, "n": None, "m": {"b": 1, "a": None}, "s": [{"z": 2, "a": "x"}]}, {"t": None, "n": None, "m": {}, "s": []}]
+    assert texts == [json.dumps(w, sort_keys=True, separators=(",", ":")) for w in want]
+    words = "Stra\u00dfe \ufb01n \u017fo \u1e9e \u0149 \u1e96x \ufb06e A\u00e9b"
+    fold = re.sub(r"[^0-9a-z]+", " ", words.casefold()).split()
+    assert spark.createDataFrame([(words,)], "t string").select(S.tokens(F.col("t"))).first()[0] == fold
+
+
+def test_masking_violations_at_every_depth(spark):
+    policy = {"p[].name": "mask_person", "p[].fee.{value}": "mask_price", "t": "replace_text", "m{key}": "replace_text", "m.{value}": "keep"}
+    kind = "p array<struct<name:string,fee:map<string,int>>>, t string, m map<string,string>"
+    clean = spark.createDataFrame([([("Ann", {"a": 5}), (None, None)], "hello", {"k": "v"}), (None, None, None)], kind)
+    masked = profiling.redact(clean, policy)
+    assert [tuple(r) for r in profiling.masking_violations(masked, policy).collect()] == [("m{key}", "replace_text", 1)]  # redact keeps keys
+    broken = {(r[0], r[1]): r[2] for r in profiling.masking_violations(clean.unionByName(spark.createDataFrame([([], "a@b.org", {"x": "c@d.org"})], kind)), policy).collect()}
+    assert broken == {("p[].name", "mask_person"): 1, ("p[].fee.{value}", "mask_price"): 1, ("t", "replace_text"): 2, ("t", "email"): 1, ("m{key}", "replace_text"): 1, ("m.{value}", "email"): 1}
+    assert profiling.masking_violations(clean.limit(0), policy).count() == 0
+    assert ("t", "no_rule") in {(r[0], r[1]) for r in profiling.masking_violations(clean, {k: v for k, v in policy.items() if k != "t"}).collect()}
+
+
+def test_default_pick(spark):
+    kind = "asset_id string, entity string, format string, byte_size long, updated_date date, file_uri string, record_count long"
+    rows = [("a", "works", "jsonl", 5, None, "u1", 1), ("b", "works", "jsonl", 5, datetime.date(2024, 1, 1), "u0", 2), ("c", "works", "jsonl", 50, None, "u2", 3), ("d", "works", "csv", 1, None, "u3", 4), ("e", "works", "jsonl", None, None, "u4", 5)]
+    r = profiling.manifest_pick(spark.createDataFrame(rows, kind), 10).first()
+    assert (r["listed"], r["eligible"], r["oversized"], r["unknown_size"], r["picked_uri"], r["picked_records"], r["size_median_low"]) == (5, 2, 1, 1, "u1", 1, 5)
+    none = profiling.manifest_pick(spark.createDataFrame([], kind), 10).first()
+    assert none["listed"] == 0 and none["picked_uri"] is None
+
+
 def test_release_round_trip(spark, tmp_path):
     t = {"topics": spark.createDataFrame([(f"T{i}", "u", "d") for i in range(25)], "topic_id string, topic_id_url string, display_name string"), "empty": spark.createDataFrame([], "k string")}
     manifest = jobs.build_release(t, str(tmp_path / "r"), rows_per_part=10)
