@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from folioforge.functions import scalars as S
@@ -18,19 +21,73 @@ def part_of(name: str, of: str, *columns: str) -> None:
 
 # --- scalars -----------------------------------------------------------------------------------------------------
 
-part_of("s2_try_normalize_id", "s1_normalize_id", "k", "bad")
-for _name, _column in (("s3_normalize_keyword", "keyword"), ("s6_normalize_orcid", "orcid"), ("s7_normalize_ror", "ror"), ("s8_normalize_issn", "issn")):
-    part_of(_name, "s5_s8_identifiers", "k", _column)
-part_of("s12_safe_divide", "s9_s12_dates_and_rates", "k", "rate")
-part_of("s15_float32_rounding", "s14_s15_digest_and_float32", "k", "narrowed")
-part_of("s4_work_url", "map1_works", "work_id", "work_id_url")
 
 
-@base_query("s10_optional_text", sql="SELECT c_custkey AS k, CASE c_custkey%4 WHEN 0 THEN NULL WHEN 1 THEN NULL ELSE trim(c_name) END AS text FROM customer")
-def s10(spark, sf_dir):
+def told(name: str, rule: Callable[[Column], Column], *cases: tuple[str | None, str | None]) -> None:
+    """Register a rule over given texts, dealt to the customers by number, whose results the SQL states one by one.
+
+    {k} stands for the customer's number, {4} and {2} for its last digits.
+    """
+    n, k = len(cases), F.col("c_custkey")
+    quoted = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+    want = " ".join(f"WHEN {i} THEN {quoted(w)}" for i, (_, w) in enumerate(cases))
+    digits = {"{k}": "CAST(c_custkey AS VARCHAR)", "{4}": "lpad(CAST(c_custkey%10000 AS VARCHAR),4,'0')", "{2}": "lpad(CAST(c_custkey%100 AS VARCHAR),2,'0')"}
+    sql = f"CASE c_custkey%{n} {want} END"
+    for mark, number in digits.items():
+        sql = f"replace({sql}, '{mark}', {number})"
+
+    def run(spark, sf_dir):
+        given = F.lit(None).cast("string")
+        for i, (x, _) in enumerate(cases):
+            given = F.when(k % n == i, F.lit(x).cast("string")).otherwise(given)
+        for mark, number in {"{k}": k.cast("string"), "{4}": F.lpad((k % 10000).cast("string"), 4, "0"), "{2}": F.lpad((k % 100).cast("string"), 2, "0")}.items():
+            given = F.replace(given, F.lit(mark), number)
+        return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("k"), rule(given).alias("value"))
+
+    base_query(name, sql=f"SELECT c_custkey AS k, {sql} AS value FROM customer")(run)
+
+
+told(
+    "s2_try_normalize_id", lambda c: F.concat(F.coalesce(S.normalize_id(c, "W"), F.lit("-")), F.when(S.bad_id(c, "W"), " bad").otherwise("")),
+    ("W{k}", "W{k}"), ("https://openalex.org/W{k}", "W{k}"), (" HTTPS://OpenAlex.org/W{k}\t", "W{k}"), ("\u00a0W{k}\n", "W{k}"), (None, "-"), ("", "-"), (" \t", "-"), ("w{k}", "- bad"), ("W", "- bad"),
+    ("W{k}.0", "- bad"), ("A{k}", "- bad"), ("https://openalex.org/", "- bad"), ("http://openalex.org/W{k}", "- bad"), ("W\uff11", "- bad"), ("W{k} W1", "- bad"),
+)
+told(
+    "s3_normalize_keyword", S.normalize_keyword, ("keywords/a-{k}", "keywords/a-{k}"), ("https://openalex.org/keywords/b_{k}", "keywords/b_{k}"), ("HTTPS://OPENALEX.ORG/keywords/C{k}", "keywords/C{k}"),
+    (" keywords/{k}\n", "keywords/{k}"), ("keywords/-{k}", None), ("keywords/", None), ("keyword/a", None), ("Keywords/a", None), ("keywords/a b", None), ("keywords/\u00e9", None), ("", None), (None, None),
+)
+told(
+    "s4_work_url", lambda c: S.entity_url(S.normalize_id(c, "W")), ("W{k}", "https://openalex.org/W{k}"), ("https://openalex.org/W{k}", "https://openalex.org/W{k}"), (" HTTPS://OPENALEX.ORG/W{k} ", "https://openalex.org/W{k}"), ("A{k}", None), ("", None), (None, None),
+)
+told(
+    "s6_normalize_orcid", S.normalize_orcid, ("https://orcid.org/0000-0001-{4}-123x", "0000-0001-{4}-123X"), ("HTTP://ORCID.ORG/0000-0001-{4}-1234", "0000-0001-{4}-1234"), (" 0000-0001-{4}-1234\t", "0000-0001-{4}-1234"),
+    ("0000-0001-{4}-12345", None), ("0000 0001 {4} 1234", None), ("00000001{4}1234", None), ("0000-0001-{4}-X234", None), ("https://www.orcid.org/0000-0001-{4}-1234", None), ("https://orcid.org/", None), ("", None), (None, None),
+)
+told(
+    "s7_normalize_ror", S.normalize_ror, ("https://ror.org/0ABCDEF{2}", "0abcdef{2}"), ("HTTPS://ROR.ORG/0a1b2c3{2}", "0a1b2c3{2}"), (" 0a1b2c3{2}\n", "0a1b2c3{2}"), ("http://ror.org/0abcdef{2}", None), ("1abcdef{2}", None), ("0abcde{2}", None),
+    ("0abcdefg{2}", None), ("0abc-ef{2}", None), ("0abcdef{2}/", None), ("", None), (None, None),
+)
+told(
+    "s8_normalize_issn", S.normalize_issn, ("{4}-123x", "{4}-123X"), ("\t{4}-1234 ", "{4}-1234"), ("{4} - 1234", "{4}-1234"), ("{4}1234", None), ("{4}-12345", None), ("{4}-X234", None), ("9{4}-1234", None), ("{4}\u20131234", None), ("", None), (None, None),
+)
+told("s10_optional_text", S.optional_text, ("a{k}", "a{k}"), ("\t a {k}\n", "a {k}"), ("\u00a0b\u2003", "b"), (" a  b ", "a  b"), ("\u3000", None), (" ", None), ("", None), (None, None))
+
+
+@base_query("s12_safe_divide", sql="SELECT c_custkey AS k, CASE c_custkey%6 WHEN 2 THEN CAST(c_custkey AS DOUBLE)/-2 WHEN 3 THEN 0.0 WHEN 5 THEN 1.0715086071862673e301 END AS value FROM customer")
+def s12(spark, sf_dir):
+    """A divisor of 0, a NULL on either side, a negative divisor, 0 over a number, a very small divisor."""
+    k, none = F.col("c_custkey"), F.lit(None).cast("double")
+    a = F.when(k % 6 == 3, F.lit(0.0)).when(k % 6 == 4, none).when(k % 6 == 5, F.lit(1.0)).otherwise(k.cast("double"))
+    b = F.when(k % 6 == 0, F.lit(0.0)).when(k % 6 == 1, none).when(k % 6 == 2, F.lit(-2.0)).when(k % 6 == 5, F.lit(2.0**-1000)).otherwise(F.lit(4.0))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("k"), S.safe_divide(a, b).alias("value"))
+
+
+@base_query("s15_float32_rounding", sql="SELECT c_custkey AS k, CASE c_custkey%6 WHEN 0 THEN 0.10000000149011612::DOUBLE WHEN 1 THEN 16777216::DOUBLE WHEN 2 THEN 0::DOUBLE WHEN 3 THEN -0.30000001192092896::DOUBLE WHEN 4 THEN CAST(CAST(c_acctbal AS FLOAT) AS DOUBLE) END AS value FROM customer")
+def s15(spark, sf_dir):
+    """Numbers between two narrow ones, beyond 24 bits, below the smallest, and NULL."""
     k = F.col("c_custkey")
-    given = F.when(k % 4 == 0, F.lit(None)).when(k % 4 == 1, F.lit("   ")).when(k % 4 == 2, F.concat(F.lit(" "), "c_name", F.lit("  "))).otherwise(F.col("c_name"))
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("k"), F.trim(S.optional_text(given)).alias("text"))
+    given = F.when(k % 6 == 0, F.lit(0.1)).when(k % 6 == 1, F.lit(16777217.0)).when(k % 6 == 2, F.lit(1e-46)).when(k % 6 == 3, F.lit(-0.3)).when(k % 6 == 4, F.col("c_acctbal").cast("double"))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("k"), S.float32(given).alias("value"))
 
 
 @base_query("s11_typed_optional", sql="SELECT CASE c_custkey%5 WHEN 0 THEN NULL WHEN 1 THEN 'cited_by_count' WHEN 2 THEN 'title' WHEN 3 THEN NULL ELSE 'open_access.is_oa' END AS error, count(*) AS n FROM customer WHERE c_custkey%5 NOT IN (0,3) GROUP BY 1")
