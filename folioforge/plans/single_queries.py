@@ -8,9 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from folioforge.functions import scalars as S
-from folioforge.operators import aggregates, gold, lookups, mapping, profiling, quality, versions
+from folioforge.operators import aggregates, gold, lookups, mapping, profiling, quality, release, versions
 from folioforge.plans.gold_queries import ALL, DISCOVERY, LIST, _plain
+from folioforge.plans.mapping_queries import BROKEN, RELATIONS, _broken
 from folioforge.plans.registry import ORACLES, QUERIES, base_query, query
+from folioforge.sources.scratch import kept
 
 
 def part_of(name: str, of: str, *columns: str) -> None:
@@ -184,3 +186,61 @@ query("set1_union_all", "works", "target", sql="SELECT activity_state, count(*)
 query("win1_latest_first", "ledger", "target", sql="""SELECT work_id, CAST(max(d) AS VARCHAR) AS d FROM (SELECT work_id, lineage_source_updated_date AS d FROM target UNION ALL SELECT work_id, deleted_date FROM ledger) WHERE d IS NOT NULL GROUP BY 1""")(
     lambda t: _plain(versions.latest_first(t["target"].select("work_id", F.col("lineage_source_updated_date").alias("d")).unionByName(t["ledger"].select("work_id", F.col("deleted_date").alias("d"))).where("d IS NOT NULL"), ["work_id"], [F.col("d").desc()]))
 )
+
+
+# --- checks and releases over inputs that break them ----------------------------------------------------------------
+
+DQ5_SQL = BROKEN + """, c AS (SELECT count(*) AS n, count(*) FILTER (k=3) AS no_object FROM b), x AS (SELECT n AS observed, n AS expected FROM c UNION ALL SELECT n, n-no_object FROM c)
+SELECT 'ingest.decode_balance' AS check_id, 'HARD_GATE' AS kind, CASE WHEN observed=expected THEN 'PASS' ELSE 'FAIL' END AS status, CAST(observed AS DOUBLE) AS observed, CAST(expected AS DOUBLE) AS expected FROM x"""
+
+
+@query("dq5_balance_of_broken_records", *RELATIONS, sql=DQ5_SQL)
+def dq5_broken(t):
+    """Lines, mapped works and rejects of records of which some break a rule, each counted apart; once more with texts that are no object forgotten."""
+    parsed = kept(mapping.parse_works(_broken(t)).withColumn("errors", mapping.record_errors()))
+    mapped = mapping.works(parsed.where(F.size("errors") == 0).drop("errors")).agg(F.count("work_id").alias("mapped"))
+    bad = F.size("errors") > 0
+    sides = parsed.agg(F.count("*").alias("decoded"), F.count_if(bad).alias("every"), F.count_if(bad & ~F.array_contains("errors", "record")).alias("some"))
+    counters = kept(sides.crossJoin(mapped))  # one row each
+    found = [quality.decode_balance(counters.withColumnRenamed(c, "rejected")) for c in ("every", "some")]
+    return found[0].unionByName(found[1]).select("check_id", "kind", "status", "observed", "expected")
+
+
+DQ7_SQL = """WITH m AS (SELECT CASE CAST(substr(work_id,2) AS BIGINT)%10 WHEN 0 THEN 'citation_edges' WHEN 1 THEN NULL WHEN 2 THEN 'x'||language END AS id, CAST(substr(work_id,2) AS BIGINT)%10 AS k FROM works),
+g AS (SELECT id, count(*) AS n FROM m WHERE k<3 GROUP BY 1), u AS (SELECT work_id FROM work_keywords UNION ALL SELECT work_id FROM work_references)
+SELECT 1 AS missing_manifest_mart_count, (SELECT count(*) FROM g WHERE id LIKE 'x%') AS unexpected_manifest_mart_count, (SELECT CAST(sum(CASE WHEN id LIKE 'x%' THEN n-1 ELSE n END) AS BIGINT) FROM g WHERE id IS NOT NULL) AS duplicate_manifest_mart_count,
+(SELECT CAST(sum(n) AS BIGINT) FROM g WHERE id IS NULL) AS invalid_manifest_mart_count, count(*) FILTER (w.work_id IS NULL) AS missing_source_work_count, count(*) FILTER (w.activity_state<>'ACTIVE') AS inactive_source_work_count FROM u LEFT JOIN works w ON w.work_id=u.work_id"""
+
+
+@query("dq7_faulty_manifest_and_sources", "works", "work_keywords", "work_references", sql=DQ7_SQL)
+def dq7_faulty(t):
+    """A manifest with a mart missing and others repeated, unknown or NULL, and contributions of unknown and deleted works."""
+    k = F.substring("work_id", 2, 20).cast("long") % 10
+    listed = t["works"].where(k < 3).select(F.when(k == 0, "citation_edges").when(k == 2, F.concat(F.lit("x"), "language")).alias("mart_id"))
+    manifest = gold.mart_manifest(t["works"].sparkSession).where("mart_id <> 'open_access_trends'").unionByName(listed)
+    return quality.deleted_work_exclusion_counts(t, manifest, t["work_keywords"], t["work_references"].select(F.col("work_id").alias("source_work_id")))
+
+
+REL5_SQL = """SELECT 'works' AS table_name, count(*) FILTER (work_id LIKE '%7' OR work_id LIKE '%3') AS only_released, count(*) FILTER (work_id LIKE '%3')+(SELECT count(*) FROM staging WHERE work_id NOT IN (SELECT work_id FROM target)) AS only_rebuilt FROM target"""
+
+
+@query("rel5_builds_that_differ_on_both_sides", "target", "staging", sql=REL5_SQL)
+def rel5_both(t):
+    """A rebuild with some works lost, some changed, and the new ones of a batch."""
+    changed = t["target"].where("work_id NOT LIKE '%7'").withColumn("payload", F.when(F.col("work_id").endswith("3"), F.col("payload") + 1).otherwise(F.col("payload")))
+    new = t["staging"].join(t["target"].select("work_id"), "work_id", "left_anti").select(*[F.col(c).cast(k).alias(c) for c, k in t["target"].dtypes])
+    return release.reconcile_release({"works": t["target"]}, {"works": changed.unionByName(new)})
+
+
+REL6_SQL = """WITH i AS (SELECT file_uri AS asset, record_count AS n FROM assets) SELECT asset, 'lines' AS law FROM i WHERE n%4=0 UNION ALL SELECT asset, 'outcomes' FROM i WHERE n%6=0 OR n%11=0 UNION ALL SELECT asset, 'rows' FROM i WHERE n%10=0 OR n%13=0"""
+
+
+@query("rel6_each_law_broken", "assets", sql=REL6_SQL)
+def rel6_each(t):
+    """Inputs that break one law, several, or have a NULL where a count is due."""
+    n, off = F.col("record_count"), lambda by: (F.col("record_count") % by == 0).cast("long")
+    facts = t["assets"].select(
+        F.col("file_uri").alias("asset"), (n + 1 + off(4)).alias("lines"), n.alias("records"), F.lit(1).alias("rejected"), F.when(n % 11 != 0, n - off(6)).alias("outcomes"), (n + 2).alias("rows"),
+        F.when(n % 13 != 0, n + off(10)).alias("unique_rows"), F.lit(2).alias("duplicates"),
+    )
+    return release.input_balance(facts)
