@@ -524,3 +524,35 @@ def test_words_are_encoded_alike_together_and_alone():
         ids, sizes = tokens.words(words)
         assert ids.tolist() == [t for w in words for t in tokens.encoder.encode_ordinary(" " + w.decode("utf-8", "replace"))]
         assert sizes.sum() == len(ids) and len(sizes) == len(words)
+
+
+def test_every_step_moves_all_parameters_from_all_positions():
+    """Queries, keys, values and places move at each step, and keys and values of the span before a chunk get their part."""
+    rng = np.random.default_rng(3)
+    model = small_model(rng, np.float64)
+    x, begins, y, _ = lmscore.windows(rng.integers(0, 30, 96), np.array([96]), model.end_row)
+    x, begins, y = lmscore.chunk(x, 4, 3), begins[4:7], y[4:7]  # in the midst of a text
+
+    def loss():
+        z, _ = model.attend(x, begins)
+        b = model.emitted(y.ravel())
+        return -(np.log((z * b).sum(axis=1)) - np.log(z.sum(axis=1))).mean()
+
+    g, _, _ = model.gradient(x, begins, y)
+    for name in "kv":
+        at, values = g[name]
+        assert set(at) == set(x.ravel())
+        p = model.p[name]
+        for row, value in zip(at, values, strict=True):
+            losses = []
+            for move in (1e-5, -1e-5):
+                p[row, 0] += move
+                losses.append(loss())
+                p[row, 0] -= move
+            assert abs((losses[0] - losses[1]) / 2e-5 - value[0]) < 1e-8 + 1e-3 * abs(value[0]), (name, row)
+    model = small_model(rng)
+    for _ in range(5):
+        before = {k: v.copy() for k, v in model.p.items()}
+        model.learn(x, begins, y)
+        assert all((model.p[k] != before[k]).any() for k in before)
+        assert all((model.p[k][np.unique(x)] != before[k][np.unique(x)]).any(axis=1).all() for k in "kv")
