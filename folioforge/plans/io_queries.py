@@ -227,6 +227,12 @@ def str6(t):
 # --- jobs --------------------------------------------------------------------------------------------------------
 
 
+def ledger_files(rows, folder):
+    """Rows (work_id, deleted_date) as ledgers, none of them with more ids than one may have."""
+    rows.write.option("maxRecordsPerFile", readers.LEDGER_IDS).option("header", True).csv(folder)
+    return folder
+
+
 def works_file(t):
     folder = new_folder(t["works"].sparkSession, "raw")
     # One source may stand with several publishers in these tables; such a clash would abort the asset, so hosts are left out.
@@ -253,9 +259,8 @@ def job1(t):
 
 @query("job2_ingest_deletions", "ledger", sql="SELECT 0 AS bad, count(*) AS observed, CAST(max(deleted_date) AS VARCHAR) AS last_date FROM ledger")
 def job2(t):
-    spark, folder = t["ledger"].sparkSession, new_folder(t["ledger"].sparkSession, "ledger")
-    t["ledger"].write.option("header", True).csv(folder)
-    seen, bad = jobs.ingest_deletions(spark, folder)
+    spark = t["ledger"].sparkSession
+    seen, bad = jobs.ingest_deletions(spark, ledger_files(t["ledger"], new_folder(spark, "ledger")))
     return _plain(seen.agg(F.count("*").alias("observed"), F.max("lineage_date").alias("last_date")).withColumn("bad", F.lit(bad.count())))
 
 

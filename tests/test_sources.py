@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import scalars as S
 from folioforge.operators import mapping, profiling, release
-from folioforge.plans import jobs, schemas
+from folioforge.plans import io_queries, jobs, schemas
 from folioforge.sources import readers, writers
 
 WORK = {
@@ -227,6 +227,13 @@ def test_ledgers_count_apart(spark, tmp_path):
     assert not report["published"] and report["failed"] == ["ingest.deletion_ledgers"] and "2024-04-01" in report["rejected_ledgers"][0]
 
 
+def test_a_query_writes_ledgers_within_their_bound(spark, tmp_path):
+    """One task holds more ids than a ledger may have."""
+    rows = spark.range(readers.LEDGER_IDS + 1, numPartitions=1).selectExpr("concat('W', id) AS work_id", "DATE '2024-01-01' AS deleted_date")
+    seen, bad = jobs.ingest_deletions(spark, io_queries.ledger_files(rows, str(tmp_path / "ledger")))
+    assert bad.count() == 0 and seen.count() == readers.LEDGER_IDS + 1
+
+
 def test_named_query_binds_values(spark):
     t = {"works_named": spark.createDataFrame([("W1", 2020), ("W2", None)], "work_id string, y int")}
     text = "SELECT work_id FROM works_named WHERE (:y IS NULL OR y >= :y)"
