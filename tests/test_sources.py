@@ -4,14 +4,16 @@ import hashlib
 import json
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from folioforge.functions import scalars as S
 from folioforge.operators import mapping, profiling, release
-from folioforge.plans import io_queries, jobs, schemas
+from folioforge.plans import bridge, io_queries, jobs, mapping_queries, registry, schemas
 from folioforge.sources import readers, writers
 
+SF = "/root/testdata/sf0.001"
 WORK = {
     "id": "https://openalex.org/W1", "doi": "https://doi.org/10.1/ABC", "title": " T ", "publication_year": 2020, "publication_date": "2020-01-02", "type": "article",
     "open_access": {"is_oa": True, "oa_status": "gold"},
@@ -227,6 +229,13 @@ def test_ledgers_count_apart(spark, tmp_path):
     assert not report["published"] and report["failed"] == ["ingest.deletion_ledgers"] and "2024-04-01" in report["rejected_ledgers"][0]
 
 
+def test_a_query_writes_works_within_the_bounds_of_an_asset(spark, monkeypatch):
+    monkeypatch.setattr(io_queries, "ASSET_WORKS", 100)
+    folder = io_queries.works_file(bridge.tables(spark, SF, *mapping_queries.RELATIONS))
+    facts = readers.stream_bounds(spark, folder, records=100)
+    assert facts.where("bound IS NOT NULL").isEmpty() and facts.agg(F.sum("records")).first()[0] == spark.read.parquet(f"{SF}/orders.parquet").count()
+
+
 def test_a_query_writes_ledgers_within_their_bound(spark, tmp_path):
     """One task holds more ids than a ledger may have."""
     rows = spark.range(readers.LEDGER_IDS + 1, numPartitions=1).selectExpr("concat('W', id) AS work_id", "DATE '2024-01-01' AS deleted_date")
