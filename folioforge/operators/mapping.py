@@ -48,8 +48,13 @@ def presence(key: str) -> Column:
     )
 
 
+def _opened(df: DataFrame, columns: list[str], array: Column, at: str, item: str) -> DataFrame:
+    """One row for each item of array, as posexplode gives them; that one's own filter on the array's size would parse each record once more."""
+    return df.select(*columns, F.posexplode_outer(array).alias(at, item)).where(F.col(at).isNotNull())
+
+
 def _items(p: DataFrame, array: str, at: str) -> DataFrame:
-    return p.select(*[c for c in p.columns if c not in PARSED], F.posexplode(f"r.{array}").alias(at, "x"))
+    return _opened(p, [c for c in p.columns if c not in PARSED], F.col(f"r.{array}"), at, "x")
 
 
 def _first(df: DataFrame, keys: list[str], at: str, columns: list[str]) -> DataFrame:
@@ -140,7 +145,7 @@ def work_authors(p: DataFrame) -> DataFrame:
 
 
 def work_author_institutions(p: DataFrame) -> DataFrame:
-    inner = _items(p, "authorships", "authorship_index").select(*_carried(p), "work_id", "authorship_index", F.posexplode("x.institutions").alias("institution_index", "i"))
+    inner = _opened(_items(p, "authorships", "authorship_index"), [*_carried(p), "work_id", "authorship_index"], F.col("x.institutions"), "institution_index", "i")
     return inner.select(*_carried(p), "work_id", "authorship_index", "institution_index", S.normalize_id(F.col("i.id"), "I").alias("institution_id"))
 
 
@@ -183,7 +188,7 @@ def work_locations(p: DataFrame) -> DataFrame:
 
     first = F.when(listed & primary.isNotNull(), F.array_position(F.transform("r.locations", fits), True) - 1).when(~listed, F.lit(0))
     out = p.withColumns({"_rows": rows, "_first": first, "_origin": F.when(listed, "LOCATIONS_ARRAY").otherwise("PRIMARY_LOCATION_FALLBACK")})
-    out = out.select(*_carried(p), "work_id", "_first", "_origin", F.posexplode("_rows").alias("location_index", "x"))
+    out = _opened(out, [*_carried(p), "work_id", "_first", "_origin"], F.col("_rows"), "location_index", "x")
     texts = [S.optional_text(F.col(f"x.{c}")).alias(c) for c in ("landing_page_url", "pdf_url", "license", "version")]
     primary_here = F.coalesce(F.col("location_index") == F.col("_first"), F.lit(False))
     return out.select(*_carried(p), "work_id", "location_index", F.col("_origin").alias("location_origin"), S.normalize_id(F.col("x.source.id"), "S").alias("source_id"), "x.is_oa", *texts, primary_here.alias("is_primary"))
@@ -196,7 +201,7 @@ def work_grants(p: DataFrame) -> DataFrame:
 def _sources(p: DataFrame) -> DataFrame:
     """Sources of a record in the order met: the primary location's, then the locations'."""
     met = F.concat(F.array(F.col("r.primary_location.source")), F.coalesce(F.transform("r.locations", lambda x: x["source"]), F.array().cast(f"array<{SOURCE}>")))
-    return p.select(*_carried(p), "work_id", F.posexplode(met).alias("at", "x")).where("x IS NOT NULL")
+    return _opened(p, [*_carried(p), "work_id"], met, "at", "x").where("x IS NOT NULL")
 
 
 def _entity(rows: DataFrame, p: DataFrame, key: str, columns: list[Column]) -> DataFrame:
@@ -211,7 +216,7 @@ def authors(p: DataFrame) -> DataFrame:
 
 
 def institutions(p: DataFrame) -> DataFrame:
-    rows = _items(p, "authorships", "a").select(*_carried(p), "work_id", "a", F.posexplode("x.institutions").alias("b", "x")).withColumn("at", F.struct("a", "b"))
+    rows = _opened(_items(p, "authorships", "a"), [*_carried(p), "work_id", "a"], F.col("x.institutions"), "b", "x").withColumn("at", F.struct("a", "b"))
     i = lambda c: F.col(f"x.{c}")
     return _entity(rows, p, "institution_id", [S.normalize_id(i("id"), "I").alias("institution_id"), S.optional_text(i("display_name")).alias("display_name"), S.normalize_ror(i("ror")).alias("ror"), F.upper(S.optional_text(i("country_code"))).alias("country_code"), S.optional_text(i("type")).alias("institution_type")])
 

@@ -242,6 +242,13 @@ def test_raw_records_bring_each_line_to_its_work_once(spark):
     assert plan.count("Exchange hashpartitioning") <= 6
 
 
+def test_a_record_is_parsed_once_for_its_items(spark):
+    parsed = mapping.parse_works(raw(spark, WORK))
+    for name, table in mapping.map_all(parsed).items():
+        if name not in ("works", "work_locations", "sources", "publishers"):  # these ask for several parts of the record, and it stays one column
+            assert "size(from_json" not in table._jdf.queryExecution().optimizedPlan().toString(), name
+
+
 def test_keywords_of_a_line_with_another_work(spark, tmp_path):
     """Repeated lines, a part without a row, keywords that move to a work that stands and to one that does not."""
     day = datetime.datetime(2024, 1, 2)
