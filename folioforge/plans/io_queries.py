@@ -52,12 +52,17 @@ def src3(t):
     return _plain(readers.read_deletions(t["ledger"].sparkSession, ledger_file(t)).select("work_id", "deleted_date", "error"))
 
 
+MANIFEST_FILES = 5_000
+
+
 @query("src4_manifest_scan", "assets", sql="SELECT file_uri, format, byte_size, record_count, CASE WHEN byte_size IS NULL THEN 'NO_COUNTS' WHEN byte_size<0 THEN 'NEGATIVE_COUNT' END AS error FROM assets")
 def src4(t):
     spark, folder = t["assets"].sparkSession, new_folder(t["assets"].sparkSession, "manifests")
     meta = F.struct(F.col("byte_size").alias("content_length"), "record_count")
-    files = t["assets"].groupBy("format", "entity").agg(F.collect_list(F.struct(F.col("file_uri").alias("url"), meta.alias("meta"))).alias("files"))
-    files.select(F.lit("2024-01-01").alias("date"), "entity", "files", "format").write.partitionBy("format").json(folder)
+    # A manifest is one value to its reader, so each lists a bounded number of files and has a file of its own.
+    numbered = t["assets"].withColumn("part", F.expr(f"monotonically_increasing_id() div {MANIFEST_FILES}"))
+    files = numbered.groupBy("format", "entity", "part").agg(F.collect_list(F.struct(F.col("file_uri").alias("url"), meta.alias("meta"))).alias("files"))
+    files.select(F.lit("2024-01-01").alias("date"), "entity", "files", "format").write.option("maxRecordsPerFile", 1).partitionBy("format").json(folder)
     return readers.read_manifest(spark, folder).select("file_uri", "format", "byte_size", "record_count", "error")
 
 

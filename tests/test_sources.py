@@ -236,6 +236,14 @@ def test_a_query_writes_works_within_the_bounds_of_an_asset(spark, monkeypatch):
     assert facts.where("bound IS NOT NULL").isEmpty() and facts.agg(F.sum("records")).first()[0] == spark.read.parquet(f"{SF}/orders.parquet").count()
 
 
+def test_manifests_list_a_bounded_number_of_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(io_queries, "MANIFEST_FILES", 100)
+    monkeypatch.setattr(io_queries, "new_folder", lambda *_: str(tmp_path / "manifests"))
+    files = registry.QUERIES["src4_manifest_scan"](spark, SF)
+    written = spark.read.json(str(tmp_path / "manifests"), multiLine=True).select(F.size("files").alias("n"))
+    assert written.agg(F.max("n")).first()[0] <= 100 and files.count() == written.agg(F.sum("n")).first()[0] == spark.read.parquet(f"{SF}/orders.parquet").count()
+
+
 def test_raw_records_bring_each_line_to_its_work_once(spark):
     """Exchanges with and without their sides: orders and lines by work, customers and parts by their keys."""
     plan = mapping_queries.raw_works(bridge.tables(spark, SF, *mapping_queries.RELATIONS))._jdf.queryExecution().executedPlan().toString()
